@@ -36,24 +36,32 @@ def first_share(
     """The first `size(n)` rows of each group of n rows: largest `by` first, then smallest `tie`.
 
     `by` must be numeric without NULLs, `tie` numeric and unique within a group. The size of the share
-    depends on the data, so rows cannot be cut before the shuffle. Small groups use a window. For
-    a group above `hot_rows` the value at the cut is looked up instead, and its rows are only filtered.
+    depends on the data, so rows cannot be cut before the shuffle. Groups up to `hot_rows` rows use a
+    window. For a larger group the value at the cut is looked up instead, and its rows are only
+    filtered. One small job at the start finds out whether there is any such group.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("group_rows"))
+    hot = sizes.where(F.col("group_rows") > hot_rows)
+    if hot.isEmpty():
+        return _share_by_window(rows, keys, by, tie, size)
     # At most rows / hot_rows groups can be hot, so their list is safe to broadcast.
-    hot = F.broadcast(sizes.where(F.col("group_rows") > hot_rows))
+    hot = F.broadcast(hot)
+    small = _share_by_window(rows.join(hot, keys, "left_anti"), keys, by, tie, size)
+    large = _share_of_hot_groups(rows.join(hot, keys), keys, by, tie, size)
+    return small.unionByName(large.select(*rows.columns))
 
-    window = Window.partitionBy(*keys).orderBy(F.col(by).desc(), F.col(tie))
+
+def _share_by_window(
+    rows: DataFrame, keys: list[str], by: str, tie: str, size: Callable[[Column], Column]
+) -> DataFrame:
     whole = Window.partitionBy(*keys)
-    small = (
-        rows.join(hot, keys, "left_anti")
-        .withColumn("group_rows", F.count("*").over(whole))
+    window = whole.orderBy(F.col(by).desc(), F.col(tie))
+    return (
+        rows.withColumn("group_rows", F.count("*").over(whole))
         .withColumn("group_rank", F.row_number().over(window))
         .where(F.col("group_rank") <= size(F.col("group_rows")))
         .select(*rows.columns)
     )
-    large = _share_of_hot_groups(rows.join(hot, keys), keys, by, tie, size).select(*rows.columns)
-    return small.unionByName(large)
 
 
 def _share_of_hot_groups(
