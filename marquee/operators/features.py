@@ -1,12 +1,13 @@
 """One label per title and feature family, and the weighted one-hot rows made from them.
 
-Every family gives a title at most one label, so a title's features are a dozen columns. The statistics the
-labels depend on (frequent categories, quantile edges) are small and bounded: they are computed in a few
-aggregations and reach the titles as scalar subqueries, so the titles are neither joined nor shuffled.
+Every family gives a title at most one label, so a title's features are a dozen columns. What the labels depend
+on (frequent categories, quantile edges) is learnt by `fit`: a few aggregations whose results are bounded by the
+settings and by the calendar. With them, labelling is one projection without a join or a shuffle.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import arrays, dates, numbers
 from .guards import require_columns
-from .order_statistics import quantile_row, quantiles
+from .order_statistics import quantiles
 
 POSITIONS = 3  # billed actors that count
 ACTOR_FAMILIES = [f"actor_{i}" for i in range(1, POSITIONS + 1)]
@@ -64,6 +65,8 @@ class FeatureSettings:
 class FeatureExtractor(Protocol):
     """What a recommender needs of a feature model: titles in, `id` and the label columns out."""
 
+    settings: FeatureSettings
+
     def labels(self, titles: DataFrame) -> DataFrame: ...
 
 
@@ -105,52 +108,47 @@ def frequent_categories(values: DataFrame, limits: dict[str, int]) -> DataFrame:
     )
 
 
-def _kept_map(titles: DataFrame, categories: dict[str, Column], settings: FeatureSettings) -> DataFrame:
-    """One row: family -> list of kept categories. At most 7 x limit values, whatever the data."""
+def fit_categories(titles: DataFrame, families: list[str], settings: FeatureSettings) -> dict[str, list]:
+    """The kept categories of each family. At most families x limit values come back, whatever the data."""
+    categories = _categories(titles, families)
     pairs = F.array(
         *[F.struct(F.lit(f).alias("family"), v.alias("value")) for f, v in categories.items()]
     )
     values = titles.select(F.explode(pairs).alias("p")).select("p.family", "p.value")
-    kept = frequent_categories(values, {family: settings.limit(family) for family in categories})
-    # A struct keeps NULL in the list; collect_list would drop it.
-    lists = kept.groupBy("family").agg(F.collect_list(F.struct("value")).alias("kept"))
-    return lists.agg(F.map_from_entries(F.collect_list(F.struct("family", "kept"))).alias("kept"))
+    kept: dict[str, list] = {family: [] for family in families}
+    for row in frequent_categories(values, {family: settings.limit(family) for family in families}).collect():
+        kept[row["family"]].append(row["value"])
+    return kept
 
 
-def _is_kept(family: str, value: Column) -> Column:
-    kept = F.element_at(F.col("kept"), family)
-    return F.exists(kept, lambda k: k["value"].eqNullSafe(value))
+def with_categories(titles: DataFrame, kept: dict[str, list]) -> DataFrame:
+    """Adds the label column of each one-hot family in `kept`."""
 
+    def frequent(family: str, value: Column) -> Column:
+        named = [v for v in kept[family] if v is not None]
+        return F.when(value.isNull(), F.lit(None in kept[family])).otherwise(value.isin(named))
 
-def with_categories(titles: DataFrame, families: list[str], settings: FeatureSettings) -> DataFrame:
-    """Adds the label column of each one-hot family in `families`."""
-    categories = _categories(titles, families)
-    kept = _kept_map(titles, categories, settings).scalar()
-    titles = titles.withColumn("kept", kept).withColumns({f"value_{f}": v for f, v in categories.items()})
+    values = _categories(titles, list(kept))
     labels = {}
-    for family in families:
-        value = F.col(f"value_{family}")
-        frequent = _is_kept(family, value)
-        named = F.coalesce(value, F.lit("None"))
+    for family, value in values.items():
+        known, named = frequent(family, value), F.coalesce(value, F.lit("None"))
         if family in ACTOR_FAMILIES:
             # Neither a blank nor a rare name is a feature.
             name = F.regexp_replace(value, "^/name/", "")
-            labels[family] = F.when(frequent & (value != ""), F.concat(F.lit("actor_"), name))
+            labels[family] = F.when(known & (value != ""), F.concat(F.lit("actor_"), name))
         elif family == "genre":
-            labels[family] = F.when(frequent, named).otherwise("infrequent_genre")
+            labels[family] = F.when(known, named).otherwise("infrequent_genre")
         elif family == "country":
-            known = F.when(frequent, named).otherwise("infrequent_country")
-            labels[family] = F.concat(F.lit("originated_in_"), known)
+            labels[family] = F.concat(F.lit("originated_in_"), F.when(known, named).otherwise("infrequent_country"))
         elif family == "language":
-            known = F.when(frequent, named).otherwise("infrequent")
-            labels[family] = F.concat(known, F.lit("_language"))
+            labels[family] = F.concat(F.when(known, named).otherwise("infrequent"), F.lit("_language"))
         else:
-            known = F.when(frequent, F.coalesce(value, F.lit("unknown_company"))).otherwise("infrequent_company")
-            labels[family] = F.concat(F.lit("produced_by_"), known)
-    if set(ACTOR_FAMILIES) <= set(families):
-        none_kept = ~F.greatest(*[_is_kept(f, F.col(f"value_{f}")) for f in ACTOR_FAMILIES])
-        labels["actor_other"] = F.when(none_kept, F.lit("actor_another"))
-    return titles.withColumns(labels).drop("kept", *[f"value_{f}" for f in families])
+            company = F.coalesce(value, F.lit("unknown_company"))
+            labels[family] = F.concat(F.lit("produced_by_"), F.when(known, company).otherwise("infrequent_company"))
+    if set(ACTOR_FAMILIES) <= set(kept):
+        any_kept = F.greatest(*[frequent(f, values[f]) for f in ACTOR_FAMILIES])
+        labels["actor_other"] = F.when(~any_kept, F.lit("actor_another"))
+    return titles.withColumns(labels)
 
 
 def decade_label(release_date: Column) -> Column:
@@ -178,30 +176,25 @@ def _percent(q: float) -> str:
     return f"q{round(100 * q)}"
 
 
-def runtime_label(runtime: Column, edges: Column, fractions: tuple[float, ...]) -> Column:
+def fit_runtime(titles: DataFrame, fractions: tuple[float, ...]) -> list[float]:
+    """Quantile edges of the runtime; edges that coincide would leave a bin empty and are an error."""
+    rows = quantiles(titles, "runtime", list(fractions)).collect()
+    edges = [row["value"] for row in sorted(rows, key=lambda row: row["q"])]
+    if len(set(edges)) < len(edges):
+        raise ValueError(f"runtime quantiles coincide: {edges}; use fewer of them")
+    return edges
+
+
+def runtime_label(runtime: Column, edges: list[float], fractions: tuple[float, ...]) -> Column:
     """Quantile bins closed on the right, the first one on both sides; NULL has no label."""
     cases = []
     for i, (low, high) in enumerate(zip(fractions, fractions[1:])):
-        above = runtime >= F.get(edges, F.lit(i)) if i == 0 else runtime > F.get(edges, F.lit(i))
+        above = runtime >= edges[i] if i == 0 else runtime > edges[i]
         label = f"runtime_from_{_percent(low)}_to_{_percent(high)}"
-        cases.append((above & (runtime <= F.get(edges, F.lit(i + 1))), label))
+        cases.append((above & (runtime <= edges[i + 1]), label))
     return _first_label(cases, None)
 
 
-def with_runtime(titles: DataFrame, fractions: tuple[float, ...]) -> DataFrame:
-    edges = quantile_row(titles, "runtime", list(fractions))
-    unique = F.size(F.array_distinct("edges")) == F.size("edges")
-    checked = edges.select(
-        F.when(unique, F.col("edges"))
-        .otherwise(F.raise_error(F.lit("runtime quantiles coincide; use fewer of them")).cast("array<double>"))
-        .alias("edges")
-    )
-    labelled = titles.withColumn("edges", checked.scalar())
-    return labelled.withColumn("runtime_label", runtime_label(F.col("runtime"), F.col("edges"), fractions)).drop(
-        "edges"
-    )
-
-
 def decade_gross(titles: DataFrame) -> DataFrame:
     return titles.select(
         dates.nearest_decade(F.col("release_date")).alias("decade"),
@@ -209,33 +202,52 @@ def decade_gross(titles: DataFrame) -> DataFrame:
     ).where(F.col("decade").isNotNull() & F.col("gross").isNotNull())
 
 
-def with_boxoffice(titles: DataFrame, fractions: tuple[float, ...]) -> DataFrame:
-    """The band of a title's gross within its own decade; other currencies and unknown dates have none."""
+def fit_boxoffice(titles: DataFrame, fractions: tuple[float, ...]) -> dict[int, list[int]]:
+    """Quantile edges of the gross per decade: one list per decade of the calendar."""
     if min(fractions) != 0 or max(fractions) != 1:
         raise ValueError("the box-office quantiles must begin with 0 and end with 1")
-    bands = quantiles(decade_gross(titles), "gross", list(fractions), ("decade",), nearest=True)
-    edges = bands.groupBy("decade").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda e: e["value"]).alias("edges")
-    )
-    # One entry per decade of the calendar: a bounded map.
-    by_decade = edges.agg(F.map_from_entries(F.collect_list(F.struct("decade", "edges"))).alias("by_decade"))
-    marked = titles.withColumns(
-        {
-            "gross_now": numbers.dollars(F.col("boxoffice_gross_worldwide")),
-            "decade_edges": F.try_element_at(
-                by_decade.scalar(), dates.nearest_decade(F.col("release_date"))
-            ),
-        }
-    )
-    gross, here = F.col("gross_now"), F.col("decade_edges")
+    found = quantiles(decade_gross(titles), "gross", list(fractions), ("decade",), nearest=True).collect()
+    edges: dict[int, list[int]] = {}
+    for row in sorted(found, key=lambda row: row["q"]):
+        edges.setdefault(row["decade"], []).append(row["value"])
+    return edges
+
+
+def boxoffice_label(titles_gross: Column, decade: Column, edges: dict[int, list[int]], fractions) -> Column:
+    """The band of a gross within its own decade; other currencies and unknown dates have none."""
+    table = F.from_json(F.lit(json.dumps({str(k): v for k, v in edges.items()})), "map<string,array<bigint>>")
+    here = F.try_element_at(table, decade.cast("string"))
     cases = []
     for i, (low, high) in enumerate(zip(fractions, fractions[1:])):
         top = F.get(here, F.lit(i + 1)) + (1 if i == len(fractions) - 2 else 0)
         label = f"boxoffice_from_{_percent(low)}_to_{_percent(high)}"
-        cases.append(((gross >= F.get(here, F.lit(i))) & (gross < top), label))
-    return marked.withColumn("boxoffice", _first_label(cases, "boxoffice_unknown_q")).drop(
-        "gross_now", "decade_edges"
-    )
+        cases.append(((titles_gross >= F.get(here, F.lit(i))) & (titles_gross < top), label))
+    return _first_label(cases, "boxoffice_unknown_q")
+
+
+@dataclass(frozen=True)
+class FittedFeatures:
+    """What was learnt from a catalogue; labels titles of the same or of a newer catalogue."""
+
+    settings: FeatureSettings
+    kept: dict[str, list]
+    runtime_edges: list[float]
+    gross_edges: dict[int, list[int]]
+
+    def labels(self, titles: DataFrame) -> DataFrame:
+        """`id` and one label column per family; NULL where a title has no feature of the family."""
+        s = self.settings
+        gross = numbers.dollars(F.col("boxoffice_gross_worldwide"))
+        decade = dates.nearest_decade(F.col("release_date"))
+        others = {
+            "boxoffice": boxoffice_label(gross, decade, self.gross_edges, s.boxoffice_quantiles),
+            "rating": rating_label(F.col("rating"), s.rating_bins),
+            "decade": decade_label(F.col("release_date")),
+            "runtime": runtime_label(F.col("runtime"), self.runtime_edges, s.runtime_quantiles),
+        }
+        return with_categories(titles, self.kept).select(
+            "id", *[others.get(f, F.col(f)).alias(f) for f in FAMILIES]
+        )
 
 
 @dataclass(frozen=True)
@@ -244,21 +256,19 @@ class CatalogueFeatures:
 
     settings: FeatureSettings = FeatureSettings()
 
-    def labels(self, titles: DataFrame) -> DataFrame:
-        """`id` and one label column per family; NULL where a title has no feature of the family."""
+    def fit(self, titles: DataFrame) -> FittedFeatures:
         require_columns(titles, "id", "actors", "rating", "runtime", "release_date", "boxoffice_gross_worldwide")
         one_hot = ["country", "genre", "language", "company", *ACTOR_FAMILIES]
-        labelled = with_categories(titles, one_hot, self.settings)
-        labelled = with_boxoffice(labelled, self.settings.boxoffice_quantiles)
-        labelled = with_runtime(labelled, self.settings.runtime_quantiles)
-        return labelled.select(
-            "id",
-            *[F.col(f) for f in FAMILIES if f not in ("rating", "decade", "runtime")],
-            rating_label(F.col("rating"), self.settings.rating_bins).alias("rating"),
-            decade_label(F.col("release_date")).alias("decade"),
-            F.col("runtime_label").alias("runtime"),
+        return FittedFeatures(
+            self.settings,
+            fit_categories(titles, one_hot, self.settings),
+            fit_runtime(titles, self.settings.runtime_quantiles),
+            fit_boxoffice(titles, self.settings.boxoffice_quantiles),
         )
 
+    def labels(self, titles: DataFrame) -> DataFrame:
+        return self.fit(titles).labels(titles)
+
 
 def weighted_rows(labels: DataFrame, settings: FeatureSettings) -> DataFrame:
     """Label columns -> one row per feature: id, family, feature, weight."""

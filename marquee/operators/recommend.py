@@ -66,8 +66,7 @@ class SimilarTitles:
     features: FeatureExtractor = field(default_factory=CatalogueFeatures)
 
     def recommend(self, titles, liked=None, preferences=None) -> DataFrame:
-        settings = getattr(self.features, "settings", FeatureSettings())
-        similar = similar_to(self.features.labels(titles), liked, self.top_n, settings)
+        similar = similar_to(self.features.labels(titles), liked, self.top_n, self.features.settings)
         return last_liked_wins(similar, self.top_n)
 
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import ensure_checkpoint_dir
 from .features import FeatureSettings
 from .ranking import top_per_group
 
@@ -116,15 +117,21 @@ def neighbours(
     """
     families = families_of(labels)
     weight_row = np.array([settings.weight(f) for f in families], dtype=np.float64)
-    coded = labels.select("id", F.array(*families).alias("features")).select(
-        "id",
-        F.md5(F.to_json(F.struct("features"))).alias("profile"),
-        F.transform("features", lambda x: F.when(x.isNotNull(), F.xxhash64(x)).otherwise(0)).alias("codes"),
+    # Written once: the labels are read for the folding, for both sides of the comparison and for the result.
+    ensure_checkpoint_dir(labels.sparkSession)
+    coded = (
+        labels.select("id", F.array(*families).alias("features"))
+        .select(
+            "id",
+            F.md5(F.to_json(F.struct("features"))).alias("profile"),
+            F.transform("features", lambda x: F.when(x.isNotNull(), F.xxhash64(x)).otherwise(0)).alias("codes"),
+        )
+        .checkpoint()
     )
     smallest = top_per_group(coded, ["profile"], n + 1, [F.col("id")])
     profiles = smallest.groupBy("profile").agg(
         F.first("codes").alias("codes"), F.min("id").alias("least_id"), F.sort_array(F.collect_list("id")).alias("ids")
-    )
+    ).checkpoint()
     if of is None:
         asked_titles, asked = coded, profiles
     else:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import arrays
+from ..functions import arrays, dates, numbers
 from ..operators import features as feat
 from .registry import query
-from .views import ITEMS, items, with_maps, with_views
+from .views import ITEMS, items, stored, with_maps, with_views
 
 SETTINGS = feat.FeatureSettings()
 WEIGHTED = feat.FeatureSettings(weights={"genre": 3, "actor": 2, "decade": 2})
@@ -107,10 +107,16 @@ def rows_sql(settings: feat.FeatureSettings) -> str:
     return "features as (" + "\nunion all ".join(parts) + ")"
 
 
+def catalogue(spark, folder):
+    """The titles with their maps, written once: fitting and labelling read them several times."""
+    return stored(with_maps(items(spark, folder)).drop(*feat.ACTOR_FAMILIES))
+
+
 def _one_family(key: str, family: str, label_sql: str, *views: str):
     @query(key, with_views(f"select id, {label_sql} as feature from items", ITEMS, *views))
     def build(spark, folder):
-        labelled = feat.with_categories(items(spark, folder), [family], SETTINGS)
+        titles = stored(items(spark, folder))
+        labelled = feat.with_categories(titles, feat.fit_categories(titles, [family], SETTINGS))
         return labelled.select("id", F.col(family).alias("feature"))
 
     return build
@@ -135,14 +141,20 @@ def rating_bins(spark, folder):
 
 @query("runtime_bins", with_views(f"select id, {RUNTIME_LABEL} as feature from items", ITEMS, RUNTIME_EDGES))
 def runtime_bins(spark, folder):
-    labelled = feat.with_runtime(items(spark, folder), SETTINGS.runtime_quantiles)
-    return labelled.select("id", F.col("runtime_label").alias("feature"))
+    titles = stored(items(spark, folder))
+    edges = feat.fit_runtime(titles, SETTINGS.runtime_quantiles)
+    label = feat.runtime_label(F.col("runtime"), edges, SETTINGS.runtime_quantiles)
+    return titles.select("id", label.alias("feature"))
 
 
 @query("boxoffice_band", with_views("select id, boxoffice as feature from banded", ITEMS, GROSS_EDGES))
 def boxoffice_band(spark, folder):
-    labelled = feat.with_boxoffice(items(spark, folder), SETTINGS.boxoffice_quantiles)
-    return labelled.select("id", F.col("boxoffice").alias("feature"))
+    titles = stored(items(spark, folder))
+    edges = feat.fit_boxoffice(titles, SETTINGS.boxoffice_quantiles)
+    gross = numbers.dollars(F.col("boxoffice_gross_worldwide"))
+    decade = dates.nearest_decade(F.col("release_date"))
+    label = feat.boxoffice_label(gross, decade, edges, SETTINGS.boxoffice_quantiles)
+    return titles.select("id", label.alias("feature"))
 
 
 @query(
@@ -167,13 +179,13 @@ def array_pad(spark, folder):
     ),
 )
 def actor_features(spark, folder):
-    labelled = feat.with_categories(with_maps(items(spark, folder)).drop(*feat.ACTOR_FAMILIES), feat.ACTOR_FAMILIES, SETTINGS)
+    titles = catalogue(spark, folder)
+    labelled = feat.with_categories(titles, feat.fit_categories(titles, feat.ACTOR_FAMILIES, SETTINGS))
     return labelled.select("id", *feat.ACTOR_FAMILIES, "actor_other")
 
 
 def title_labels(spark, folder, settings=SETTINGS):
-    titles = with_maps(items(spark, folder)).drop(*feat.ACTOR_FAMILIES)
-    return feat.CatalogueFeatures(settings).labels(titles)
+    return feat.CatalogueFeatures(settings).labels(catalogue(spark, folder))
 
 
 @query("features_all", with_views("select id, family, feature, weight from features", *LABEL_VIEWS, rows_sql(WEIGHTED)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as feat, recommend as rec, similarity as sim
-from .features import LABEL_VIEWS, SETTINGS, WEIGHTED, rows_sql, title_labels
+from .features import LABEL_VIEWS, SETTINGS, WEIGHTED, catalogue, rows_sql, title_labels
 from .registry import query
 from .views import ITEMS, REVIEWS, items, reviews, table, with_maps, with_views
 
@@ -18,10 +18,6 @@ def _liked(spark):
     return spark.createDataFrame(LIKED, "pos int, id bigint")
 
 
-def _titles(spark, folder):
-    return with_maps(items(spark, folder)).drop(*feat.ACTOR_FAMILIES)
-
-
 # Views on `features`: the dot product of two titles is the weight of the features they share.
 NORMS = "norms as (select id, sum(weight) as w from features group by id)"
 LIKED_SIMS = """sims as (select l.pos, l.id as liked_id, c.id, sum(case when b.id is not null then a.weight else 0 end) / sqrt(nl.w * nc.w) as sim
@@ -43,7 +39,7 @@ WEIGHTED_VIEWS = [*LABEL_VIEWS, rows_sql(WEIGHTED), LIKED_SQL, NORMS, LIKED_SIMS
     ),
 )
 def popular_recs(spark, folder):
-    return rec.MostPopular(top_n=10, votes_above=25).recommend(_titles(spark, folder))
+    return rec.MostPopular(top_n=10, votes_above=25).recommend(items(spark, folder))
 
 
 @query(
@@ -56,19 +52,19 @@ def popular_recs(spark, folder):
     ),
 )
 def site_recs(spark, folder):
-    return rec.LinkedBySite(top_n=10).recommend(_titles(spark, folder), _liked(spark))
+    return rec.LinkedBySite(top_n=10).recommend(with_maps(items(spark, folder)), _liked(spark))
 
 
 @query("knn_recs", with_views("select id, round(relevance, 6) as relevance from recs", *KNN_VIEWS))
 def knn_recs(spark, folder):
-    found = rec.SimilarTitles(top_n=10).recommend(_titles(spark, folder), _liked(spark))
+    found = rec.SimilarTitles(top_n=10).recommend(catalogue(spark, folder), _liked(spark))
     return found.withColumn("relevance", F.round("relevance", 6))
 
 
 @query("knn_weighted", with_views("select id, round(relevance, 6) as relevance from recs", *WEIGHTED_VIEWS))
 def knn_weighted(spark, folder):
     model = rec.SimilarTitles(top_n=10, features=feat.CatalogueFeatures(WEIGHTED))
-    found = model.recommend(_titles(spark, folder), _liked(spark))
+    found = model.recommend(catalogue(spark, folder), _liked(spark))
     return found.withColumn("relevance", F.round("relevance", 6))
 
 
@@ -83,7 +79,8 @@ def knn_weighted(spark, folder):
     ),
 )
 def format_recs(spark, folder):
-    shown = rec.recommend(rec.SimilarTitles(top_n=10), _titles(spark, folder), _liked(spark))
+    titles = catalogue(spark, folder)
+    shown = rec.recommend(rec.SimilarTitles(top_n=10), titles, _liked(spark))
     return shown.withColumn("relevance", F.round("relevance", 6))
 
 

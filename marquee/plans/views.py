@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(view: DataFrame) -> DataFrame:
+    """A view that is read several times, written once to the shared checkpoint folder."""
+    ensure_checkpoint_dir(view.sparkSession)
+    return view.checkpoint()
+
+
 def words(*parts: Column | str) -> Column:
     """Columns and literal texts glued together."""
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
