@@ -9,24 +9,31 @@ from ..operators.guards import require_columns
 from ..operators.reviews import RAW_REVIEW, clean_reviews, review_part, reviews_of_titles
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
+CSV_WRITING = {
+    "header": True,
+    "escape": '"',
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 FORMATS = ("parquet", "csv")
 
 
 def read_raw_reviews(spark: SparkSession, path: str) -> DataFrame:
     """All review files of a folder in one read. Titles without a file simply have no rows.
 
-    The header of each file is matched by name, so the unnamed row number in front is skipped.
+    All files must have the header of the first one; unless that has an unnamed row number in front, Spark
+    checks it. Without an id column, the file name gives the id.
     """
-    named = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False)
-    columns = set(named.csv(path).columns)
-    rows = named.csv(path).select(*[c for c in RAW_REVIEW.fieldNames() if c in columns])
-    if "id" not in columns:
-        file = F.regexp_extract("_metadata.file_name", r"^(.*?)\.csv", 1)
-        rows = named.csv(path).select(
-            F.concat(F.lit("/title/"), file, F.lit("/")).alias("id"),
-            *[c for c in RAW_REVIEW.fieldNames() if c in columns],
-        )
-    return rows
+    files = spark.read.options(**CSV_OPTIONS)
+    columns = files.csv(path).columns
+    unnamed = any(c.startswith("_c") for c in columns)
+    rows = files.option("enforceSchema", unnamed).csv(path)
+    known = [c for c in RAW_REVIEW.fieldNames() if c in columns]
+    if "id" in columns:
+        return rows.select(*known)
+    file = F.regexp_extract("_metadata.file_name", r"^(.*?)\.csv", 1)
+    return rows.select(F.concat(F.lit("/title/"), file, F.lit("/")).alias("id"), *known)
 
 
 def write_raw_reviews(reviews: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -38,7 +45,7 @@ def write_raw_reviews(reviews: DataFrame, path: str, mode: str = "errorifexists"
         .hint("rebalance", "title_id")
         .write.partitionBy("title_id")
         .mode(mode)
-        .options(header=True, escape='"', quote='"')
+        .options(**CSV_WRITING)
         .csv(path)
     )
 
@@ -83,7 +90,7 @@ def write_parts(reviews: DataFrame, path: str, parts: int, form: str = "parquet"
         .option("partitionOverwriteMode", "dynamic")
     )
     if form == "csv":
-        writer = writer.options(header=True, compression="gzip", escape='"', quote='"')
+        writer = writer.options(compression="gzip", **CSV_WRITING)
     writer.format(form).save(path)
     numbers.coalesce(1).write.mode("append").parquet(f"{path}.done")
 
