@@ -109,7 +109,11 @@ class PageReader:
         self.by_tag: dict[str, list[Rule]] = {}
         for rule in rules:
             self.by_tag.setdefault(rule.tag, []).append(rule)
-        self.of_interest = {r.tag for r in rules} | {r.inner for r in rules} | ({scope.tag} if scope else set())
+        self.inner_tags = {rule.inner for rule in rules}
+        # What must be written in a tag for any rule on it to match; an empty text is in every tag.
+        self.marks: dict[str, list[str]] = {}
+        for rule in [*rules, *([scope] if scope else [])]:
+            self.marks.setdefault(rule.tag, []).append(rule.value.split(" ")[0])
 
     def read(self, page: str) -> list[dict]:
         self.records: list[dict] = [] if self.scope else [{}]
@@ -141,7 +145,8 @@ class PageReader:
     def _start(self, tag: str, written: str) -> None:
         if tag not in VOID:
             self.open.append(tag)
-        if tag not in self.of_interest:
+        marks = self.marks.get(tag, ())
+        if not (self.inside and tag in self.inner_tags or "&" in written or any(m in written for m in marks)):
             return
         depth, attributes = len(self.open), _attributes(written)
         if self.scope and not self.scope_depth:

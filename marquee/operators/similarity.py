@@ -70,28 +70,39 @@ def similar_to(labels: DataFrame, liked: DataFrame, n: int, settings: FeatureSet
     return top_per_group(scored, ["liked_id", "pos"], n, [F.col("sim").desc(), F.col("id")])
 
 
-def _in_blocks(rows: DataFrame, key: str, blocks: int, payload: list[str]) -> DataFrame:
-    """Rows packed into `blocks` lists by a hash of a unique key, so that no list can run full."""
+def _packed(rows: DataFrame, key: str, values: str, blocks: int) -> DataFrame:
+    """One row per block with the list of keys and the values of all its rows end to end.
+
+    Blocks are numbered by a hash of the unique key, so that none of them can run full.
+    """
     number = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    return (
-        rows.withColumn("block", number)
-        .groupBy("block")
-        .agg(F.collect_list(F.struct(*payload)).alias("rows"))
-    )
+    lists = rows.groupBy(number.alias("block")).agg(F.collect_list(F.struct(key, values)).alias("rows"))
+    return lists.select("block", F.col(f"rows.{key}").alias("keys"), F.flatten(f"rows.{values}").alias("values"))
 
 
-def _block_pairs(left: DataFrame, right: DataFrame, right_blocks: int) -> DataFrame:
-    """Every left block next to every right block, as an equi-join on the number of the right block."""
-    wanted = left.select(
-        F.col("rows").alias("left_rows"), F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))).alias("block")
+def _block_pairs(left: DataFrame, right: DataFrame, blocks: int) -> DataFrame:
+    """Every left block next to every right block, as an equi-join on both block numbers.
+
+    The number of tasks is set here, because the adaptive planner would put the few but costly rows into one.
+    """
+    spark = left.sparkSession
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(min(blocks * blocks, cores), blocks * blocks // 32)
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    ours = left.select(
+        F.col("block").alias("ours"), others.alias("theirs"), *[F.col(c).alias(f"left_{c}") for c in left.columns[1:]]
     )
-    return wanted.join(right.withColumnRenamed("rows", "right_rows"), "block").select("left_rows", "right_rows")
+    theirs = right.select(
+        F.col("block").alias("theirs"), others.alias("ours"), *[F.col(c).alias(f"right_{c}") for c in right.columns[1:]]
+    )
+    keys = ["ours", "theirs"]
+    return ours.repartition(tasks, *keys).join(theirs.repartition(tasks, *keys).hint("shuffle_hash"), keys).drop(*keys)
 
 
 def _best(similarity: np.ndarray, ties: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the `keep` best columns of each row; equal ones by the smaller tie value."""
     if similarity.shape[1] > keep:
-        floor = -np.partition(-similarity, keep - 1, axis=1)[:, keep - 1]
+        floor = np.partition(similarity, -keep, axis=1)[:, -keep]
         row, column = np.nonzero(similarity >= floor[:, None])
     else:
         row, column = np.nonzero(np.ones(similarity.shape, dtype=bool))
@@ -102,6 +113,18 @@ def _best(similarity: np.ndarray, ties: np.ndarray, keep: int) -> tuple[np.ndarr
     return row[first], column[first]
 
 
+def _shared_weight(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weight of the equal codes of each row pair, as a product of one-hot matrices. Code 0 is 'missing'."""
+    left, right = [], []
+    for i, weight in enumerate(weights):
+        labels = np.unique(b[:, i])
+        labels = labels[labels != 0]
+        left.append((a[:, i][:, None] == labels).astype(np.float32) * np.float32(weight))
+        right.append((b[:, i][:, None] == labels).astype(np.float32))
+    # Sums of small whole numbers are exact in float32.
+    return (np.hstack(left) @ np.hstack(right).T).astype(np.float64)
+
+
 def _blocks_needed(rows: int) -> int:
     return max(1, -(-rows // BLOCK_ROWS))
 
@@ -112,76 +135,75 @@ def neighbours(
     """The n titles most similar to each title: id, other, sim, rank; equal similarities by id.
 
     `of` restricts the titles that neighbours are looked up for. Titles with the same labels are folded to one
-    row that keeps its n + 1 smallest ids: no title can need more of them, so nothing is lost and a group of
-    copies costs the same as a single title.
+    profile that keeps its n + 1 smallest ids: no title can need more of them, so nothing is lost and a group of
+    copies costs the same as a single title. A profile goes by its smallest id.
     """
     families = families_of(labels)
-    weight_row = np.array([settings.weight(f) for f in families], dtype=np.float64)
+    weights = np.array([settings.weight(f) for f in families], dtype=np.float64)
+    keep = n + 1
     # Written once: the labels are read for the folding, for both sides of the comparison and for the result.
     ensure_checkpoint_dir(labels.sparkSession)
     coded = (
         labels.select("id", F.array(*families).alias("features"))
         .select(
             "id",
-            F.md5(F.to_json(F.struct("features"))).alias("profile"),
+            F.md5(F.to_json(F.struct("features"))).alias("look"),
             F.transform("features", lambda x: F.when(x.isNotNull(), F.xxhash64(x)).otherwise(0)).alias("codes"),
         )
         .checkpoint()
     )
-    smallest = top_per_group(coded, ["profile"], n + 1, [F.col("id")])
-    profiles = smallest.groupBy("profile").agg(
-        F.first("codes").alias("codes"), F.min("id").alias("least_id"), F.sort_array(F.collect_list("id")).alias("ids")
-    ).checkpoint()
+    smallest = top_per_group(coded, ["look"], keep, [F.col("id")])
+    profiles = (
+        smallest.groupBy("look")
+        .agg(
+            F.first("codes").alias("codes"),
+            F.min("id").alias("profile"),
+            F.sort_array(F.collect_list("id")).alias("ids"),
+        )
+        .checkpoint()
+    )
     if of is None:
         asked_titles, asked = coded, profiles
     else:
         asked_titles = coded.join(of.select("id"), "id", "left_semi")
-        asked = profiles.join(asked_titles.select("profile").distinct(), "profile", "left_semi")
+        asked = profiles.join(asked_titles.select("look").distinct(), "look", "left_semi")
     blocks = _blocks_needed(profiles.count())
-    left = _in_blocks(asked, "profile", blocks, ["profile", "codes"])
-    right = _in_blocks(profiles, "profile", blocks, ["profile", "codes", "least_id"])
-    keep = n + 1
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for ours, theirs in zip(batch["left_rows"], batch["right_rows"]):
-                a = np.array([r["codes"] for r in ours], dtype=np.int64)
-                b = np.array([r["codes"] for r in theirs], dtype=np.int64)
-                overlap = np.zeros((len(a), len(b)))
-                for i, weight in enumerate(weight_row):
-                    present = (a[:, i] != 0)[:, None]
-                    overlap += weight * (present & (a[:, i][:, None] == b[:, i][None, :]))
-                size_a = (a != 0) @ weight_row
-                size_b = (b != 0) @ weight_row
-                similarity = overlap / np.sqrt(np.maximum(size_a[:, None] * size_b[None, :], 1e-300))
-                ties = np.array([r["least_id"] for r in theirs])
-                row, column = _best(similarity, ties, keep)
-                yield pd.DataFrame(
-                    {
-                        "profile": np.array([r["profile"] for r in ours])[row],
-                        "other_profile": np.array([r["profile"] for r in theirs])[column],
-                        "least_id": ties[column],
-                        "sim": similarity[row, column],
-                    }
-                )
+            for ours, our_codes, theirs, their_codes in batch.itertuples(index=False):
+                a = np.asarray(our_codes, dtype=np.int64).reshape(-1, len(weights))
+                b = np.asarray(their_codes, dtype=np.int64).reshape(-1, len(weights))
+                size = ((a != 0) @ weights)[:, None] * ((b != 0) @ weights)[None, :]
+                similarity = _shared_weight(a, b, weights) / np.sqrt(np.maximum(size, 1e-300))
+                ours, theirs = np.asarray(ours), np.asarray(theirs)
+                row, column = _best(similarity, theirs, keep)
+                yield pd.DataFrame({"profile": ours[row], "other": theirs[column], "sim": similarity[row, column]})
 
     id_type = labels.schema["id"].dataType.simpleString()
+    left, right = (_packed(rows, "profile", "codes", blocks) for rows in (asked, profiles))
     found = _block_pairs(left, right, blocks).mapInPandas(
-        compare, f"profile string, other_profile string, least_id {id_type}, sim double"
+        compare, f"profile {id_type}, other {id_type}, sim double"
     )
-    nearest = top_per_group(found, ["profile"], keep, [F.col("sim").desc(), F.col("least_id")])
-    others = profiles.select(F.col("profile").alias("other_profile"), "ids")
-    entries = nearest.join(others, "other_profile").select("profile", "sim", F.explode("ids").alias("other"))
+    nearest = top_per_group(found, ["profile"], keep, [F.col("sim").desc(), F.col("other")])
+    copies = profiles.select(F.col("profile").alias("other"), "ids")
+    entries = nearest.select("profile", "other", "sim").join(copies, "other")
     lists = (
-        top_per_group(entries, ["profile"], keep, [F.col("sim").desc(), F.col("other")])
+        top_per_group(
+            entries.select("profile", "sim", F.explode("ids").alias("other")),
+            ["profile"],
+            keep,
+            [F.col("sim").desc(), F.col("other")],
+        )
         .groupBy("profile")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "other", "sim"))).alias("entries"))
+        .join(profiles.select("profile", "look"), "profile")
     )
     # A profile's list holds n + 1 titles, so n remain for a title that is on it itself.
     own = F.filter("entries", lambda e: e["other"] != F.col("id"))
     return (
-        asked_titles.select("id", "profile")
-        .join(lists, "profile")
+        asked_titles.select("id", "look")
+        .join(lists, "look")
         .select("id", F.posexplode(F.slice(own, 1, n)).alias("place", "e"))
         .select("id", F.col("e.other").alias("other"), F.col("e.sim").alias("sim"), (F.col("place") + 1).alias("rank"))
     )
@@ -191,23 +213,21 @@ def vector_neighbours(vectors: DataFrame, n: int, key: str, vector: str) -> Data
     """The n nearest vectors of every vector by cosine: key, other, sim, rank. Vectors must not be zero."""
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     blocks = _blocks_needed(rows.count())
-    packed = _in_blocks(rows, "id", blocks, ["id", "vector"])
+    packed = _packed(rows, "id", "vector", blocks)
 
-    def unit(matrix: np.ndarray) -> np.ndarray:
+    def unit(ids, values) -> np.ndarray:
+        matrix = np.asarray(values, dtype=np.float64).reshape(len(ids), -1)
         return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for ours, theirs in zip(batch["left_rows"], batch["right_rows"]):
-                a = unit(np.array([r["vector"] for r in ours], dtype=np.float64))
-                b = unit(np.array([r["vector"] for r in theirs], dtype=np.float64))
-                ids_a, ids_b = np.array([r["id"] for r in ours]), np.array([r["id"] for r in theirs])
-                similarity = a @ b.T
-                similarity[ids_a[:, None] == ids_b[None, :]] = -np.inf
-                row, column = _best(similarity, ids_b, n)
-                other = similarity[row, column]
-                real = np.isfinite(other)
-                yield pd.DataFrame({"id": ids_a[row], "other": ids_b[column], "sim": other})[real]
+            for ours, our_values, theirs, their_values in batch.itertuples(index=False):
+                similarity = unit(ours, our_values) @ unit(theirs, their_values).T
+                ours, theirs = np.asarray(ours), np.asarray(theirs)
+                similarity[ours[:, None] == theirs[None, :]] = -np.inf
+                row, column = _best(similarity, theirs, n)
+                found = similarity[row, column]
+                yield pd.DataFrame({"id": ours[row], "other": theirs[column], "sim": found})[np.isfinite(found)]
 
     id_type = rows.schema["id"].dataType.simpleString()
     found = _block_pairs(packed, packed, blocks).mapInPandas(compare, f"id {id_type}, other {id_type}, sim double")
