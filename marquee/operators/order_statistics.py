@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MARKS = 1024  # evenly spaced sketch quantiles per group
+MARKS = 8192  # evenly spaced sketch quantiles per group; a bracket spans five of them
 ACCURACY = 16 * MARKS
 SMALL_GROUP = 10_000  # a group up to this size is ordered without a bracket
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .order_statistics import values_at_ranks
 
-HOT_ROWS = 1_000_000  # groups above this size are never put in one task
+HOT_ROWS = 2_000_000  # groups above this size are never put in one task
 
 
 def top(rows: DataFrame, n: int, by: str, tie: str = "id") -> DataFrame:

@@ -7,6 +7,7 @@ numpy, and each comparison returns only its best rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,9 @@ from .features import FeatureSettings
 from .ranking import top_per_group
 
 MAX_LIKED = 1_000  # a liked list is broadcast as one row, so its length is checked
-BLOCK_ROWS = 2_048  # rows of one side of a block comparison
+BLOCK_ROWS = 2_048  # smallest block of a block comparison
+LARGE_BLOCK_ROWS = 16_384  # largest block: fewer blocks mean fewer copies of each side
+CELLS_AT_ONCE = 1 << 23  # similarities held in memory by one task
 
 
 def families_of(labels: DataFrame) -> list[str]:
@@ -80,14 +83,17 @@ def _packed(rows: DataFrame, key: str, values: str, blocks: int) -> DataFrame:
     return lists.select("block", F.col(f"rows.{key}").alias("keys"), F.flatten(f"rows.{values}").alias("values"))
 
 
+def _cores(rows: DataFrame) -> int:
+    spark = rows.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _block_pairs(left: DataFrame, right: DataFrame, blocks: int) -> DataFrame:
     """Every left block next to every right block, as an equi-join on both block numbers.
 
     The number of tasks is set here, because the adaptive planner would put the few but costly rows into one.
     """
-    spark = left.sparkSession
-    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tasks = max(min(blocks * blocks, cores), blocks * blocks // 32)
+    tasks = max(min(blocks * blocks, _cores(left)), blocks * blocks // 32)
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     ours = left.select(
         F.col("block").alias("ours"), others.alias("theirs"), *[F.col(c).alias(f"left_{c}") for c in left.columns[1:]]
@@ -125,8 +131,18 @@ def _shared_weight(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndar
     return (np.hstack(left) @ np.hstack(right).T).astype(np.float64)
 
 
-def _blocks_needed(rows: int) -> int:
-    return max(1, -(-rows // BLOCK_ROWS))
+def _blocks_needed(rows: DataFrame) -> int:
+    """Enough blocks to keep all cores busy, and no more than that as long as a block stays moderate."""
+    count = rows.count()
+    wanted = math.ceil(math.sqrt(4 * _cores(rows)))
+    fewest, most = math.ceil(count / LARGE_BLOCK_ROWS), math.ceil(count / BLOCK_ROWS)
+    return max(1, fewest, min(most, wanted))
+
+
+def _slices(rows: int, columns: int) -> Iterator[slice]:
+    step = max(1, CELLS_AT_ONCE // max(columns, 1))
+    for start in range(0, rows, step):
+        yield slice(start, start + step)
 
 
 def neighbours(
@@ -167,18 +183,22 @@ def neighbours(
     else:
         asked_titles = coded.join(of.select("id"), "id", "left_semi")
         asked = profiles.join(asked_titles.select("look").distinct(), "look", "left_semi")
-    blocks = _blocks_needed(profiles.count())
+    blocks = _blocks_needed(profiles)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ours, our_codes, theirs, their_codes in batch.itertuples(index=False):
                 a = np.asarray(our_codes, dtype=np.int64).reshape(-1, len(weights))
                 b = np.asarray(their_codes, dtype=np.int64).reshape(-1, len(weights))
-                size = ((a != 0) @ weights)[:, None] * ((b != 0) @ weights)[None, :]
-                similarity = _shared_weight(a, b, weights) / np.sqrt(np.maximum(size, 1e-300))
                 ours, theirs = np.asarray(ours), np.asarray(theirs)
-                row, column = _best(similarity, theirs, keep)
-                yield pd.DataFrame({"profile": ours[row], "other": theirs[column], "sim": similarity[row, column]})
+                size_a, size_b = (a != 0) @ weights, (b != 0) @ weights
+                for some in _slices(len(a), len(b)):
+                    size = np.maximum(size_a[some, None] * size_b[None, :], 1e-300)
+                    similarity = _shared_weight(a[some], b, weights) / np.sqrt(size)
+                    row, column = _best(similarity, theirs, keep)
+                    yield pd.DataFrame(
+                        {"profile": ours[some][row], "other": theirs[column], "sim": similarity[row, column]}
+                    )
 
     id_type = labels.schema["id"].dataType.simpleString()
     left, right = (_packed(rows, "profile", "codes", blocks) for rows in (asked, profiles))
@@ -212,7 +232,7 @@ def neighbours(
 def vector_neighbours(vectors: DataFrame, n: int, key: str, vector: str) -> DataFrame:
     """The n nearest vectors of every vector by cosine: key, other, sim, rank. Vectors must not be zero."""
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    blocks = _blocks_needed(rows.count())
+    blocks = _blocks_needed(rows)
     packed = _packed(rows, "id", "vector", blocks)
 
     def unit(ids, values) -> np.ndarray:
@@ -222,12 +242,15 @@ def vector_neighbours(vectors: DataFrame, n: int, key: str, vector: str) -> Data
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ours, our_values, theirs, their_values in batch.itertuples(index=False):
-                similarity = unit(ours, our_values) @ unit(theirs, their_values).T
+                a, b = unit(ours, our_values), unit(theirs, their_values)
                 ours, theirs = np.asarray(ours), np.asarray(theirs)
-                similarity[ours[:, None] == theirs[None, :]] = -np.inf
-                row, column = _best(similarity, theirs, n)
-                found = similarity[row, column]
-                yield pd.DataFrame({"id": ours[row], "other": theirs[column], "sim": found})[np.isfinite(found)]
+                for some in _slices(len(a), len(b)):
+                    similarity = a[some] @ b.T
+                    similarity[ours[some, None] == theirs[None, :]] = -np.inf
+                    row, column = _best(similarity, theirs, n)
+                    found = similarity[row, column]
+                    rows_found = pd.DataFrame({"id": ours[some][row], "other": theirs[column], "sim": found})
+                    yield rows_found[np.isfinite(found)]
 
     id_type = rows.schema["id"].dataType.simpleString()
     found = _block_pairs(packed, packed, blocks).mapInPandas(compare, f"id {id_type}, other {id_type}, sim double")

@@ -44,6 +44,8 @@ def brute(table, liked_id, n, without=()):
 @pytest.fixture(params=[2048, 16])
 def block_rows(request, monkeypatch):
     monkeypatch.setattr(sim, "BLOCK_ROWS", request.param)
+    monkeypatch.setattr(sim, "LARGE_BLOCK_ROWS", 8 * request.param)
+    monkeypatch.setattr(sim, "CELLS_AT_ONCE", 100 * request.param)
 
 
 def test_neighbours_match_brute_force(spark, block_rows):
