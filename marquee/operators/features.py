@@ -8,9 +8,11 @@ settings and by the calendar. With them, labelling is one projection without a j
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import arrays, dates, numbers
@@ -259,12 +261,17 @@ class CatalogueFeatures:
     def fit(self, titles: DataFrame) -> FittedFeatures:
         require_columns(titles, "id", "actors", "rating", "runtime", "release_date", "boxoffice_gross_worldwide")
         one_hot = ["country", "genre", "language", "company", *ACTOR_FAMILIES]
-        return FittedFeatures(
-            self.settings,
-            fit_categories(titles, one_hot, self.settings),
-            fit_runtime(titles, self.settings.runtime_quantiles),
-            fit_boxoffice(titles, self.settings.boxoffice_quantiles),
-        )
+        s = self.settings
+        # Three independent small results: Spark runs their jobs side by side.
+        steps = [
+            lambda: fit_categories(titles, one_hot, s),
+            lambda: fit_runtime(titles, s.runtime_quantiles),
+            lambda: fit_boxoffice(titles, s.boxoffice_quantiles),
+        ]
+        with ThreadPoolExecutor(len(steps)) as pool:
+            waiting = [pool.submit(inheritable_thread_target(titles.sparkSession)(step)) for step in steps]
+            kept, runtime_edges, gross_edges = [w.result() for w in waiting]
+        return FittedFeatures(s, kept, runtime_edges, gross_edges)
 
     def labels(self, titles: DataFrame) -> DataFrame:
         return self.fit(titles).labels(titles)

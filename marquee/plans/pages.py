@@ -77,9 +77,19 @@ def _list(name: str, values, tag: str = "li"):
     return F.coalesce(words(f'<li data-testid="{name}"><span>x</span><ul>', entries, "</ul></li>"), F.lit(""))
 
 
+def _spread(rows, key: str):
+    """The test tables are single files, which Spark reads in one task; reading pages should use all cores.
+
+    The narrow rows are moved, not the pages composed from them.
+    """
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, key)
+
+
 def title_pages(spark, folder):
     """A title page per item, laid out like the real ones."""
-    raw = raw_titles(spark, folder)
+    raw = _spread(raw_titles(spark, folder), "id")
     details, box = F.col("details"), F.col("boxoffice")
 
     def escaped(value):
@@ -218,7 +228,9 @@ def extract_details(spark, folder):
 
 def review_pages(spark, folder):
     """A review page per line item with two review blocks, one of them without a rating."""
-    raw = reviews(spark, folder).withColumn("written", F.date_format("review_date", "d MMMM yyyy"))
+    raw = _spread(reviews(spark, folder), "order_id").withColumn(
+        "written", F.date_format("review_date", "d MMMM yyyy")
+    )
     link = F.concat(F.lit('<a href="'), F.col("author"), F.lit('">who</a>'))
     body = F.concat(F.col("title"), F.lit("said &lt;b&gt; &amp; left"))
 
