@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .order_statistics import values_at_ranks
 
+PIECES = 4_096  # pieces of a group when its first n rows are found in two steps
 HOT_ROWS = 2_000_000  # groups above this size are never put in one task
 
 
@@ -19,9 +20,20 @@ def top(rows: DataFrame, n: int, by: str, tie: str = "id") -> DataFrame:
 def top_per_group(rows: DataFrame, keys: list[str], n: int, order: list[Column], rank: str = "rank") -> DataFrame:
     """The first n rows of each group.
 
-    A constant n lets Spark cut every partition to n rows per group before the shuffle.
+    Spark cuts every partition to n rows per group before the shuffle, as long as n is below a limit of the
+    optimizer. For a larger n the groups are cut in two steps, first in many random pieces.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
+    if n > int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        plain = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+        piece = F.pmod(F.xxhash64(*plain), F.lit(PIECES))
+        within = Window.partitionBy(*keys, "piece").orderBy(*order)
+        rows = (
+            rows.withColumn("piece", piece)
+            .withColumn("piece_rank", F.row_number().over(within))
+            .where(F.col("piece_rank") <= n)
+            .drop("piece", "piece_rank")
+        )
     return rows.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 

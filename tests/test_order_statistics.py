@@ -46,7 +46,7 @@ def test_nearest_quantiles_by_group(spark, small_group):
         assert got[k, q] == expected
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     rows=st.lists(st.tuples(st.sampled_from("aab"), st.integers(0, 4)), min_size=1, max_size=120),
     percent=st.sampled_from([0, 1, 10, 33.3, 50, 100]),
@@ -134,3 +134,18 @@ def test_sparsity_counts_cells_once(spark):
     rows = [("a", 1, 5.0), ("a", 1, 6.0), ("b", 2, 1.0), ("b", 1, None)]
     found = interactions.sparsity(spark.createDataFrame(rows, "author string, id int, rating double")).first()
     assert found["sparsity"] == 50.0
+
+
+@pytest.mark.parametrize("limit", ["1000", "3"])
+def test_top_per_group_in_one_or_two_steps(spark, limit):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        frame = spark.range(500).select((F.col("id") % 2).alias("k"), (F.col("id") * 7 % 50).alias("v"), "id")
+        best = ranking.top_per_group(frame, ["k"], 20, [F.col("v").desc(), F.col("id")]).toPandas()
+    finally:
+        spark.conf.set(key, before)
+    table = frame.toPandas().sort_values(["v", "id"], ascending=[False, True])
+    for k, group in best.groupby("k"):
+        assert list(group.sort_values("rank")["id"]) == list(table[table["k"] == k].head(20)["id"])
