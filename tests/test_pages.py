@@ -75,3 +75,18 @@ def test_listing_last_one_wins(spark):
     later = '<a class="q" href="/title/a/">Comedy &amp; more</a>'
     rows = page_ops.listing(frame(spark, page, later).withColumnRenamed("id", "page_id")).collect()
     assert {tuple(r) for r in rows} == {("/title/a/", "Comedy"), ("/title/b/", "Crime")}
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    stored = tmp_path / "reader"
+    stored.write_bytes(cloudpickle.dumps(page_ops.PageReader(page_ops.TITLE_RULES)))
+    script = f"import pickle; print(pickle.load(open({str(stored)!r}, 'rb')).read('<span class=score>7</span>'))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd="/", env=env, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "[{'scores': ['7']}]", done.stderr
