@@ -1,19 +1,25 @@
 """Documents that share most of their word shingles, and the groups that such links form.
 
-A document's set holds its distinct runs of five words. Documents with equal sets are one class. In a parity sketch every
-shingle flips one place of a long row of blocks, each block the XOR of what fell into it, so that the blocks in which two
-sketches differ are at most as many as the shingles that only one of the two sets has. For sizes s to 2 s and a similarity of
-0.75 these are at most 0.77 s; a sketch has 0.87 s blocks, so some blocks must agree (pigeonhole), in fact 39 % or more of
-them hold something and agree on average. Sketches are joined on their first 48 blocks, short sketches on blocks of
-several rounds with other seeds: a link at the very threshold is missed with a chance of about 1e-10, a closer one with less. A
-class enters the band of its size and, if a partner a quarter smaller would stand in the band below, that one too.
-
-Candidates are verified on the sets themselves. First each class is tested against one other of its blocks, the one with which it shares
-most; only classes of one block which are not connected by then are tested pair by pair. So a group of thousands of near copies
-costs about as many tests as it has members, and no link between different groups is lost.
+A document's set holds its distinct runs of five words; documents with equal sets are one class. Shingles are XOR-hashed into
+parity sketches, of which there are two kinds.
+
+* Blocks: every shingle falls into one block and flips bits of it. Two sets differ in at most as many blocks as there are
+  shingles in only one of them. The sizes of a band differ by the root of 2; its sketches have one block for 3.5 shingles of the
+  smallest size, so of two linked sets between a third and a fifth of the blocks agree, and they are joined on equal blocks.
+  64 blocks of a sketch take part (short sketches: of several rounds with other seeds), so that a link at the very threshold is
+  missed with a chance of 1e-6 at most, and of 1e-10 if the sets are of about equal size. A class stands in the band of its size, and in
+  the one below if a partner a quarter smaller would.
+* Bits: one bit per shingle and place, about as many places as shingles. The Hamming distance of two such sketches is never more
+  than the number of shingles in only one set, so a pair beyond the limit is dropped without a look at the sets.
+
+Pairs that are left are verified on the sets themselves. First each class is tested against one other of its blocks, the one with
+which it shares most, twice over; then classes of one block which are not connected by then are compared pair by pair, in
+tiles of bounded size. So a group of thousands of near copies costs about as many tests as it has members, and links
+between different groups are not lost.
 
 Empty texts have no shingles and are linked with nothing. Repeated rows are equal texts. A row whose id is NULL
-takes part; a component of such rows alone has NULL as its id.
+takes part; a component of such rows alone has NULL as its id. Shingles are compared by 64-bit hashes, in the last
+test by 48 bits of them.
 """
 
 from __future__ import annotations
@@ -29,15 +35,16 @@ from .storage import stored
 
 RUN = 5
 PERCENT = 75
-BLOCKS = 48
-FILL = 0.87  # blocks per shingle of the smallest set in a band
+BLOCKS = 64
+FILL = 3.5  # shingles of the smallest set of a band in one block
+LOWEST = 2.0 ** (np.arange(96) / 2)  # size at which each band begins
 SHARD_BYTES = 4 << 20
 BUCKETS_PER_PARTITION = 4
 HEAD_ROWS = 1 << 10  # members that one task compares with one head
+TILE = 1 << 11  # classes of one block that are compared with as many others at once
+FEW = 100_000  # wanted texts up to which their keys are broadcast
 
 SHARED = np.dtype([("block", "<i8"), ("c1", "<i8"), ("c2", "<i8"), ("size", "<i4")])
-HEAD = np.dtype([("key", "<i8"), ("check", "<i4"), ("c1", "<i8"), ("c2", "<i8"), ("size", "<i4")])
-
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, in a row, and where each text's begin."""
@@ -75,14 +82,14 @@ def sketch_blocks(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np
     sizes = np.diff(first)
     owners, keys = [], []
     # A set of s shingles can have partners from 0.75 s on.
-    band = np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64)
-    lowest = np.floor(np.log2(np.maximum(np.ceil(sizes * PERCENT / 100), 1))).astype(np.int64)
-    for own in (True, False):
-        some = (sizes > 0) & (own | (lowest < band))
-        bands = band if own else band - 1
+    band = np.searchsorted(LOWEST, sizes, "right") - 1
+    below = np.searchsorted(LOWEST, np.ceil(sizes * PERCENT / 100), "right") - 1
+    for down in (0, 1):
+        bands = band - down
+        some = (sizes > 0) & (bands >= below)
         for b in np.unique(bands[some]):
             mine = np.flatnonzero(some & (bands == b))
-            n = max(2, int(np.ceil(FILL * 2.0**b)))
+            n = max(2, int(np.ceil(LOWEST[b] / FILL)))
             take = sizes[mine]
             at = np.arange(int(take.sum())) + np.repeat(first[mine] - (np.cumsum(take) - take), take)
             owner = np.repeat(mine, take)
@@ -105,6 +112,27 @@ def sketch_blocks(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(owners), np.concatenate(keys).view(np.int64)
 
 
+def bit_sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """A parity bit for each of 64 or more places, a power of two and at least the size of the set."""
+    sizes = np.diff(first)
+    places = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(places)])
+    at = np.repeat(begin[:-1], sizes) + (values & np.repeat(places - 1, sizes).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8)
+    bits = np.packbits(odd).tobytes()
+    return [bits[a // 8 : b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
+
+
+def _fold(sketch: np.ndarray, width: int) -> np.ndarray:
+    """The sketch over fewer places: the XOR of its parts."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, width), axis=0) if len(sketch) > width else sketch
+
+
+def most_differences(a, b):
+    """The shingles that linked sets of these sizes may have alone, together."""
+    return (a + b) * (100 - PERCENT) // (100 + PERCENT)
+
+
 def _packed(rows: np.ndarray, bucket: np.ndarray, kind: int):
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
@@ -112,15 +140,12 @@ def _packed(rows: np.ndarray, bucket: np.ndarray, kind: int):
 
 
 def _sketch(shard: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
-    """Heads (one per text), and for the buckets: of each block the first class seen here, and the classes that share it."""
+    """Rows for the buckets: of each block the first class seen here (kind 0, or 1 if the shard has more), the other
+    classes (2), and what is known of each text (3)."""
     data, offsets = wh.text_bytes(shard.column(0))
     values, first = shingle_sets(wh.LOWER[data], offsets)
     c1, c2 = classes(values, first)
     sizes = np.diff(first)
-    heads = np.empty(len(sizes), HEAD)
-    heads["c1"], heads["c2"], heads["size"] = c1, c2, sizes
-    heads["key"] = shard.column(1).to_numpy(zero_copy_only=False)
-    heads["check"] = shard.column(2).to_numpy(zero_copy_only=False)
     order = np.lexsort((c2, c1))
     once = np.ones(len(order), bool)
     once[1:] = (c1[order[1:]] != c1[order[:-1]]) | (c2[order[1:]] != c2[order[:-1]])
@@ -134,63 +159,75 @@ def _sketch(shard: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     rows = rows[np.lexsort((rows["c2"], rows["c1"], rows["block"]))]
     lead = np.ones(len(rows), bool)
     lead[1:] = rows["block"][1:] != rows["block"][:-1]
-    alone = lead.copy()
-    alone[:-1] &= lead[1:]
-    leaders = rows[lead]
-    bucket = (wh.mixed(leaders["block"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    several = ~alone[lead]
-    out = _packed(leaders[~several], bucket[~several], 0) + _packed(leaders[several], bucket[several], 1)
-    # What else the shard shares needs no bucket; it is dealt evenly.
-    rest = rows[~lead]
-    salt = int(wh.mixed(np.array([len(data) + (int(heads["key"][0]) if len(heads) else 0)], np.int64).view(np.uint64))[0]) % buckets
-    if len(rest):
-        out.append((salt, 2, rest.tobytes()))
-    out.append((salt, 3, heads.tobytes()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "kind", "packed"]
+    several = np.zeros(len(rows), bool)
+    several[:-1] = ~lead[1:]
+    bucket = (wh.mixed(rows["block"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    out = []
+    for kind, some in enumerate((lead & ~several, lead & several)):
+        out += _packed(rows[some], bucket[some], kind)
+    # The rest needs no bucket of its own; it is dealt evenly.
+    keys = shard.column(1).to_numpy(zero_copy_only=False)
+    spread = (wh.mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    if not lead.all():
+        out.append((int(spread[0]), 2, rows[~lead].tobytes()))
+    texts = pa.record_batch(
+        {
+            "c1": c1,
+            "c2": c2,
+            "size": sizes.astype(np.int32),
+            "key": keys,
+            "check": shard.column(2),
+            "bits": pa.array(bit_sketches(values, first), pa.binary()),
+        }
     )
+    out.append((int(spread[0]), 3, texts.serialize().to_pybytes()))
+    columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "packed"])
+
+
+TEXTS = pa.schema(
+    [("c1", pa.int64()), ("c2", pa.int64()), ("size", pa.int32()), ("key", pa.int64()), ("check", pa.int32()), ("bits", pa.binary())]
+)
+JOINED = "block bigint, c1 bigint, c2 bigint, size int, key bigint, check int, bits binary, is_text boolean"
 
 
 def _joined(table: pa.Table) -> pa.Table:
     """The blocks of one bucket that more than one class holds, and what was only dealt here."""
-    parts: dict[int, list] = {0: [], 1: [], 2: [], 3: []}
-    for kind, packed in zip(table.column("kind").to_pylist(), table.column("packed").to_pylist()):
-        parts[kind].append(np.frombuffer(packed, HEAD if kind == 3 else SHARED))
-    leaders = np.concatenate([np.zeros(0, SHARED), *parts[0], *parts[1]])
+    parts: list[list] = [[np.zeros(0, SHARED)], [], []]
+    texts = []
+    for kind, packed in zip(table.column("kind").to_pylist(), table.column("packed")):
+        if kind == 3:
+            texts.append(pa.ipc.read_record_batch(packed.as_buffer(), TEXTS))
+        else:
+            parts[kind].append(np.frombuffer(packed.as_buffer(), SHARED))
+    leaders = np.concatenate(parts[0] + parts[1])
     several = np.repeat([False, True], [sum(map(len, parts[0])), sum(map(len, parts[1]))])
     order = np.argsort(leaders["block"], kind="stable")
     leaders, several = leaders[order], several[order]
-    heads = np.flatnonzero(np.diff(leaders["block"], prepend=leaders["block"][:1] - 1))
     if len(leaders):
-        group = np.cumsum(np.diff(leaders["block"], prepend=leaders["block"][0]) != 0)
-        h = heads[group]
-        different = (leaders["c1"] != leaders["c1"][h]) | (leaders["c2"] != leaders["c2"][h])
+        fresh = np.append(True, leaders["block"][1:] != leaders["block"][:-1])
+        group = np.cumsum(fresh) - 1
+        one = leaders[np.flatnonzero(fresh)[group]]
         live = np.zeros(group[-1] + 1, bool)
-        np.logical_or.at(live, group, different | several)
+        live[group[several | (leaders["c1"] != one["c1"]) | (leaders["c2"] != one["c2"])]] = True
         leaders = leaders[live[group]]
     shared = np.concatenate([leaders, *parts[2]])
-    texts = np.concatenate([np.zeros(0, HEAD), *parts[3]])
-    n, m = len(shared), len(texts)
-
-    def column(name, kind):
-        values = shared[name] if name in SHARED.names else np.zeros(n, kind)
-        more = texts[name] if name in HEAD.names else np.zeros(m, kind)
-        return pa.array(np.concatenate([values, more]))
-
-    return pa.table(
+    n = len(shared)
+    found = pa.table(
         {
-            "is_text": pa.array(np.repeat([False, True], [n, m])),
-            "block": column("block", np.int64),
-            "c1": column("c1", np.int64),
-            "c2": column("c2", np.int64),
-            "size": column("size", np.int32),
-            "key": column("key", np.int64),
-            "check": column("check", np.int32),
+            **{c: pa.array(np.ascontiguousarray(shared[c])) for c in ("block", "c1", "c2", "size")},
+            "key": pa.nulls(n, pa.int64()),
+            "check": pa.nulls(n, pa.int32()),
+            "bits": pa.nulls(n, pa.binary()),
+            "is_text": pa.array(np.zeros(n, bool)),
         }
     )
-
-
-JOINED = "is_text boolean, block bigint, c1 bigint, c2 bigint, size int, key bigint, check int"
+    if not texts:
+        return found
+    known = pa.Table.from_batches(texts)
+    known = known.append_column("is_text", pa.array(np.ones(len(known), bool)))
+    known = known.append_column("block", pa.nulls(len(known), pa.int64()))
+    return pa.concat_tables([found, known.select(found.column_names)])
 
 
 def _class():
@@ -219,6 +256,8 @@ def sketched(hashed: DataFrame, buckets: int) -> DataFrame:
 
 def class_sets(hashed: DataFrame, wanted: DataFrame) -> DataFrame:
     """c, shingles of the wanted texts (key, check), one row per text: 6 bytes of each shingle hash, sorted."""
+    if wanted.count() <= FEW:
+        wanted = F.broadcast(wanted)
     texts = hashed.select("key", "check", "text").join(wanted, ["key", "check"], "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,50 +339,156 @@ def connected(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of rows of bytes against rows of bytes."""
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+
+
+def near(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose bit sketches differ in no more places than linked sets may."""
+    known = members.select("c", "size", "bits")
+    both = pairs.join(known.toDF("a", "size_a", "bits_a"), "a").join(known.toDF("b", "size_b", "bits_b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            limit = most_differences(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
+            for i, (x, y) in enumerate(zip(batch.column("bits_a"), batch.column("bits_b"))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                width = min(len(x), len(y))
+                keep[i] = _hamming(_fold(x, width), _fold(y, width)) <= limit[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.mapInArrow(run, both.select("a", "b").schema)
+
+
+def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a block, have different roots and could be linked by size and bit sketch.
+
+    Blocks of many classes are compared in tiles, so that no task holds more than two tiles of a block.
+    """
+    tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    rows = blocks.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("c"), "tiles").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.join(members.select("c", "bits"), "c").select(
+        "block",
+        F.least("tile", "other").alias("low"),
+        F.greatest("tile", "other").alias("high"),
+        "tile",
+        "size",
+        "c",
+        F.xxhash64("root").alias("root"),
+        "bits",
+    )
+
+    def tile_pairs(size, root, tile, inner, bits):
+        """Pairs of places, each of the one tile with each of the other, or of one tile with itself."""
+        width = min(map(len, bits))
+        folded = np.stack([_fold(x, width) for x in bits])
+        left, right = [], []
+        for i in range(len(size)) if inner else np.flatnonzero(tile == tile.min()):
+            others = np.arange(i + 1, len(size)) if inner else np.flatnonzero(tile > tile[i])
+            others = others[root[others] != root[i]]
+            others = others[PERCENT * np.maximum(size[others], size[i]) <= 100 * np.minimum(size[others], size[i])]
+            others = others[_hamming(folded[others], folded[i]) <= most_differences(size[others], size[i])]
+            if len(others):
+                left.append(np.full(len(others), i)), right.append(others)
+        return left, right
+
+    def compare(table: pa.Table) -> pa.Table:
+        block, low, high, root, size, tile = (
+            table.column(c).to_numpy() for c in ("block", "low", "high", "root", "size", "tile")
+        )
+        order = np.lexsort((high, low, block))
+        fresh = np.ones(len(order), bool)
+        for c in (block, low, high):
+            fresh[1:] &= c[order[1:]] == c[order[:-1]]
+        fresh = ~fresh
+        fresh[:1] = True
+        cuts = np.append(np.flatnonzero(fresh), len(order))
+        bits = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bits")]
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            mine = order[a:b]
+            inner = low[mine[0]] == high[mine[0]]
+            x, y = tile_pairs(size[mine].astype(np.int64), root[mine], tile[mine], inner, [bits[i] for i in mine])
+            left += [mine[i] for i in x]
+            right += [mine[i] for i in y]
+        c = table.column("c").combine_chunks()
+        return pa.table({"a": c.take(pa.array(np.concatenate(left))), "b": c.take(pa.array(np.concatenate(right)))})
+
+    kind = "struct<c1:bigint,c2:bigint>"
+    parts = BUCKETS_PER_PARTITION * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("block", "low", "high"), F.lit(parts)))
+    found = dealt.groupBy("part").applyInArrow(compare, f"a {kind}, b {kind}")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def similar_groups(rows: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
-    """Per input row: row (all its columns as a struct), n_shingles, component_id (the smallest key in its group)."""
+    """One row per input row: the key, n_shingles, component_id (the smallest key in its group)."""
+    hashed, ids, groups = _grouped(rows, key, text, buckets)
+    return ids.join(groups, "root", "left").select(
+        F.col("id").alias(key),
+        F.col("size").cast("bigint").alias("n_shingles"),
+        F.coalesce("least", "id").alias("component_id"),
+    )
+
+
+def first_of_groups(rows: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+    """One row of each group, one with the smallest key, and all rows without shingles, with the columns they came with."""
+    hashed, ids, groups = _grouped(rows, key, text, buckets)
+    others = ids.where("size > 0").select("key", "check", "root").distinct().join(groups, "root")
+    others = others.where(F.struct("key", "check") != F.col("one")).select("key", "check")
+    kept = hashed.join(others, ["key", "check"], "left_anti")
+    repeated = kept.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1").select("key", "check")
+    once = kept.join(repeated, ["key", "check"], "left_anti").select("row")
+    several = kept.join(repeated, ["key", "check"], "left_semi")
+    bare = several.where(F.coalesce(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")), F.lit("")) == "").select("row")
+    full = several.where(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")) != "")
+    first = full.dropDuplicates(["key", "check"]).select("row")
+    return once.unionByName(bare).unionByName(first).select("row.*")
+
+
+def _grouped(rows: DataFrame, key: str, text: str, buckets: int | None):
+    """The hashed rows; id, key, check, size and root of each; and of each root the smallest id and one row's hashes."""
     hashed = _hashed(rows, text)
     if buckets is None:
         shuffled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(shuffled, BUCKETS_PER_PARTITION * rows.rdd.getNumPartitions())
     base = stored(sketched(hashed, buckets))
-    texts = base.where("is_text").select("key", "check", "size", _class().alias("c"))
+    texts = base.where("is_text").select("key", "check", "size", "bits", _class().alias("c"))
     shared = base.where("not is_text").select("block", "size", _class().alias("c"))
+    members = stored(
+        texts.join(shared.select("c").distinct(), "c", "left_semi")
+        .groupBy("c")
+        .agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.min(F.struct("key", "check")).alias("one"))
+    )
 
-    # One text for each class that shares a block; sets are built for these alone.
-    wanted = shared.select("c").distinct().join(texts, "c").groupBy("c").agg(F.min(F.struct("key", "check")).alias("one"))
-    sets = stored(class_sets(hashed, wanted.select("one.*")).dropDuplicates(["c"]))
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(near(pairs, members))
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+        wanted = stored(members.join(nodes, "c", "left_semi").select("one.*"))
+        sets = class_sets(hashed, wanted).dropDuplicates(["c"])
+        return linked(_counted(pairs), stored(sets))
 
-    def tests(blocks: DataFrame, of: str) -> DataFrame:
+    def heads(blocks: DataFrame, of: str) -> DataFrame:
         """For each class one other of its blocks: the first of the block with which it shares most blocks."""
         lead = blocks.groupBy("block").agg(F.min(F.struct(F.col(of).alias("at"), "c", "size")).alias("lead"))
         pairs = blocks.join(lead, "block").where((F.col(of) != F.col("lead.at")) & _sizes_fit("size", "lead.size"))
         most = pairs.groupBy(F.col("lead.c").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("times"))
-        best = most.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a"))
-        return _counted(best.select("a", "b"))
-
-    links = stored(linked(tests(shared, "c"), sets))
-    for _ in range(1):
-        labelled = _open_blocks(shared, connected(links))
-        links = stored(links.unionByName(linked(tests(labelled, "root"), sets)))
-    left = stored(_open_blocks(shared, connected(links)))
-    x, y = left.alias("x"), left.alias("y")
-    across = x.join(y, F.col("x.block") == F.col("y.block")).where(
-        (F.col("x.root") < F.col("y.root")) & _sizes_fit("x.size", "y.size")
-    )
-    pairs = _counted(across.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct())
-    roots = connected(links.unionByName(linked(pairs, sets)))
-
-    named = texts.join(roots, F.col("c") == F.col("node"), "left").select("key", "check", "size", F.coalesce("root", "c").alias("root"))
-    ids = hashed.select(F.col("row")[key].alias("id"), "key", "check")
-    grouped = ids.join(named.dropDuplicates(["key", "check"]), ["key", "check"])
-    least = grouped.where("size > 0").groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("members"))
-    found = grouped.join(least, "root", "left").select(
-        "id",
-        F.col("size").cast("bigint").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"),
-    )
-    return found.withColumnRenamed("id", key)
+        return most.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
+
+    links = stored(verified(heads(shared, "c")))
+    again = stored(verified(heads(_open_blocks(shared, connected(links)), "root")))
+    links = links.unionByName(again)
+    across = near_across(stored(_open_blocks(shared, connected(links))), members)
+    roots = connected(links.unionByName(verified(across)))
+
+    named = texts.join(roots, F.col("c") == F.col("node"), "left")
+    named = named.select("key", "check", "size", F.coalesce("root", "c").alias("root")).dropDuplicates(["key", "check"])
+    ids = hashed.select(F.col("row")[key].alias("id"), "key", "check").join(named, ["key", "check"])
+    least = ids.where("size > 0").groupBy("root").agg(F.min("id").alias("least"), F.min(F.struct("id", "key", "check")).alias("one"))
+    return hashed, ids, least.select("root", "least", F.struct("one.key", "one.check").alias("one"))
 
 
 def _sizes_fit(a: str, b: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.views import table
-from . import decontam, jaccard, quality, substring
+from . import decontam, jaccard, packing, quality, substring
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
@@ -71,3 +71,18 @@ def op7_substring_dedup(spark, folder):
 @query("op8_ngram_jaccard")
 def op8_ngram_jaccard(spark, folder):
     return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_packing")
+def op9_packing(spark, folder):
+    packed = packing.pack(table(spark, folder, "documents").select("doc_id", "text"), _tokenizer())
+    return packed.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+    )
