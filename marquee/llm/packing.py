@@ -152,6 +152,26 @@ def _best_fills(sizes: np.ndarray, prices: np.ndarray, most: int) -> tuple[float
     return float(value[CLASSES]), fills
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Their product by plain loops: threads of a linear algebra library can hang beside the JVM."""
+    return np.einsum("ij,j->i", matrix, vector)
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination with the largest pivot of each column."""
+    n = len(matrix)
+    work = np.concatenate([matrix, np.eye(n)], axis=1)
+    for j in range(n):
+        i = j + int(np.abs(work[j:, j]).argmax())
+        work[[i, j]] = work[[j, i]]
+        work[j] /= work[j, j]
+        rest = work[:, j].copy()
+        rest[j] = 0
+        live = np.flatnonzero(rest)
+        work[live] -= rest[live, None] * work[j]
+    return work[:, n:].copy()
+
+
 def solve(demand: dict[int, int]) -> list[Pattern]:
     """Patterns with whole multiplicities that hold exactly the demanded pieces."""
     sizes = np.array(sorted(c for c, n in demand.items() if n > 0), np.int64)
@@ -162,44 +182,46 @@ def solve(demand: dict[int, int]) -> list[Pattern]:
     inverse = np.diag(1 / np.diag(columns))
     # A little noise keeps the simplex method from standing still where several amounts are 0 at once.
     target = wanted * (1 + 1e-4 * np.random.default_rng(1).random(len(sizes)))
-    costs, amounts = np.ones(len(sizes)), inverse @ target
+    costs, amounts = np.ones(len(sizes)), _times(inverse, target)
     best, centre = 0.0, np.zeros(len(sizes))
 
-    def enter(column: np.ndarray, cost: float) -> None:
-        step = inverse @ column
+    def enter(column: np.ndarray, cost: float) -> bool:
+        step = _times(inverse, column)
         ratio = np.where(step > 1e-9, amounts / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
-            return
+            return False
         amounts[:] = np.maximum(amounts - step * ratio[out], 0)
         amounts[out], columns[:, out], costs[out] = ratio[out], column, cost
         pivot = inverse[out] / step[out]
         inverse[:] -= np.outer(step, pivot)
         inverse[out] = pivot
+        return True
 
     for turn in range(ROUNDS):
         if turn % 20 == 0:
-            inverse = np.linalg.inv(columns)
-            amounts = np.maximum(inverse @ target, 0)
-        prices = costs @ inverse
-        while prices.min() < -1e-7:  # more pieces than demanded may be cut
+            inverse = _inverse(columns)
+            amounts = np.maximum(_times(inverse, target), 0)
+        prices = _times(inverse.T, costs)
+        for _ in range(len(sizes)):  # more pieces than demanded may be cut
             least = int(prices.argmin())
-            enter(-np.eye(len(sizes))[least], 0.0)
-            prices = costs @ inverse
+            if prices[least] > -1e-7 or not enter(-np.eye(len(sizes))[least], 0.0):
+                break
+            prices = _times(inverse.T, costs)
         prices = np.maximum(prices, 0)
         # Prices swing from round to round; those half way to the best ones so far find better patterns.
         for weight in (SMOOTH, 0.0):
             asked = weight * centre + (1 - weight) * prices
             value, fills = _best_fills(sizes, asked, AT_ONCE)
-            if asked @ target > best * value:
-                best, centre = asked @ target / value, asked / value
-            fills = [c for c in fills if prices @ c > 1 + 1e-7]
+            if (asked * target).sum() > best * value:
+                best, centre = (asked * target).sum() / value, asked / value
+            fills = [c for c in fills if (prices * c).sum() > 1 + 1e-7]
             if fills:
                 break
-        if not fills or costs @ amounts - best <= GAP * best:
+        if not fills or (costs * amounts).sum() - best <= GAP * best:
             break
         for column in fills:
-            if costs @ inverse @ column > 1 + 1e-7:
+            if (_times(inverse.T, costs) * column).sum() > 1 + 1e-7:
                 enter(column, 1.0)
     left = wanted.astype(np.int64).copy()
     found = []
