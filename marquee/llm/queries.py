@@ -48,7 +48,7 @@ def _lines_digest(values):
 
 @query("op1_decontamination")
 def op1_decontamination(spark, folder):
-    found = decontam.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = decontam.scan(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",
@@ -62,7 +62,7 @@ def op1_decontamination(spark, folder):
 
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark, folder):
-    cut = substring.remove_repeats(table(spark, folder, "documents"))
+    cut = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
@@ -70,7 +70,7 @@ def op7_substring_dedup(spark, folder):
 
 @query("op8_ngram_jaccard")
 def op8_ngram_jaccard(spark, folder):
-    return jaccard.similar_groups(table(spark, folder, "documents"))
+    return jaccard.similar_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _tokenizer() -> str:

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import wordhash as wh
@@ -25,7 +26,7 @@ from . import wordhash as wh
 WINDOW = 35
 RUN = 4  # words of a minimiser; WINDOW - RUN + 1 is a power of two
 SHARD_BYTES = 4 << 20
-BUCKETS_PER_PARTITION = 16
+BUCKETS_PER_PARTITION = 8
 
 OCCURRENCE = np.dtype([("string", "<i4"), ("start", "<i4"), ("key", "<i8"), ("check", "<i4")])
 
@@ -63,7 +64,7 @@ def _pack(shard: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     places["key"] = shard.column(1).to_numpy(zero_copy_only=False)[text]
     places["check"] = shard.column(2).to_numpy(zero_copy_only=False)[text]
     raw, begin, end = data.tobytes(), words.starts[first].tolist(), words.ends[last + WINDOW - 1].tolist()
-    codec = pa.Codec("zstd", compression_level=1)
+    codec = pa.Codec("zstd", compression_level=3)
     to, sizes, packed = [], [], []
     for a, b in zip(cuts[:-1], cuts[1:]):
         mine = order[a:b]
@@ -171,16 +172,18 @@ def remove_repeats(rows: DataFrame, text: str = "text", buckets: int | None = No
     spans = repeated_spans(identified, buckets).groupBy("key", "check")
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     flat = F.flatten(F.transform("spans", lambda s: F.array(s["start"], s["end"]))).alias("spans")
-    both = identified.join(spans.select("key", "check", flat), ["key", "check"], "left").select("row", "text", "spans")
+    both = identified.drop("text").join(spans.select("key", "check", flat), ["key", "check"], "left").select("row", "spans")
     schema = T.StructType(
         [both.schema["row"], *T.StructType.fromDDL("n_words bigint, n_removed bigint, kept string").fields]
     )
 
+    place = rows.columns.index(text)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for value, spans in zip(batch.column(1), batch.column(2)):
-                words = (value.as_py() or "").encode().split()
+            for value, spans in zip(pc.struct_field(batch.column(0), place), batch.column(1)):
+                words = str(value.as_py() or "").encode().split()
                 left, at = [], 0
                 stretch = spans.as_py() or []
                 for start, end in zip(stretch[0::2], stretch[1::2]):
