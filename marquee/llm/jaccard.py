@@ -439,12 +439,12 @@ def first_of_groups(rows: DataFrame, key: str = "doc_id", text: str = "text", bu
     hashed, ids, groups = _grouped(rows, key, text, buckets)
     others = ids.where("size > 0").select("key", "check", "root").distinct().join(groups, "root")
     others = others.where(F.struct("key", "check") != F.col("one")).select("key", "check")
-    kept = hashed.join(others, ["key", "check"], "left_anti")
+    kept = hashed.drop("text").join(others, ["key", "check"], "left_anti")
     repeated = kept.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1").select("key", "check")
     once = kept.join(repeated, ["key", "check"], "left_anti").select("row")
     several = kept.join(repeated, ["key", "check"], "left_semi")
-    bare = several.where(F.coalesce(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")), F.lit("")) == "").select("row")
-    full = several.where(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")) != "")
+    bare_text = F.coalesce(F.translate(F.col("row")[text], " \t\n\x0b\f\r", "") == "", F.lit(True))
+    bare, full = several.where(bare_text).select("row"), several.where(~bare_text)
     first = full.dropDuplicates(["key", "check"]).select("row")
     return once.unionByName(bare).unionByName(first).select("row.*")
 
