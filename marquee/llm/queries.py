@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.views import table
-from . import decontam, jaccard, packing, quality, substring
+from . import chat, decontam, jaccard, langid, licences, packing, quality, substring, toxicity, warc
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
@@ -86,3 +86,67 @@ def op9_packing(spark, folder):
         F.col("row.doc_id").alias("doc_id"),
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
     )
+
+
+def _remainder(key: str, of: int):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % of
+
+
+@query("op2_chat_format")
+def op2_chat_format(spark, folder):
+    said = "\\### Assistant: </turn> ok"
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(probe), _tokenizer()))
+
+
+@query(
+    "op3_warc_archives",
+    """
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+d as (select page_id, octet_length(b)::bigint as payload_bytes, sha256(b) as payload_digest from p),
+f as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first from d)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to from f
+""",
+)
+def op3_warc_archives(spark, folder):
+    back = warc.round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    learn = labels.where(_remainder("doc_id", 5) != 0).select("doc_id", "toxic")
+    counts = toxicity.trigram_counts(docs)
+    model = toxicity.train(docs, learn, "doc_id", "text", "toxic", counts)
+    found = toxicity.score(docs, model, "doc_id", "text")
+    return found.select(
+        "doc_id",
+        (_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def _as_files(docs):
+    """Documents laid out as files: a folder of a thousand per source, folders of fifty in it, the first of each a licence file."""
+    name = F.when(F.col("doc_id") % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    folder = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 50)]
+    return docs.select("doc_id", F.concat_ws("/", "source", *folder, name).alias("path"), "text")
+
+
+@query("op5_licence_scan")
+def op5_licence_scan(spark, folder):
+    found = licences.scan(_as_files(table(spark, folder, "documents")))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "path", "licence", "score", "effective", "from_path")
+
+
+@query("op10_language_id")
+def op10_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    learn = docs.where(_remainder("doc_id", 4) != 2)
+    model = langid.train(learn, "doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), model, "doc_id", "text")
+    return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
