@@ -38,7 +38,7 @@ PERCENT = 75
 BLOCKS = 64
 FILL = 3.5  # shingles of the smallest set of a band in one block
 LOWEST = 2.0 ** (np.arange(96) / 2)  # size at which each band begins
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 BUCKETS_PER_PARTITION = 4
 HEAD_ROWS = 1 << 10  # members that one task compares with one head
 TILE = 1 << 11  # classes of one block that are compared with as many others at once
@@ -368,9 +368,10 @@ def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
     Blocks of many classes are compared in tiles, so that no task holds more than two tiles of a block.
     """
     tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    held = blocks.groupBy("c").agg(F.collect_set("block").alias("held"))
     rows = blocks.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("c"), "tiles").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.join(members.select("c", "bits"), "c").select(
+    rows = rows.join(members.select("c", "bits").join(held, "c"), "c").select(
         "block",
         F.least("tile", "other").alias("low"),
         F.greatest("tile", "other").alias("high"),
@@ -379,6 +380,7 @@ def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
         "c",
         F.xxhash64("root").alias("root"),
         "bits",
+        "held",
     )
 
     def tile_pairs(size, root, tile, inner, bits):
@@ -407,13 +409,21 @@ def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
         fresh[:1] = True
         cuts = np.append(np.flatnonzero(fresh), len(order))
         bits = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bits")]
+        holds = table.column("held").to_pylist()
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a, b in zip(cuts[:-1], cuts[1:]):
             mine = order[a:b]
             inner = low[mine[0]] == high[mine[0]]
             x, y = tile_pairs(size[mine].astype(np.int64), root[mine], tile[mine], inner, [bits[i] for i in mine])
-            left += [mine[i] for i in x]
-            right += [mine[i] for i in y]
+            if not x:
+                continue
+            x, y = mine[np.concatenate(x)], mine[np.concatenate(y)]
+            # A pair is reported by the first of the blocks that it shares, not by all of them.
+            sets = {i: set(holds[i]) for i in np.union1d(x, y).tolist()}
+            here = int(block[mine[0]])
+            first = [min(sets[i] & sets[j]) == here for i, j in zip(x.tolist(), y.tolist())]
+            left.append(x[first])
+            right.append(y[first])
         c = table.column("c").combine_chunks()
         return pa.table({"a": c.take(pa.array(np.concatenate(left))), "b": c.take(pa.array(np.concatenate(right)))})
 
@@ -421,7 +431,7 @@ def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
     parts = BUCKETS_PER_PARTITION * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("block", "low", "high"), F.lit(parts)))
     found = dealt.groupBy("part").applyInArrow(compare, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def similar_groups(rows: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
