@@ -11,7 +11,9 @@ NULL and empty texts are the end id alone. Every input row is a document of its
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,8 +28,8 @@ from .storage import stored
 LENGTH = 1024
 CLASSES = 256
 END = 0
-SHARD_BYTES = 4 << 20
-CACHED = 2_000_000  # stretches between blanks whose ids a task remembers
+SHARD_BYTES = 1 << 20
+CACHED = 300_000  # stretches between blanks whose ids a task remembers
 ROUNDS = 2_000
 SMOOTH = 0.9
 AT_ONCE = 8  # patterns that one round of the knapsack may add
@@ -44,13 +46,14 @@ class TokenIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def of(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHED:
