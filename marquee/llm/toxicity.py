@@ -27,6 +27,7 @@ from . import wordhash as wh
 MOST_LABELLED = 20_000
 FEATURES = 4_000
 SEEN_AT_LEAST = 5
+ERRORS_APART = 4.0  # standard errors by which a feature must differ between the labels
 PREFIX = 5
 SHARD_BYTES = 2 << 20
 CACHED = 200_000
@@ -167,8 +168,10 @@ def train(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, c
     n0, n1 = total["clean"], total["toxic"]
     # How far a feature's share among toxic texts lies from that among the others, in standard errors.
     share = (F.col("clean") + F.col("toxic") + 1) / (n0 + n1 + 2)
-    apart = F.abs(F.col("toxic") / max(n1, 1) - F.col("clean") / max(n0, 1)) / F.sqrt(share * (1 - share))
-    best = sums.where(f"feature <> '' and clean + toxic >= {SEEN_AT_LEAST}").orderBy(apart.desc(), "feature").limit(FEATURES)
+    error = F.sqrt(share * (1 - share) * (n0 + n1) / (max(n0, 1) * max(n1, 1)))
+    apart = F.abs(F.col("toxic") / max(n1, 1) - F.col("clean") / max(n0, 1)) / error
+    seen = sums.where(f"feature <> '' and clean + toxic >= {SEEN_AT_LEAST}").where(apart >= ERRORS_APART)
+    best = seen.orderBy(apart.desc(), "feature").limit(FEATURES)
     names = [r["feature"] for r in best.select("feature").collect()]
     place = {name: i for i, name in enumerate(names)}
 
