@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .order_statistics import values_at_ranks
 
@@ -47,14 +47,15 @@ def first_share(
 ) -> DataFrame:
     """The first `size(n)` rows of each group of n rows: largest `by` first, then smallest `tie`.
 
-    `by` must be numeric without NULLs, `tie` numeric and unique within a group. The size of the share
+    `by` must be numeric without NULLs, `tie` unique within a group; a `tie` that is no number always takes the window. The size of the share
     depends on the data, so rows cannot be cut before the shuffle. Groups up to `hot_rows` rows use a
     window. For a larger group the value at the cut is looked up instead, and its rows are only
     filtered. One small job at the start finds out whether there is any such group.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("group_rows"))
     hot = sizes.where(F.col("group_rows") > hot_rows)
-    if hot.isEmpty():
+    numeric = isinstance(rows.schema[tie].dataType, T.NumericType)
+    if not numeric or hot.isEmpty():
         return _share_by_window(rows, keys, by, tie, size)
     # At most rows / hot_rows groups can be hot, so their list is safe to broadcast.
     hot = F.broadcast(hot)

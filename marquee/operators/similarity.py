@@ -1,6 +1,6 @@
 """Cosine similarity between titles and between vectors, never as an N x N table.
 
-`similar_to` compares a bounded list of liked titles with all titles in one pass. `neighbours` finds the nearest
+`similar_to` compares a list of liked titles with all titles, block by block. `neighbours` finds the nearest
 titles of every title: copies are folded first, the distinct titles are compared block against block inside
 numpy, and each comparison returns only its best rows.
 """
@@ -18,7 +18,7 @@ from ..session import ensure_checkpoint_dir
 from .features import FeatureSettings
 from .ranking import top_per_group
 
-MAX_LIKED = 1_000  # a liked list is broadcast as one row, so its length is checked
+LIKED_ROWS = 512  # liked titles that one pass over the catalogue is compared with
 BLOCK_ROWS = 2_048  # smallest block of a block comparison
 LARGE_BLOCK_ROWS = 16_384  # largest block: fewer blocks mean fewer copies of each side
 CELLS_AT_ONCE = 1 << 23  # similarities held in memory by one task
@@ -39,27 +39,21 @@ def total_weight(labels: DataFrame, settings: FeatureSettings) -> Column:
 def similar_to(labels: DataFrame, liked: DataFrame, n: int, settings: FeatureSettings) -> DataFrame:
     """The n titles most similar to each liked title, liked ones left out: liked_id, pos, id, sim, rank.
 
-    `liked` has the columns pos and id. One pass over the titles; per liked title and partition only n rows
-    are shuffled. Equal similarities are ordered by id.
+    `liked` has the columns pos and id and may be of any length: it is compared in blocks of about LIKED_ROWS, each with all
+    titles. Per liked title and partition only n rows are shuffled. Equal similarities are ordered by id.
     """
     families = families_of(labels)
     norm = total_weight(labels, settings)
-    packed = (
-        liked.join(labels, "id")
-        .withColumn("weight", norm)
-        .agg(F.collect_list(F.struct("pos", "id", "weight", *families)).alias("liked"))
-        .select(
-            F.when(F.size("liked") <= MAX_LIKED, F.col("liked"))
-            .otherwise(F.raise_error(F.lit("the liked list is too long")))
-            .alias("liked")
-        )
-    )
-    candidates = labels.join(F.broadcast(liked.select("id").limit(MAX_LIKED)), "id", "left_anti")
-    pairs = (
-        candidates.withColumn("weight", norm)
-        .withColumn("liked", packed.scalar())
-        .withColumn("l", F.explode("liked"))
+    known = liked.join(labels, "id").withColumn("weight", norm)
+    blocks = max(1, math.ceil(liked.count() / LIKED_ROWS))
+    number = F.pmod(F.xxhash64("id", "pos"), F.lit(blocks)).cast("int")
+    packed = known.groupBy(number.alias("block")).agg(
+        F.collect_list(F.struct("pos", "id", "weight", *families)).alias("liked")
     )
+    # Without a hint: the list may be of any length.
+    candidates = labels.join(liked.select("id").distinct(), "id", "left_anti").withColumn("weight", norm)
+    each = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = each.join(packed, "block").drop("block").withColumn("l", F.explode("liked"))
     shared = [
         F.when(F.col(f) == F.col(f"l.{f}"), F.lit(settings.weight(f))).otherwise(0) for f in families
     ]
@@ -230,8 +224,17 @@ def neighbours(
 
 
 def vector_neighbours(vectors: DataFrame, n: int, key: str, vector: str) -> DataFrame:
-    """The n nearest vectors of every vector by cosine: key, other, sim, rank. Vectors must not be zero."""
+    """The n nearest vectors of every vector by cosine: key, other, sim, rank.
+
+    NULL and zero vectors, and those with a NULL or infinite number, have no cosine and take no part. The others must be
+    of one length.
+    """
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    rows = rows.where((square > 0) & (square < float("inf")))
+    lengths = rows.agg(F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")).first()
+    if lengths["low"] != lengths["high"]:
+        raise ValueError(f"vectors of {lengths['low']} to {lengths['high']} numbers have no cosine")
     blocks = _blocks_needed(rows)
     packed = _packed(rows, "id", "vector", blocks)
 

@@ -30,10 +30,9 @@ def _whole(amount: Column) -> Column:
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """One row per part, dressed as a title."""
     part, lineitem = table(spark, folder, "part"), table(spark, folder, "lineitem")
-    orders, nation = table(spark, folder, "orders"), table(spark, folder, "nation")
+    nation = table(spark, folder, "nation")
     sold = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("l_partkey")
+        lineitem.groupBy("l_partkey")
         .agg(
             F.avg(_whole(F.col("l_discount") * 100).cast("int")).alias("rating"),
             F.count("*").alias("num_votes"),
@@ -113,7 +112,7 @@ ITEMS = """items as (
                cast(sum(cast(round(l_extendedprice) as bigint)) as bigint) as gross,
                cast(count(*) filter (where l_returnflag = 'R') as bigint) as user_review_num,
                cast(count(*) filter (where l_returnflag = 'A') as bigint) as critic_review_num
-             from lineitem join orders on l_orderkey = o_orderkey group by l_partkey) a on a.l_partkey = p.p_partkey
+             from lineitem group by l_partkey) a on a.l_partkey = p.p_partkey
   left join nation n on n.n_nationkey = p.p_partkey % 25
 )"""
 

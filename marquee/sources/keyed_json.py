@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+HEAD_PIECES = 256  # pieces that end in a brace, from which the form of the files is seen
+
 
 def parse_keyed(documents: DataFrame, value: Column, schema: T.StructType, key: str = "id") -> DataFrame:
     """`{id: {field: ...}}` texts -> one row per id."""
@@ -36,16 +38,26 @@ def read_keyed(
     if key_prefix is None:
         files = spark.read.text(path, wholetext=True)
         return parse_keyed(files, F.col("value"), schema, key)
-    written = key_prefix.replace("/", "\\/")  # the writer escapes slashes
-    boundary = '},"' + written
+    # How the writer separates records and whether it escapes slashes shows in the first pieces of the files.
+    head = "}".join(r["value"] for r in spark.read.option("lineSep", "}").text(path).limit(HEAD_PIECES).collect())
+    forms = [key_prefix, key_prefix.replace("/", "\\/")]
+    written = next((w for w in reversed(forms) if re.match(r'\s*\{\s*"' + re.escape(w), head)), None)
+    found = written and re.search(r'\}(\s*,\s*)"' + re.escape(written), head)
+    if not found:  # a single record, or ids that begin otherwise
+        return read_keyed(spark, path, schema, key)
+    boundary = f'}}{found[1]}"{written}'
     pieces = spark.read.option("lineSep", boundary).text(path)
     # The first piece still has the opening of the object; the others begin inside the id.
-    body = F.regexp_replace("value", r'^\s*\{"' + re.escape(written), "")
-    ended = F.instr(body, '":')
+    body = F.regexp_replace("value", r'^\s*\{\s*"' + re.escape(written), "")
+    ended = F.instr(body, '"')
     identifier = F.concat(F.lit(key_prefix), F.replace(F.substring(body, 1, ended - 1), F.lit("\\/"), F.lit("/")))
+    rest = F.regexp_replace(F.substring(body, ended + 1, F.length(body)), r"^\s*:", "")
     # The separator took the closing brace of the record; the last piece has one too many, which the parser ignores.
-    record = F.from_json(F.concat(F.substring(body, ended + 2, F.length(body)), F.lit("}")), schema)
-    return pieces.where(ended > 0).select(identifier.alias(key), record.alias("record")).select(key, "record.*")
+    record = F.from_json(F.concat(rest, F.lit("}")), schema)
+    torn = body.rlike(r'\}\s*,\s*"' + re.escape(written).replace("/", r"\\?/"))
+    wrong = F.raise_error(F.concat(F.lit("not one record: "), F.substring("value", 1, 200)))
+    record = F.when((ended > 0) & ~torn & record.isNotNull(), record).otherwise(wrong)
+    return pieces.where(F.trim("value") != "").select(identifier.alias(key), record.alias("record")).select(key, "record.*")
 
 
 def read_by_column(spark: SparkSession, path: str, columns: list[str], key: str = "id") -> DataFrame:

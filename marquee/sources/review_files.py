@@ -56,10 +56,10 @@ def check_format(form: str) -> str:
     return form
 
 
-def finished_parts(spark: SparkSession, path: str) -> DataFrame | None:
-    """The partition numbers written completely; None before the first write."""
+def finished_titles(spark: SparkSession, path: str) -> DataFrame | None:
+    """id, part, parts, form of all titles written completely; None before the first write."""
     try:
-        return spark.read.parquet(f"{path}.done").select("part").distinct()
+        return spark.read.parquet(f"{path}.done")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -67,21 +67,25 @@ def finished_parts(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_parts(reviews: DataFrame, path: str, parts: int, form: str = "parquet") -> None:
-    """Write processed reviews under `part=N`; partitions that are finished are left as they are.
+    """Write processed reviews under `part=N`. A partition is rebuilt from the given reviews if one of its titles is new,
+    and left as it is otherwise.
 
-    A partition counts as finished only after its rows are committed. A run that dies in between is repeated
-    safely: its partitions are overwritten as a whole.
+    A title counts as finished only after its rows are committed. A run that dies in between is repeated safely: its
+    partitions are overwritten as a whole. The number of partitions and the format cannot change within a folder.
     """
     check_format(form)
     spark = reviews.sparkSession
     placed = reviews if "part" in reviews.columns else reviews.withColumn("part", review_part(parts))
-    done = finished_parts(spark, path)
-    numbers = spark.range(parts).select(F.col("id").cast("int").alias("part"))
+    done = finished_titles(spark, path)
+    titles = placed.select("id", "part").distinct()
     if done is not None:
-        # Read now: the list must not change while this run adds to it. There are at most `parts` numbers.
-        done = spark.createDataFrame([tuple(row) for row in done.collect()], "part int")
-        placed = placed.join(done, "part", "left_anti")
-        numbers = numbers.join(done, "part", "left_anti")
+        other = done.where((F.col("parts") != parts) | (F.col("form") != form)).first()
+        if other is not None:
+            raise ValueError(f"{path} holds {other['parts']} partitions of {other['form']}, not {parts} of {form}")
+        titles = titles.join(done.select("id"), "id", "left_anti")
+        # At most `parts` numbers, read now: the list must not change while this run adds to it.
+        changed = [row["part"] for row in titles.select("part").distinct().collect()]
+        placed = placed.where(F.col("part").isin(changed))
     # 'rebalance' gathers small partitions and spreads one with very many rows over several tasks.
     writer = (
         placed.hint("rebalance", "part")
@@ -92,7 +96,8 @@ def write_parts(reviews: DataFrame, path: str, parts: int, form: str = "parquet"
     if form == "csv":
         writer = writer.options(compression="gzip", **CSV_WRITING)
     writer.format(form).save(path)
-    numbers.coalesce(1).write.mode("append").parquet(f"{path}.done")
+    log = titles.select("id", "part", F.lit(parts).alias("parts"), F.lit(form).alias("form"))
+    log.write.mode("append").parquet(f"{path}.done")
 
 
 def read_columns(spark: SparkSession, paths: list[str], columns: list[str], form: str = "parquet") -> DataFrame:

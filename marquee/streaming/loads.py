@@ -11,12 +11,12 @@ from ..sources.review_files import CSV_OPTIONS
 
 
 def raw_review_stream(spark: SparkSession, path: str, files_per_step: int) -> DataFrame:
-    return (
-        spark.readStream.schema(RAW_REVIEW)
-        .options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_step)
-        .csv(path)
-    )
+    """New review files. Columns go by the header of the files there are: an unnamed row number in front is dropped."""
+    columns = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    kinds = {f.name: f.dataType for f in RAW_REVIEW.fields}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in columns])
+    files = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_step)
+    return files.csv(path).select(*[c for c in RAW_REVIEW.fieldNames() if c in columns])
 
 
 def load_reviews(

@@ -16,28 +16,28 @@ def one(spark, value, kind, expression):
 
 RAW = dict(
     id="/title/tt1/",
-    main_genre="Adventure",
-    original_title="L'Inferno",
-    genres=["Adventure", "Drama", "Fantasy"],
+    main_genre="Mystery",
+    original_title="The Lamp Room",
+    genres=["Mystery", "Romance", "Western"],
     poster_url="p",
-    review_summary=Row(user_review_num="1.2K", critic_review_num="76", metascore="99"),
-    agg_rating=Row(avg_rating="7.0/10", num_votes="2.9K"),
-    actors={"1": "/name/nm0660139", "2": "/name/nm0685283", "3": "/name/nm0685284"},
-    imdb_recommendations={"1": "/title/tt0003740/", "2": "/title/tt0001223/"},
+    review_summary=Row(user_review_num="3.4K", critic_review_num="58", metascore="41"),
+    agg_rating=Row(avg_rating="6.3/10", num_votes="7.5K"),
+    actors={"1": "/name/nm5000011", "2": "/name/nm5000022", "3": "/name/nm5000033"},
+    imdb_recommendations={"1": "/title/tt7000001/", "2": "/title/tt7000002/"},
     details=Row(
-        release_date=["July 1911 (United States)"],
-        countries_of_origin=["Italy"],
-        language=["Italian", "English"],
-        also_known_as=["El infierno"],
-        production_companies=["Milano Film", "SAFFI-Comerio"],
-        filming_locations=["Bovisa, Milano, Lombardia, Italy"],
-        runtime="1 hour 11 minutes",
+        release_date=["March 1954 (Norway)"],
+        countries_of_origin=["Norway"],
+        language=["Norwegian", "English"],
+        also_known_as=["Lamperommet"],
+        production_companies=["Fjord Pictures", "Nine Piers"],
+        filming_locations=["Pier 9, Bergen, Norway"],
+        runtime="2 hours 5 minutes",
     ),
     boxoffice=Row(
-        budget="$185,000,000 (estimated)",
-        boxoffice_gross_domestic="$534,987,076",
-        boxoffice_gross_opening="$158,411,483",
-        boxoffice_gross_worldwide="$1,006,102,277",
+        budget="$2,450,000 (estimated)",
+        boxoffice_gross_domestic="$8,120,400",
+        boxoffice_gross_opening="$610,025",
+        boxoffice_gross_worldwide="$19,300,750",
     ),
 )
 
@@ -51,7 +51,7 @@ def raw_titles(spark):
         id="/title/tt2/",
         genres=[],
         review_summary=Row(user_review_num=None, critic_review_num="n/a", metascore=None),
-        agg_rating=Row(avg_rating="8.1/10", num_votes="2.6M"),
+        agg_rating=Row(avg_rating="5.9/10", num_votes="1.3M"),
         details=Row(
             release_date=None,
             countries_of_origin=["A", "B", "C", "D"],
@@ -72,26 +72,26 @@ def test_clean_titles_golden(raw_titles):
     rows = {r["id"]: r for r in titles.clean_titles(raw_titles).collect()}
     assert set(rows) == {"/title/tt1/", "/title/tt2/"}
     full = rows["/title/tt1/"]
-    assert (full["rating"], full["num_votes"]) == (7.0, 2900.0)
-    assert (full["user_review_num"], full["critic_review_num"], full["metascore"]) == (1200.0, 76.0, 99.0)
-    assert full["release_date"] == dt.date(1911, 7, 1)
-    assert full["runtime"] == 71.0
-    assert [full[c] for c in titles.COUNTRY_COLUMNS] == ["Italy", None, None]
-    assert full["original_language"] == "Italian"
-    assert full["also_known_as"] == "El infierno"
-    assert [full[c] for c in titles.COMPANY_COLUMNS] == ["Milano Film", "SAFFI-Comerio", None]
-    assert full["filming_location"] == "Bovisa, Milano, Lombardia, Italy"
-    assert full["filming_country"] == "Italy"
-    assert [full[c] for c in titles.GENRE_COLUMNS] == ["Adventure", "Drama", "Fantasy"]
-    assert full["budget"] == "$185,000,000 (estimated)"
-    assert full["boxoffice_gross_worldwide"] == "$1,006,102,277"
+    assert (full["rating"], full["num_votes"]) == (6.3, 7500.0)
+    assert (full["user_review_num"], full["critic_review_num"], full["metascore"]) == (3400.0, 58.0, 41.0)
+    assert full["release_date"] == dt.date(1954, 3, 1)
+    assert full["runtime"] == 125.0
+    assert [full[c] for c in titles.COUNTRY_COLUMNS] == ["Norway", None, None]
+    assert full["original_language"] == "Norwegian"
+    assert full["also_known_as"] == "Lamperommet"
+    assert [full[c] for c in titles.COMPANY_COLUMNS] == ["Fjord Pictures", "Nine Piers", None]
+    assert full["filming_location"] == "Pier 9, Bergen, Norway"
+    assert full["filming_country"] == "Norway"
+    assert [full[c] for c in titles.GENRE_COLUMNS] == ["Mystery", "Romance", "Western"]
+    assert full["budget"] == "$2,450,000 (estimated)"
+    assert full["boxoffice_gross_worldwide"] == "$19,300,750"
     for gone in ("agg_rating", "review_summary", "details", "boxoffice", "genres", "language"):
         assert gone not in full
 
 
 def test_clean_titles_edges(raw_titles):
     bare = {r["id"]: r for r in titles.clean_titles(raw_titles).collect()}["/title/tt2/"]
-    assert bare["num_votes"] == 2_600_000.0
+    assert bare["num_votes"] == 1_300_000.0
     assert bare["critic_review_num"] is None and bare["release_date"] is None and bare["runtime"] is None
     assert [bare[c] for c in titles.COUNTRY_COLUMNS] == ["A", "B", "C"]
     assert [bare[c] for c in titles.COMPANY_COLUMNS] == ["A", "B", "C"]
@@ -102,15 +102,15 @@ def test_clean_titles_edges(raw_titles):
 
 def test_ranked_maps(raw_titles):
     wide = titles.ranked_columns(raw_titles, "actors", 3).first()
-    assert (wide["1"], wide["3"]) == ("/name/nm0660139", "/name/nm0685284")
+    assert (wide["1"], wide["3"]) == ("/name/nm5000011", "/name/nm5000033")
     entries = titles.ranked_entries(raw_titles, "imdb_recommendations").where("id = '/title/tt1/'").collect()
-    assert {(r["rank"], r["value"]) for r in entries} == {(1, "/title/tt0003740/"), (2, "/title/tt0001223/")}
+    assert {(r["rank"], r["value"]) for r in entries} == {(1, "/title/tt7000001/"), (2, "/title/tt7000002/")}
 
 
 def test_clean_reviews(spark):
     rows = [
-        ("/title/tt1/", "t", "8", "31 January 2020", "a\n\n", "/user/ur1/?ref_=x", "\n 171 out of 185 found this helpful.\n"),
-        ("/title/tt1/", "t", None, "\n    30 March 2013\n   ", "\nb", None, "\n 1,710 out of 1,850 found this helpful.\n"),
+        ("/title/tt1/", "t", "8", "31 January 2020", "a\n\n", "/user/ur1/?ref_=x", "\n 12 out of 40 found this helpful.\n"),
+        ("/title/tt1/", "t", None, "\n    30 March 2013\n   ", "\nb", None, "\n 1,200 out of 4,000 found this helpful.\n"),
         ("/title/tt2/", "t", "9", "x", None, "/user/ur2/", "nobody yet"),
         ("/title/tt2/", "t", "9", "1 May 2001", "c", "/user/ur2/", "40,000 out of 50,000"),
     ]
@@ -120,9 +120,9 @@ def test_clean_reviews(spark):
         "id", "text", "rating", "title", "author", "upvotes", "total_votes", "review_date",
     }
     a, b, c, d = cleaned.collect()
-    assert (a["upvotes"], a["total_votes"], a["title"], a["author"]) == (171, 185, "a", "/user/ur1/")
+    assert (a["upvotes"], a["total_votes"], a["title"], a["author"]) == (12, 40, "a", "/user/ur1/")
     assert a["review_date"] == dt.date(2020, 1, 31) and a["rating"] == 8.0
-    assert (b["upvotes"], b["total_votes"], b["title"], b["author"]) == (1710, 1850, "\nb", None)
+    assert (b["upvotes"], b["total_votes"], b["title"], b["author"]) == (1200, 4000, "\nb", None)
     assert b["review_date"] == dt.date(2013, 3, 30) and b["rating"] is None
     assert (c["upvotes"], c["total_votes"], c["title"], c["review_date"]) == (None, None, None, None)
     assert (d["upvotes"], d["total_votes"]) == (40_000, 50_000)

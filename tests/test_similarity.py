@@ -98,12 +98,29 @@ def test_recommendations_for_a_liked_list(spark):
     assert [r["relevance"] for r in found] == pytest.approx([s for _, s in expected])
 
 
-def test_liked_list_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(sim, "MAX_LIKED", 2)
-    table = catalogue(20)
-    likes = spark.createDataFrame([(p, int(i)) for p, i in enumerate(table["id"].head(3))], "pos int, id long")
-    with pytest.raises(Exception, match="too long"):
-        sim.similar_to(frame(spark, table), likes, 2, SETTINGS).collect()
+def test_a_long_liked_list_is_never_recommended_back(spark, monkeypatch):
+    monkeypatch.setattr(sim, "LIKED_ROWS", 16)
+    table = catalogue(60)
+    ids = [int(i) for i in table["id"]]
+    liked = ids[:40] + [10_000 + i for i in range(1_460)]
+    likes = spark.createDataFrame(list(enumerate(liked)), "pos int, id long")
+    found = sim.similar_to(frame(spark, table), likes, 5, SETTINGS).collect()
+    assert not {r["id"] for r in found} & set(liked)
+    assert {r["liked_id"] for r in found} == set(ids[:40])
+
+
+@pytest.mark.parametrize("bad", [[], [[0.0] * 8], [[0.0] * 8, None] * 6, [[None] * 8, [float("nan")] * 8]])
+def test_vectors_without_a_cosine_take_no_part(spark, bad):
+    vectors = np.random.default_rng(3).normal(size=(20, 8)).tolist() + bad
+    rows = spark.createDataFrame(list(enumerate(vectors)), "v_id long, v array<double>")
+    found = sim.vector_neighbours(rows, 5, "v_id", "v").collect()
+    assert len(found) == 100 and all(r["v_id"] < 20 and r["other"] < 20 for r in found)
+
+
+def test_vectors_of_different_lengths_are_refused(spark):
+    rows = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "v_id long, v array<double>")
+    with pytest.raises(ValueError, match="numbers"):
+        sim.vector_neighbours(rows, 5, "v_id", "v")
 
 
 @pytest.mark.parametrize("depth", [2, 500])

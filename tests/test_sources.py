@@ -125,6 +125,25 @@ def test_unfinished_part_is_written_again(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
 
 
+def test_new_titles_of_a_finished_part_are_written(spark, tmp_path):
+    target = str(tmp_path / "out")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    review_files.write_parts(rows.where("v < 3"), target, 1)
+    review_files.write_parts(rows, target, 1)
+    assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="partitions"):
+        review_files.write_parts(rows, target, 2)
+
+
+@pytest.mark.parametrize("slash", ["/", "\\/"])
+@pytest.mark.parametrize("separators", [(",", ":"), (", ", ": ")])
+def test_keyed_object_in_every_form(spark, tmp_path, slash, separators):
+    for n in (1, 5):
+        (tmp_path / f"{n}.json").write_text(json.dumps(records(n), separators=separators).replace("/", slash))
+        reader = keyed_json.read_keyed(spark, str(tmp_path / f"{n}.json"), RECORD, key_prefix="/title/")
+        assert {r["id"]: r["name"] for r in reader.collect()} == {k: v["name"] for k, v in records(n).items()}
+
+
 def test_formats_and_locations():
     with pytest.raises(ValueError):
         review_files.check_format("orc")

@@ -1,25 +1,28 @@
 """Incremental loads give the same rows as a batch run, once."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import reviews as review_ops, titles as title_ops
+from marquee.sources.review_files import read_raw_reviews
 from marquee.streaming import loads
 
 
-def write_reviews(spark, folder, first, last):
+def write_reviews(spark, folder, first, last, index=False):
     for i in range(first, last):
         rows = spark.createDataFrame(
             [(f"/title/tt{i}/", f"text {i}\nline", str(i % 10), "31 January 2020", "t\n", f"/user/ur{j}/?x", f"{j} out of {i}")
              for j in range(3)],
             review_ops.RAW_REVIEW,
         )
-        rows.toPandas().to_csv(f"{folder}/tt{i}.csv", index=False)
+        rows.toPandas().to_csv(f"{folder}/tt{i}.csv", index=index)
 
 
-def test_reviews_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("index", [False, True])
+def test_reviews_stream_equals_batch(spark, tmp_path, index):
     raw = tmp_path / "raw"
     raw.mkdir()
-    write_reviews(spark, raw, 0, 5)
+    write_reviews(spark, raw, 0, 5, index)
     target, progress = str(tmp_path / "out"), str(tmp_path / "progress")
 
     def run():
@@ -32,7 +35,7 @@ def test_reviews_stream_equals_batch(spark, tmp_path):
         return sorted(map(repr, spark.read.parquet(target).drop("part").collect()))
 
     def batch():
-        named = spark.read.schema(review_ops.RAW_REVIEW).options(**loads.CSV_OPTIONS).csv(str(raw))
+        named = read_raw_reviews(spark, str(raw))
         return sorted(map(repr, review_ops.clean_reviews(named).collect()))
 
     assert run() == 3
