@@ -133,4 +133,6 @@ def measure(rows: DataFrame, key: str = "doc_id", text: str = "text", rules: tup
 
 def filter_quality(rows: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that no rule rejects, with the columns they came with."""
-    return with_measures(rows, text, rules).where("kept").select("row.*")
+    judged = with_measures(rows, text, rules).select("row", "kept", F.monotonically_increasing_id().alias("number"))
+    # The number keeps the optimizer from moving the filter below the splitting, where it would split a text per window.
+    return judged.where(F.col("kept") & (F.col("number") >= 0)).select("row.*")
