@@ -164,9 +164,25 @@ def test_ids_equal_those_of_whole_texts():
 
     tokenizer, made = Tokenizer.from_file(TOKENIZER), packing.TokenIds(TOKENIZER)
     cases = ["", " ", "a", " a", "a ", "a  b", "a\n b\t c", "it's we'll", "x  y 　z", " \n a", "1 2,3. - --", "ab\n\n cd \n"]
+    cases += ["a <|endoftext|> b", "😀é" * 500, "\x00\x85\xa0\u180e\u200b x", "'S 'd'll", " " * 300_000 + "a", "ab" * 150_000]
+    cases += [chr(c) + "a" + chr(c) * 2 + "1" for c in range(0, 0x3000, 7)]
     cases += [t for t in texts() if t]
-    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in cases]
-    assert made.of(cases) == expected
+    assert made.ranks is not None
+    for case in cases:
+        assert made.of(case) == np.array(tokenizer.encode(case, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_other_vocabularies_are_left_to_tokenizers(tmp_path):
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        vocabulary = json.load(file)
+    merges = vocabulary["model"]["merges"]
+    merges[0], merges[1] = merges[1], merges[0]
+    (tmp_path / "other.json").write_text(json.dumps(vocabulary), encoding="utf-8")
+    made = packing.TokenIds(str(tmp_path / "other.json"))
+    assert made.ranks is None
+    assert np.frombuffer(made.of("the cat"), "<u4").tolist() == made.tokenizer.encode("the cat", add_special_tokens=False).ids
 
 
 def test_chat_round_trip(spark):
