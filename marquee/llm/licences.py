@@ -54,7 +54,11 @@ def _vocabulary() -> list[str]:
 
 
 def file_licences(files: DataFrame, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """row (all columns of the file as a struct), path, licence and score of its best line, or NULL."""
+    """row (all columns of the file as a struct), path, id, licence and score of its best line, or NULL.
+
+    The id is the place of a file in its scan, given once and used by all later joins: the files should come from a table,
+    whose scan numbers them alike each time, and not from a shuffle.
+    """
     spark = files.sparkSession
     known = F.array(*[F.lit(t) for t in _vocabulary()])
     rows = files.select(F.struct("*").alias("row"), F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -88,12 +92,11 @@ def file_licences(files: DataFrame, path: str = "path", text: str = "text", thre
         F.min(F.struct((-F.col("score")).alias("s"), "template", "line")).alias("best")
     )
     found = rows.select("row", "path", "id").join(best, "id", "left")
-    return found.select("row", "path", F.col("best.template").alias("licence"), (-F.col("best.s")).alias("score"))
+    return found.select("row", "path", "id", F.col("best.template").alias("licence"), (-F.col("best.s")).alias("score"))
 
 
 def inherit(found: DataFrame) -> DataFrame:
     """Adds effective (own or inherited licence) and from_path (the licence file it comes from, or the file itself)."""
-    numbered = found.withColumn("id", F.monotonically_increasing_id())
     folder = F.regexp_replace("path", r"[^/]*$", "")
     given = found.where(F.col("path").rlike(LICENCE_FILE) & F.col("licence").isNotNull()).groupBy(folder.alias("folder"))
     given = given.agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("path").alias("from_path"), "licence")).alias("given"))
@@ -102,9 +105,9 @@ def inherit(found: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size(parts) - 1),
         lambda n: F.struct(n.alias("depth"), F.when(n == 0, "").otherwise(F.concat(F.array_join(F.slice(parts, 1, n), "/"), F.lit("/"))).alias("folder")),
     )
-    bare = numbered.where("licence is null and path is not null").select("id", F.explode(above).alias("up"))
+    bare = found.where("licence is null and path is not null").select("id", F.explode(above).alias("up"))
     nearest = bare.select("id", "up.*").join(given, "folder").groupBy("id").agg(F.max_by("given", "depth").alias("given"))
-    return numbered.join(nearest, "id", "left").select(
+    return found.join(nearest, "id", "left").select(
         "row",
         "path",
         "licence",
