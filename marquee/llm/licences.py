@@ -1,9 +1,9 @@
 """Licence scan: lines compared with templates by TF-IDF cosine, then inherited from the nearest directory above.
 
-Built-in functions only. A unit is a line of a file. Its tokens are lower-case runs of letters, digits, dots and hyphens; a
-token of the templates weighs by how rare it is among all files, any other token as the rarest. A line has the licence of the template
-with the highest cosine, if that reaches the threshold; a file has that of its best line. Lines that share too few tokens with the
-templates to reach the threshold are left out before the tokens are laid out in rows, which loses nothing.
+Built-in functions only. A unit is a line of a file. Its tokens are lower-case runs of letters, digits, dots and hyphens; each
+weighs by the share of files that hold it, whatever the number of files, and shares below RAREST count as that. A line has the licence of the template
+with the highest cosine, if that reaches the threshold; a file has that of its best line. Lines whose tokens hold too little of the
+weight of every template to reach the threshold are left out before the tokens are laid out in rows, which loses nothing.
 
 A file without a licence of its own inherits from the licence file (LICENSE, LICENCE or COPYING, with any extension) in
 the nearest directory above it. NULL and empty texts have no lines; a NULL path inherits nothing. Ties: template name,
@@ -12,9 +12,18 @@ then line. Repeated rows are one file each; several licence files of one directo
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .storage import stored
+
 THRESHOLD = 0.6
+ROUNDING = 1e-6  # scores are rounded to six places before they are compared
+RAREST = 1e-3  # smaller shares of files weigh the same, so that names do not outweigh all else in large tables
 
 #: Licence names and the notices that announce them (fixed values).
 TEMPLATES = {
@@ -38,19 +47,58 @@ def tokens(line: Column) -> Column:
     )
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    """template, token, tf: a few dozen rows."""
-    rows = spark.createDataFrame(sorted(TEMPLATES.items()), "template string, notice string")
-    return rows.select("template", F.explode(tokens(F.col("notice"))).alias("token")).groupBy("template", "token").agg(
-        F.count("*").alias("tf")
-    )
+def _counts(notice: str) -> Counter[str]:
+    """What `tokens` finds in a template, counted."""
+    return Counter(filter(None, (t.strip(EDGES) for t in re.split(r"[^\w.-]+", notice.lower()))))
+
+
+def _templates(spark: SparkSession, vectors: Mapping[str, dict[str, float]]) -> DataFrame:
+    """template, token, t, norm."""
+    rows = [(n, t, w, math.sqrt(sum(x * x for x in v.values()))) for n, v in vectors.items() for t, w in v.items()]
+    return spark.createDataFrame(rows, "template string, token string, t double, norm double")
+
 
+def files_with(rows: DataFrame) -> DataFrame:
+    """token, df: how many files hold each token. Summed up per task before anything is moved."""
+    return rows.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
-def _vocabulary() -> list[str]:
-    import re
 
-    found = {t.strip(EDGES) for text in TEMPLATES.values() for t in re.split(r"[^\w.-]+", text.lower())}
-    return sorted(found - {""})
+def weight(df: Column | int, n: int) -> Column:
+    """The weight of a token held by df of n files."""
+    return F.log(1 + 1 / F.greatest(F.lit(df) / F.lit(float(max(n, 1))), F.lit(RAREST)))
+
+
+def _weights(held: DataFrame, n: int, known: list[str]) -> dict[str, float]:
+    """The weights of the templates' tokens; tokens in no file weigh as the rarest."""
+    rows = held.where(F.col("token").isin(known)).select("token", weight(F.col("df"), n).alias("w")).collect()
+    return dict.fromkeys(known, math.log(1 + 1 / RAREST)) | {r["token"]: r["w"] for r in rows}
+
+
+def _may_reach(found: Column, vectors: Mapping[str, dict[str, float]], threshold: float) -> Column:
+    """Whether the tokens may reach the threshold with some template. No unit that does is left out.
+
+    By Cauchy and Schwarz the cosine is at most the root of the share of a template's squared weights that lies on shared tokens.
+    So a unit needs some token beyond the lightest ones, which together stay below the share, and as many as the heaviest need.
+    """
+    share = max(threshold - ROUNDING, 0.0) ** 2
+    heavy: set[str] = set()
+    enough = []
+    for vector in vectors.values():
+        squares = sorted((w * w, t) for t, w in vector.items())
+        needed, light, most, least = share * sum(x for x, _ in squares) * (1 - 1e-9), 0.0, 0.0, 0
+        for x, token in squares:
+            light += x
+            if light >= needed:
+                heavy.add(token)
+        for x, _ in reversed(squares):
+            if most >= needed:
+                break
+            most, least = most + x, least + 1
+        enough.append(F.size(F.array_intersect(found, F.array(*[F.lit(t) for t in sorted(vector)]))) >= least)
+    any_of = enough[0]
+    for one in enough[1:]:
+        any_of = any_of | one
+    return F.exists(found, lambda t: t.isin(sorted(heavy))) & any_of
 
 
 def file_licences(files: DataFrame, path: str = "path", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -60,30 +108,21 @@ def file_licences(files: DataFrame, path: str = "path", text: str = "text", thre
     whose scan numbers them alike each time, and not from a shuffle.
     """
     spark = files.sparkSession
-    known = F.array(*[F.lit(t) for t in _vocabulary()])
     rows = files.select(F.struct("*").alias("row"), F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("id", F.monotonically_increasing_id())
-    # How many files hold each known token: one small row of counts per token.
-    held = rows.select(F.explode(F.array_intersect(tokens(F.col("text")), known)).alias("token")).groupBy("token")
-    files_with = held.agg(F.count("*").alias("df"))
-    total = rows.agg(F.count("*").alias("n"))
-    idf = _templates(spark).select("token").distinct().join(files_with, "token", "left").crossJoin(F.broadcast(total))
-    idf = idf.select("token", F.log((F.col("n") + 1) / (F.coalesce("df", F.lit(0)) + 1) + 1).alias("idf"), F.log(F.col("n") + 2.0).alias("rare"))
-    template = _templates(spark).join(idf, "token").withColumn("t", F.col("tf") * F.col("idf"))
-    norm = template.groupBy("template").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("norm"))
-    template = template.join(norm, "template").select("template", "token", "t", "norm", "idf", "rare")
+    n, held = rows.count(), stored(files_with(rows))
+    counts = {name: _counts(notice) for name, notice in TEMPLATES.items()}
+    known = _weights(held, n, sorted({t for c in counts.values() for t in c}))
+    vectors = {name: {t: tf * known[t] for t, tf in c.items()} for name, c in counts.items()}
+    template = _templates(spark, vectors)
 
     lines = rows.select("id", F.posexplode(F.split("text", "\n")).alias("line", "said"))
     lines = lines.select("id", "line", tokens(F.col("said")).alias("tokens"))
-    shared = F.size(F.filter("tokens", lambda t: t.isin(*_vocabulary())))
-    lines = lines.where(shared >= threshold * threshold * F.size("tokens")).where(F.size("tokens") > 0)
+    lines = lines.where(_may_reach(F.col("tokens"), vectors, threshold))
     counted = lines.select("id", "line", F.explode("tokens").alias("token")).groupBy("id", "line", "token").agg(F.count("*").alias("tf"))
-    weights = idf.select("token", "idf")
-    rare = idf.agg(F.max("rare").alias("rare"))
-    weighted = counted.join(F.broadcast(weights), "token", "left").crossJoin(F.broadcast(rare))
-    weighted = weighted.withColumn("w", F.col("tf") * F.coalesce("idf", "rare"))
+    weighted = counted.join(held, "token").withColumn("w", F.col("tf") * weight(F.col("df"), n))
     length = weighted.groupBy("id", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    products = weighted.join(F.broadcast(template.select("template", "token", "t", "norm")), "token")
+    products = weighted.join(F.broadcast(template), "token")
     products = products.groupBy("id", "line", "template", "norm").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
     cosines = products.join(length, ["id", "line"]).select(
         "id", "line", "template", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6).alias("score")

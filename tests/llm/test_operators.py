@@ -284,6 +284,20 @@ def test_licences_are_inherited(spark):
     assert found["z.py"] == found[None] == (None, None, None)
 
 
+@pytest.mark.parametrize("n", [400, 8000])
+def test_a_notice_keeps_its_licence_in_tables_of_any_size(spark, n):
+    """Extra words in half of all files weigh little, however many files there are."""
+    usual = "'code project copyright software'"
+    rows = spark.range(n).select(
+        F.concat(F.lit("f"), "id").alias("path"),
+        F.when(F.col("id") == 0, "Copyright project software. This code: Released under the MIT License.")
+        .when(F.col("id") % 2 == 0, F.expr(usual)).otherwise(F.concat(F.lit("prose w"), "id")).alias("text"),
+    )
+    found = licences.file_licences(rows).where("licence is not null").collect()
+    assert [(r["path"], r["licence"]) for r in found] == [("f0", "MIT")]
+    assert found[0]["score"] >= 0.8
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     benchmark = spark.createDataFrame([], "item_id long, text string")
