@@ -6,8 +6,10 @@ with the highest cosine, if that reaches the threshold; a file has that of its b
 weight of every template to reach the threshold are left out before the tokens are laid out in rows, which loses nothing.
 
 A file without a licence of its own inherits from the licence file (LICENSE, LICENCE or COPYING, with any extension) in
-the nearest directory above it. NULL and empty texts have no lines; a NULL path inherits nothing. Ties: template name,
-then line. Repeated rows are one file each; several licence files of one directory: the smallest path with the best score.
+the nearest directory above it that has one. If no licence is recognised in that file, the effective licence is UNKNOWN: one further up
+does not count. NULL and empty texts have no lines; a NULL path inherits nothing. Ties: template name,
+then line. Repeated rows are one file each; several licence files of one directory: the smallest path with the best score,
+those without a licence last.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ TEMPLATES = {
 }
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying)(\.[^/]*)?$"
 EDGES = ".-"
+UNKNOWN = "unknown"
 
 
 def tokens(line: Column) -> Column:
@@ -135,10 +138,11 @@ def file_licences(files: DataFrame, path: str = "path", text: str = "text", thre
 
 
 def inherit(found: DataFrame) -> DataFrame:
-    """Adds effective (own or inherited licence) and from_path (the licence file it comes from, or the file itself)."""
+    """Adds effective (own or inherited licence, or UNKNOWN) and from_path (the licence file it comes from, or the file itself)."""
     folder = F.regexp_replace("path", r"[^/]*$", "")
-    given = found.where(F.col("path").rlike(LICENCE_FILE) & F.col("licence").isNotNull()).groupBy(folder.alias("folder"))
-    given = given.agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("path").alias("from_path"), "licence")).alias("given"))
+    given = found.where(F.col("path").rlike(LICENCE_FILE)).groupBy(folder.alias("folder"))
+    score, name = F.coalesce("score", F.lit(0.0)), F.coalesce("licence", F.lit(UNKNOWN))
+    given = given.agg(F.min(F.struct((-score).alias("s"), F.col("path").alias("from_path"), name.alias("licence"))).alias("given"))
     parts = F.split(folder, "/")
     above = F.transform(
         F.sequence(F.lit(0), F.size(parts) - 1),

@@ -298,6 +298,19 @@ def test_a_notice_keeps_its_licence_in_tables_of_any_size(spark, n):
     assert found[0]["score"] >= 0.8
 
 
+def test_an_unrecognised_licence_file_is_not_skipped(spark):
+    rows = [
+        ("LICENSE", "Licensed under the Apache License, Version 2.0"), ("vendor/x/LICENSE", "All of this is ours."), ("vendor/x/src/a.c", "int a;"),
+        ("vendor/y.c", "int y;"), ("both/COPYING", "Ours too."), ("both/LICENSE", "Released under the MIT License"), ("both/b.c", "int b;"),
+        ("none/LICENSE", None), ("none/c.c", "int c;"),
+    ]
+    found = {r["path"]: (r["licence"], r["effective"], r["from_path"]) for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found["vendor/x/src/a.c"] == found["vendor/x/LICENSE"] == (None, "unknown", "vendor/x/LICENSE")
+    assert found["vendor/y.c"] == (None, "Apache-2.0", "LICENSE")
+    assert found["both/b.c"] == (None, "MIT", "both/LICENSE")
+    assert found["none/c.c"] == (None, "unknown", "none/LICENSE")
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     benchmark = spark.createDataFrame([], "item_id long, text string")
