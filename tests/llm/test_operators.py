@@ -298,6 +298,28 @@ def test_a_notice_keeps_its_licence_in_tables_of_any_size(spark, n):
     assert found[0]["score"] >= 0.8
 
 
+def test_whole_texts_tags_titles_and_wrapped_notices(spark):
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in licences.TEXTS.glob("*.txt")}
+    prose_ = " ".join(f"word{i}" for i in range(3000))
+    rows = [(f"{name}/LICENSE", f"Copyright (c) 2020 Jane Doe\n\n{text}", name) for name, text in texts.items()]
+    rows += [
+        ("title/LICENSE", "MIT License\n\nCopyright (c) 2020 Foo", "MIT"),
+        ("tag.py", "# SPDX-License-Identifier: MIT\nimport os", "MIT"),
+        ("later.py", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint a;", "GPL-2.0"),
+        ("either.rs", "// SPDX-License-Identifier: MIT OR Apache-2.0\nfn a() {}", "MIT OR Apache-2.0"),
+        ("wrapped.py", "# This work is licensed\n# under the GNU General\n# Public License, version 2\nimport os", "GPL-2.0"),
+        ("long.txt", f"{prose_} Released under the MIT License {prose_}", "MIT"),
+        ("head.c", "/*\n" + "\n".join(f" * {x}" for x in texts["MIT"].splitlines()) + "\n */\nint main() { return 0; }", "MIT"),
+        ("two.c", "/*\n" + texts["BSD-2-Clause"] + "*/\nint main() { return 0; }", "BSD-2-Clause"),
+        ("none.txt", "The library was licensed to sell food under a public scheme.", None),
+        ("markdown/LICENSE", "All rights reserved. Ask us first.", None),
+    ]
+    rows += [(f"other{i}.txt", f"the use of this and of that in any software, with or without a word{i}", None) for i in range(100)]
+    found = licences.file_licences(spark.createDataFrame(rows, "path string, text string, expected string"))
+    got = {r["path"]: (r["licence"], r["row"]["expected"]) for r in found.collect()}
+    assert {p: x for p, x in got.items() if x[0] != x[1]} == {}
+
+
 def test_an_unrecognised_licence_file_is_not_skipped(spark):
     rows = [
         ("LICENSE", "Licensed under the Apache License, Version 2.0"), ("vendor/x/LICENSE", "All of this is ours."), ("vendor/x/src/a.c", "int a;"),
