@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.guards import require_columns
 from ..operators.reviews import RAW_REVIEW, clean_reviews, review_part, reviews_of_titles
+from ..session import ensure_checkpoint_dir
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
 CSV_WRITING = {
@@ -17,6 +18,7 @@ CSV_WRITING = {
     "ignoreTrailingWhiteSpace": False,
 }
 FORMATS = ("parquet", "csv")
+LOG = "id string, part int, parts int, form string, n bigint, sum bigint, mix bigint, at timestamp"
 
 
 def read_raw_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -57,35 +59,50 @@ def check_format(form: str) -> str:
 
 
 def finished_titles(spark: SparkSession, path: str) -> DataFrame | None:
-    """id, part, parts, form of all titles written completely; None before the first write."""
+    """id, part, parts, form of all titles written completely, with what was last written of them (n, sum, mix); None before the first write."""
     try:
-        return spark.read.parquet(f"{path}.done")
+        log = spark.read.schema(LOG).parquet(f"{path}.done")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    last = F.max_by(F.struct("n", "sum", "mix"), "at").alias("last")
+    return log.groupBy("id", "part", "parts", "form").agg(last).select("id", "part", "parts", "form", "last.*")
+
+
+def _contents(placed: DataFrame) -> DataFrame:
+    """id, part, and the number of a title's rows with two sums of their hashes, whatever their order."""
+    row = F.xxhash64(*placed.columns)
+    low = F.sum(row.bitwiseAND(F.lit(0xFFFFFFFF))).alias("sum")
+    return placed.groupBy("id", "part").agg(F.count("*").alias("n"), low, F.bit_xor(row).alias("mix"))
 
 
 def write_parts(reviews: DataFrame, path: str, parts: int, form: str = "parquet") -> None:
-    """Write processed reviews under `part=N`. A partition is rebuilt from the given reviews if one of its titles is new,
-    and left as it is otherwise.
+    """Write processed reviews under `part=N`. A title that is new, or whose rows differ from those last written, is replaced by the
+    given rows; the other finished titles of its partition keep theirs, given or not. Other partitions are left as they are.
 
-    A title counts as finished only after its rows are committed. A run that dies in between is repeated safely: its
-    partitions are overwritten as a whole. The number of partitions and the format cannot change within a folder.
+    A title counts as finished only after its rows are committed. A run that dies in between is repeated safely: what it left
+    of unfinished titles is not kept. The number of partitions and the format cannot change within a folder.
     """
     check_format(form)
     spark = reviews.sparkSession
     placed = reviews if "part" in reviews.columns else reviews.withColumn("part", review_part(parts))
     done = finished_titles(spark, path)
-    titles = placed.select("id", "part").distinct()
+    # Stored, since the log must say what was found before this run wrote anything.
+    ensure_checkpoint_dir(spark)
+    titles = _contents(placed).checkpoint()
     if done is not None:
         other = done.where((F.col("parts") != parts) | (F.col("form") != form)).first()
         if other is not None:
             raise ValueError(f"{path} holds {other['parts']} partitions of {other['form']}, not {parts} of {form}")
-        titles = titles.join(done.select("id"), "id", "left_anti")
+        titles = titles.join(done.select("id", "n", "sum", "mix"), ["id", "n", "sum", "mix"], "left_anti").select(titles.columns).checkpoint()
         # At most `parts` numbers, read now: the list must not change while this run adds to it.
         changed = [row["part"] for row in titles.select("part").distinct().collect()]
-        placed = placed.where(F.col("part").isin(changed))
+        if not changed:
+            return
+        stored = spark.read.schema(placed.schema).options(**(CSV_OPTIONS if form == "csv" else {})).format(form).load(path)
+        stored = stored.where(F.col("part").isin(changed)).join(done.select("id"), "id", "left_semi").join(titles.select("id"), "id", "left_anti")
+        placed = placed.join(titles.select("id"), "id", "left_semi").unionByName(stored.select(placed.columns))
     # 'rebalance' gathers small partitions and spreads one with very many rows over several tasks.
     writer = (
         placed.hint("rebalance", "part")
@@ -96,7 +113,7 @@ def write_parts(reviews: DataFrame, path: str, parts: int, form: str = "parquet"
     if form == "csv":
         writer = writer.options(compression="gzip", **CSV_WRITING)
     writer.format(form).save(path)
-    log = titles.select("id", "part", F.lit(parts).alias("parts"), F.lit(form).alias("form"))
+    log = titles.select("id", "part", F.lit(parts).alias("parts"), F.lit(form).alias("form"), "n", "sum", "mix", F.current_timestamp().alias("at"))
     log.write.mode("append").parquet(f"{path}.done")
 
 

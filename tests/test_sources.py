@@ -135,6 +135,21 @@ def test_new_titles_of_a_finished_part_are_written(spark, tmp_path):
         review_files.write_parts(rows, target, 2)
 
 
+@pytest.mark.parametrize("form", ["parquet", "csv"])
+def test_grown_titles_and_batches_of_new_ones(spark, tmp_path, form):
+    target = str(tmp_path / "out")
+
+    def run(*rows):
+        review_files.write_parts(spark.createDataFrame(rows, "id string, v int"), target, 1, form)
+        stored = review_files.read_columns(spark, [target], ["id", "v"], form).collect()
+        return sorted((r["id"], int(r["v"])) for r in stored)
+
+    assert run(("a", 1), ("b", 2)) == [("a", 1), ("b", 2)]
+    assert run(("a", 1), ("a", 7)) == [("a", 1), ("a", 7), ("b", 2)]  # grown
+    assert run(("c", 3)) == [("a", 1), ("a", 7), ("b", 2), ("c", 3)]  # new titles only
+    assert run(("a", 1)) == [("a", 1), ("b", 2), ("c", 3)]  # as it was at first
+
+
 @pytest.mark.parametrize("slash", ["/", "\\/"])
 @pytest.mark.parametrize("separators", [(",", ":"), (", ", ": ")])
 def test_keyed_object_in_every_form(spark, tmp_path, slash, separators):
