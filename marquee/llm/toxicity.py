@@ -39,11 +39,13 @@ LOOKS_LIKE = {
 }
 _SIGN = re.escape("".join(LOOKS_LIKE))
 _LETTER = r"[^\W\d_]"
+_SINGLE = rf"(?:{_LETTER}|[{_SIGN}])"
+_BETWEEN = rf"(?:[^\w\n{_SIGN}]|_){{1,3}}"
+_APART = rf"(?<![^\W_]){_SINGLE}(?:{_BETWEEN}{_SINGLE}){{2,}}(?![^\W_])"
 #: A sign beside a letter, a letter three times, or letters set apart.
-DISGUISED = re.compile(
-    rf"(?:{_LETTER}[{_SIGN}]|[{_SIGN}]{_LETTER})|({_LETTER})\1\1|(?<![^\W_])[{_SIGN}a-z](?:[ ._*-][{_SIGN}a-z]){{2,}}(?![^\W_])"
-)
-APART = re.compile(rf"(?<![^\W_])[{_SIGN}a-z](?:[ ._*-][{_SIGN}a-z]){{2,}}(?![^\W_])")
+DISGUISED = re.compile(rf"(?:{_LETTER}[{_SIGN}]|[{_SIGN}]{_LETTER})|({_LETTER})\1\1|{_APART}")
+APART = re.compile(_APART)
+SINGLE = re.compile(_SINGLE)
 INSIDE = re.compile(r"(?<=[^\W_])[._*-](?=[^\W_])")
 WORD = re.compile(rf"[\w{_SIGN}]+")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -110,13 +112,36 @@ class Reader:
         ends = ((cost + self.costs[x, y, 0], said) for (x, y), (cost, said) in states.items())
         return min(ends)[1]
 
+    def split(self, letters: str) -> set[str]:
+        """Words of letters set apart: between two of them is a word boundary or nothing, as the trigram model has it.
+
+        Also the words that all of them make, and all but the first, the last, or both.
+        """
+        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        for place, sign in enumerate(letters):
+            after: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (cost, said) in states.items():
+                starts = [(a, b, cost, said)]
+                if place:
+                    starts.append((b, 0, cost + self.costs[a, b, 0], said + " "))
+                for x, y, now, words in starts:
+                    for letter in self._options(sign):
+                        code = ord(letter) - 96 if "a" <= letter <= "z" else 0
+                        total = now + self.costs[x, y, code]
+                        if (y, code) not in after or total < after[y, code][0]:
+                            after[y, code] = (total, words + letter)
+            states = after
+        best = min((cost + self.costs[x, y, 0], said) for (x, y), (cost, said) in states.items())[1]
+        whole = {letters[i:j] for i in (0, 1) for j in (len(letters), len(letters) - 1) if j - i > 2}
+        return set(best.split()) | {self.read(w) for w in whole}
+
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, those of disguised stretches also in their restored form."""
         low = text.lower()
         words = set(PLAIN.findall(low))
         if DISGUISED.search(low):
             for m in APART.finditer(low):
-                words.add(self.read(re.sub(r"[ ._*-]", "", m[0])))
+                words |= self.split("".join(SINGLE.findall(m[0])))
             for token in set(WORD.findall(INSIDE.sub("", low))):
                 bare = token.strip(EDGE)
                 if DISGUISED.search(token) and len(bare) > 2:

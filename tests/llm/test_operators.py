@@ -248,6 +248,20 @@ def test_disguised_words_are_restored():
     assert reader.words("") == set()
 
 
+@pytest.mark.parametrize(
+    "said, word",
+    [("you are a i d i o t", "idiot"), ("I a m o r o n", "moron"), ("a s-c-u-m", "scum"), ("b l ö d", "blöd"), ("i/d/i/o/t", "idiot"),
+     ("i, d, i, o, t", "idiot"), ("i  d  i  o  t", "idiot"), ("I a m a s c u m", "scum"), ("l.o.s.e.r", "loser")],
+)
+def test_words_set_apart_after_other_single_letters(said, word):
+    counts = np.zeros((27, 27, 27))
+    for text in "you are a idiot and i am a moron the scum is a loser i am a scum das ist sehr".split() * 50:
+        codes = [0, 0, *(ord(c) - 96 for c in text), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            counts[a, b, c] += 1
+    assert word in toxicity.Reader(counts).words(said)
+
+
 def test_toxicity_learns_from_labels(spark):
     rows = [(i, prose(i, 40, 300) + (" scum" if i % 3 == 0 else "")) for i in range(240)] + [(900, None), (901, ""), (902, "hello s-c-u-m w1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
