@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.views import table
-from . import chat, decontam, jaccard, langid, licences, packing, quality, substring, toxicity, warc
+from . import chat, decontam, jaccard, langid, learned_index, licences, packing, quality, substring, toxicity, warc
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
@@ -150,3 +150,9 @@ def op10_language_id(spark, folder):
     model = langid.train(learn, "doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "text"), model, "doc_id", "text")
     return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op13_learned_partitions")
+def op13_learned_partitions(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return learned_index.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
