@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.views import table
-from . import chat, decontam, jaccard, langid, learned_index, licences, packing, quality, substring, toxicity, warc
+from . import chat, decontam, hard_negatives, jaccard, langid, learned_index, licences, packing, quality, shared_terms, substring, toxicity, warc
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
@@ -152,6 +152,55 @@ def op10_language_id(spark, folder):
     return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+OP11_SQL = """
+with r as (select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+      from embeddings where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same,
+        list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+      from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select * from (select a, b, score, row_number() over (partition by a order by score desc, b) as k from s where same) where k <= 5),
+n as (select p.a, p.b, s.b as n, p.score as ps, s.score as ns,
+        row_number() over (partition by p.a, p.b order by s.score desc, s.b) as rank
+      from p join s on s.a = p.a and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+select a as anchor_id, b as positive_id, rank::integer as rank, n as negative_id, ps as positive_score, ns as negative_score
+from n where rank <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0").select("vec_id"))
+
+
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = rf"unnest(regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+OP12_SQL = f"""
+with t as (select rid, doc_id, {_TERMS} as term from (select *, row_number() over () as rid from documents)),
+tf as (select rid, doc_id, term, count(*) as tf from t group by all),
+d as (select rid, sum(tf)::bigint as n from tf group by rid),
+s as (select count(*) as n_docs, coalesce(sum(n), 0)::bigint as n_terms from d),
+w as (select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as w from tf, s group by term, n_docs),
+i as (select *, row_number() over () as iid from (select distinct item_id, text from benchmark)),
+q as (select iid, item_id, term, count(*) as times from (select iid, item_id, {_TERMS} as term from i) group by all),
+x as (select iid, item_id, doc_id, rid,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+      from q join tf using (term) join w using (term) join d using (rid), s group by all),
+r as (select *, row_number() over (partition by iid order by score desc, doc_id) as rank from x where score > 0)
+select item_id, rank::integer as rank, doc_id, score from r where rank <= 10
+"""
+
+
+@query("op12_shared_terms", OP12_SQL)
+def op12_shared_terms(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return shared_terms.search(documents, table(spark, folder, "benchmark"), 10)
+
+
 @query("op13_learned_partitions")
 def op13_learned_partitions(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
