@@ -12,10 +12,13 @@ parity sketches, of which there are two kinds.
 * Bits: one bit per shingle and place, about as many places as shingles. The Hamming distance of two such sketches is never more
   than the number of shingles in only one set, so a pair beyond the limit is dropped without a look at the sets.
 
-Pairs that are left are verified on the sets themselves. First each class is tested against one other of its blocks, the one with
-which it shares most, twice over; then classes of one block which are not connected by then are compared pair by pair, in
-tiles of bounded size. So a group of thousands of near copies costs about as many tests as it has members, and links
-between different groups are not lost.
+Pairs that are left are verified on the sets themselves, in an order that keeps them few. First each class is tested against one
+other of its blocks, the one with which it shares most. Then classes that share a block and are not connected by then
+are compared in tiles of bounded size, where a union-find names only as many pairs as could join two groups: first each
+class in the largest of its crowded blocks, then all in all blocks that still hold several groups. A tile says when it left out a pair
+since others would make it needless. Blocks of which that is said, and in which groups are apart after all, are compared once more with the
+sets in the tile, and only true links that join two groups leave it. So members of a family that are only partly close to each other
+cost about as many tests as there are members, and no link is lost.
 
 Empty texts have no shingles and are linked with nothing. Repeated rows are equal texts. A row whose id is NULL
 takes part; a component of such rows alone has NULL as its id. Shingles are compared by 64-bit hashes, in the last
@@ -42,6 +45,10 @@ SHARD_BYTES = 1 << 20
 BUCKETS_PER_PARTITION = 4
 HEAD_ROWS = 1 << 10  # members that one task compares with one head
 TILE = 1 << 11  # classes of one block that are compared with as many others at once
+TILE_BYTES = 1 << 24  # of sets in a tile
+CROWD = 16  # classes of a block from which on it counts as crowded
+PAIRS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 22  # of sketches
 FEW = 100_000  # wanted texts up to which their keys are broadcast
 
 SHARED = np.dtype([("block", "<i8"), ("c1", "<i8"), ("c2", "<i8"), ("size", "<i4")])
@@ -123,11 +130,6 @@ def bit_sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
     return [bits[a // 8 : b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
 
 
-def _fold(sketch: np.ndarray, width: int) -> np.ndarray:
-    """The sketch over fewer places: the XOR of its parts."""
-    return np.bitwise_xor.reduce(sketch.reshape(-1, width), axis=0) if len(sketch) > width else sketch
-
-
 def most_differences(a, b):
     """The shingles that linked sets of these sizes may have alone, together."""
     return (a + b) * (100 - PERCENT) // (100 + PERCENT)
@@ -285,12 +287,17 @@ def _opened(shingles: bytes) -> np.ndarray:
     return wide.view(">u8").ravel().astype(np.uint64)
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of classes those that are similar enough.
+    """Of the pairs (a, b, n) of classes those that are similar enough.
 
     Each head a goes once to every group of up to HEAD_ROWS of its partners, each partner once per pair.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("n") / HEAD_ROWS))))
+    salted = _salted(pairs)
     heads = salted.select("a", "salt", F.col("a").alias("c"), F.lit(0).alias("member")).distinct()
     members = salted.select("a", "salt", F.col("b").alias("c"), F.lit(1).alias("member"))
     rows = heads.unionByName(members).join(sets, "c")
@@ -308,8 +315,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     head, head_set = group, values
                     continue
                 assert head == group, "a head precedes its members"
-                both = np.intersect1d(head_set, values, assume_unique=True).size
-                if 100 * both >= PERCENT * (len(head_set) + len(values) - both):
+                if similar(head_set, values):
                     a.append(group), b.append(c)
             kind = batch.schema.field("a").type
             yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
@@ -324,8 +330,8 @@ def connected(links: DataFrame) -> DataFrame:
     Alternating large and small stars; every round is written to the shared folder.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    before = None
-    while True:
+    before = _signature(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -333,105 +339,234 @@ def connected(links: DataFrame) -> DataFrame:
         down = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = down.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         edges = stored(small)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = _signature(edges)
         if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            break
         before = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
 
+def _signature(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-def _hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of rows of bytes against rows of bytes."""
-    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+
+def close_pairs(bits: pa.Array, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs of rows (x, y) have sizes of linked sets and sketches that differ in no more places than theirs may.
+
+    Sizes that fit differ by less than 2, so one sketch is at most twice as wide as the other and is then folded once.
+    """
+    fits = PERCENT * np.maximum(size[x], size[y]) <= 100 * np.minimum(size[x], size[y])
+    lengths = np.array([len(b) // 8 for b in bits.to_pylist()], np.int64) if len(bits) else np.zeros(0, np.int64)
+    flat = np.frombuffer(b"".join(bits.to_pylist()), np.uint64)
+    begin = np.cumsum(lengths) - lengths
+    limit = most_differences(size[x], size[y])
+    for wide in np.unique(np.maximum(lengths[x[fits]], lengths[y[fits]])):
+        for halved in (False, True):
+            few = wide // 2 if halved else wide
+            mine = np.flatnonzero(
+                fits & (np.maximum(lengths[x], lengths[y]) == wide) & (np.minimum(lengths[x], lengths[y]) == few)
+            )
+            for some in np.array_split(mine, max(1, len(mine) * int(wide) // WORDS_AT_ONCE)):
+                if len(some):
+                    wider = lengths[x[some]] >= lengths[y[some]]
+                    big, small = np.where(wider, x[some], y[some]), np.where(wider, y[some], x[some])
+                    a = flat[begin[big][:, None] + np.arange(wide)]
+                    if halved:
+                        a = a[:, :few] ^ a[:, few:]
+                    apart = np.bitwise_count(a ^ flat[begin[small][:, None] + np.arange(few)]).sum(1, dtype=np.int64)
+                    fits[some] = apart <= limit[some]
+    return fits
+
+
+def _salted(pairs: DataFrame) -> DataFrame:
+    """The pairs, those of one head in groups of about HEAD_ROWS. n is about how many pairs it may have."""
+    return pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("n") / HEAD_ROWS))))
 
 
 def near(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose bit sketches differ in no more places than linked sets may."""
+    """The pairs (a, b, n) of classes that `close_pairs` leaves."""
     known = members.select("c", "size", "bits")
-    both = pairs.join(known.toDF("a", "size_a", "bits_a"), "a").join(known.toDF("b", "size_b", "bits_b"), "b")
+    salted = _salted(pairs)
+    heads = salted.select("a", "salt").distinct().join(known.toDF("a", "size_a", "bits_a"), "a")
+    both = salted.join(heads, ["a", "salt"]).join(known.toDF("b", "size_b", "bits_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            limit = most_differences(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
-            for i, (x, y) in enumerate(zip(batch.column("bits_a"), batch.column("bits_b"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
-                width = min(len(x), len(y))
-                keep[i] = _hamming(_fold(x, width), _fold(y, width)) <= limit[i]
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            bits = pa.concat_arrays([batch.column("bits_a"), batch.column("bits_b")])
+            size = np.concatenate([batch.column(c).to_numpy().astype(np.int64) for c in ("size_a", "size_b")])
+            first = np.arange(batch.num_rows)
+            keep = close_pairs(bits, size, first, first + batch.num_rows)
+            yield batch.select(["a", "b", "n"]).filter(pa.array(keep))
+
+    return both.mapInArrow(run, both.select("a", "b", "n").schema)
+
 
-    return both.mapInArrow(run, both.select("a", "b").schema)
+class Union:
+    """Which of some things have been joined."""
 
+    def __init__(self):
+        self.up: dict = {}
 
-def near_across(blocks: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a block, have different roots and could be linked by size and bit sketch.
+    def find(self, x):
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
 
-    Blocks of many classes are compared in tiles, so that no task holds more than two tiles of a block.
+    def join(self, x, y) -> None:
+        self.up[self.find(x)] = self.find(y)
+
+
+def tiles(blocks: DataFrame, by_bytes: bool = False) -> DataFrame:
+    """block, u, t, side, c, root: the classes of each block (block, c, root, size) in tiles of bounded size.
+
+    Classes of the root that most of a block have need no comparison with each other. The others (side 1) are cut into tiles u, all
+    classes (side 0) into tiles t, and every tile of the one meets every tile of the other; in a block of a single tile
+    all classes stand once (side 2).
     """
-    tiles = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    held = blocks.groupBy("c").agg(F.collect_set("block").alias("held"))
-    rows = blocks.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("c"), "tiles").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.join(members.select("c", "bits").join(held, "c"), "c").select(
-        "block",
-        F.least("tile", "other").alias("low"),
-        F.greatest("tile", "other").alias("high"),
-        "tile",
-        "size",
-        "c",
-        F.xxhash64("root").alias("root"),
-        "bits",
-        "held",
+    weight = F.sum(F.col("size") * 6) if by_bytes else F.lit(0)
+    by_root = blocks.groupBy("block", "root").agg(F.count("*").alias("n"), weight.alias("bytes"))
+    most = F.max_by("root", F.struct("n", "root")).alias("main")
+    sizes = by_root.groupBy("block").agg(most, F.sum("n").alias("n"), F.max("n").alias("main_n"), F.sum("bytes").alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("bytes") / TILE_BYTES), F.lit(1)).cast("int")
+    sizes = sizes.withColumn("ts", parts)
+    sizes = sizes.withColumn("us", F.greatest(F.ceil((F.col("n") - F.col("main_n")) * F.col("ts") / F.col("n")), F.lit(1)).cast("int"))
+    rows = blocks.join(sizes.select("block", "main", "ts", "us"), "block")
+    t, u = (F.pmod(F.xxhash64("c", F.lit(k)), F.col(k + "s")).cast("int") for k in ("t", "u"))
+
+    def place(u, t, side):
+        return F.struct(u.alias("u"), t.alias("t"), F.lit(side).alias("side"))
+
+    all_u = F.transform(F.sequence(F.lit(0), F.col("us") - 1), lambda k: place(k, t, 0))
+    all_t = F.transform(F.sequence(F.lit(0), F.col("ts") - 1), lambda k: place(u, k, 1))
+    one = F.array(place(F.lit(0), F.lit(0), 2))
+    places = F.when(F.col("ts") == 1, one).when(F.col("root") == F.col("main"), all_u).otherwise(F.concat(all_u, all_t))
+    return rows.withColumn("p", F.explode(places)).select("block", "p.*", "c", "root")
+
+
+def diagonal(blocks: DataFrame) -> DataFrame:
+    """As `tiles`, but every class only once, next to a tile of others."""
+    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("ts"))
+    t = F.pmod(F.xxhash64("c"), F.col("ts")).cast("int")
+    return blocks.join(sizes, "block").select("block", t.alias("u"), t.alias("t"), F.lit(2).alias("side"), "c", "root")
+
+
+def _tile_pairs(cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places within stretches that begin at the cuts, a bounded number at a time."""
+    lengths = np.diff(cuts)
+    for n in np.unique(lengths[lengths > 1]):
+        starts = cuts[:-1][lengths == n]
+        if n <= 64:
+            i, j = np.triu_indices(n, 1)
+            for some in np.array_split(starts, max(1, len(starts) * len(i) // PAIRS_AT_ONCE)):
+                yield (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
+            continue
+        step = max(1, PAIRS_AT_ONCE // int(n))
+        for start in starts:
+            for low in range(0, int(n), step):
+                i, j = np.nonzero(np.arange(low, min(low + step, n))[:, None] < np.arange(n))
+                yield start + low + i, start + j
+
+
+def _candidates(table: pa.Table):
+    """Of a table sorted by tile: pairs of places that are to be compared, are of different roots and are close."""
+    block, u, t, side, root, size = (
+        table.column(c).to_numpy().astype(np.int64) for c in ("block", "u", "t", "side", "root", "size")
     )
+    fresh = np.ones(len(block) + 1, bool)
+    if len(block):
+        fresh[1:-1] = (np.diff(block) != 0) | (np.diff(u) != 0) | (np.diff(t) != 0)
+    bits = table.column("bits").combine_chunks()
+    for x, y in _tile_pairs(np.flatnonzero(fresh)):
+        met = (root[x] != root[y]) & ((side[x] == 2) | (side[x] != side[y]))
+        x, y = x[met], y[met]
+        if len(x):
+            # Only the rows that are still in question.
+            some, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+            good = close_pairs(bits.take(pa.array(some)), size[some], at[: len(x)], at[len(x) :])
+            yield x[good], y[good]
+
+
+CLASS = "struct<c1:bigint,c2:bigint>"
+
+
+def _classes_of(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
+    """A number for the class of each row, and the classes."""
+    c = table.column("c").combine_chunks()
+    _, number = np.unique(np.rec.fromarrays([c.field(k).to_numpy() for k in ("c1", "c2")]), return_inverse=True)
+    return number, c
+
+
+def _by_tile(table: pa.Table) -> pa.Table:
+    """Sorted by tile and in it by class, so that tiles with the same classes name the same pairs."""
+    table = table.combine_chunks()
+    c = table.column("c").combine_chunks()
+    table = table.append_column("c1", c.field("c1")).append_column("c2", c.field("c2"))
+    return table.sort_by([(k, "ascending") for k in ("block", "u", "t", "c1", "c2")]).combine_chunks()
 
-    def tile_pairs(size, root, tile, inner, bits):
-        """Pairs of places, each of the one tile with each of the other, or of one tile with itself."""
-        width = min(map(len, bits))
-        folded = np.stack([_fold(x, width) for x in bits])
-        left, right = [], []
-        for i in range(len(size)) if inner else np.flatnonzero(tile == tile.min()):
-            others = np.arange(i + 1, len(size)) if inner else np.flatnonzero(tile > tile[i])
-            others = others[root[others] != root[i]]
-            others = others[PERCENT * np.maximum(size[others], size[i]) <= 100 * np.minimum(size[others], size[i])]
-            others = others[_hamming(folded[others], folded[i]) <= most_differences(size[others], size[i])]
-            if len(others):
-                left.append(np.full(len(others), i)), right.append(others)
-        return left, right
+
+def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join all that could be linked in some tiles, and (as `block`) the blocks with more such pairs than these.
+
+    Pairs that the same task has already named are not named again.
+    """
+    rows = dealt.join(members.select("c", "size", "bits"), "c").withColumn("root", F.xxhash64("root"))
 
     def compare(table: pa.Table) -> pa.Table:
-        block, low, high, root, size, tile = (
-            table.column(c).to_numpy() for c in ("block", "low", "high", "root", "size", "tile")
+        table = _by_tile(table)
+        root, block = table.column("root").to_numpy(), table.column("block").to_numpy()
+        number, c = _classes_of(table)
+        joined, named, dense, left, right = Union(), set(), set(), [], []
+        for x, y in _candidates(table):
+            for i, j, m, n, p, q, b in zip(
+                *(v.tolist() for v in (x, y, np.minimum(number[x], number[y]), np.maximum(number[x], number[y]), root[x], root[y], block[x]))
+            ):
+                if (m, n) in named:
+                    continue
+                if joined.find(p) == joined.find(q):
+                    dense.add(b)
+                    continue
+                named.add((m, n))
+                joined.join(p, q)
+                left.append(i), right.append(j)
+        none = pa.nulls(len(dense), c.type)
+        return pa.table(
+            {
+                "a": pa.concat_arrays([c.take(pa.array(left, pa.int64())), none]),
+                "b": pa.concat_arrays([c.take(pa.array(right, pa.int64())), none]),
+                "block": pa.concat_arrays([pa.nulls(len(left), pa.int64()), pa.array(sorted(dense), pa.int64())]),
+            }
         )
-        order = np.lexsort((high, low, block))
-        fresh = np.ones(len(order), bool)
-        for c in (block, low, high):
-            fresh[1:] &= c[order[1:]] == c[order[:-1]]
-        fresh = ~fresh
-        fresh[:1] = True
-        cuts = np.append(np.flatnonzero(fresh), len(order))
-        bits = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bits")]
-        holds = table.column("held").to_pylist()
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            mine = order[a:b]
-            inner = low[mine[0]] == high[mine[0]]
-            x, y = tile_pairs(size[mine].astype(np.int64), root[mine], tile[mine], inner, [bits[i] for i in mine])
-            if not x:
-                continue
-            x, y = mine[np.concatenate(x)], mine[np.concatenate(y)]
-            # A pair is reported by the first of the blocks that it shares, not by all of them.
-            sets = {i: set(holds[i]) for i in np.union1d(x, y).tolist()}
-            here = int(block[mine[0]])
-            first = [min(sets[i] & sets[j]) == here for i, j in zip(x.tolist(), y.tolist())]
-            left.append(x[first])
-            right.append(y[first])
-        c = table.column("c").combine_chunks()
-        return pa.table({"a": c.take(pa.array(np.concatenate(left))), "b": c.take(pa.array(np.concatenate(right)))})
 
-    kind = "struct<c1:bigint,c2:bigint>"
-    parts = BUCKETS_PER_PARTITION * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("block", "low", "high"), F.lit(parts)))
-    found = dealt.groupBy("part").applyInArrow(compare, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    parts = BUCKETS_PER_PARTITION * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn("part", F.pmod(F.xxhash64("block", "u", "t"), F.lit(parts)))
+    return placed.groupBy("part").applyInArrow(compare, f"a {CLASS}, b {CLASS}, block bigint")
+
+
+def linked_across(dealt: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join all that is linked within each tile, verified in the tile on the sets (c, shingles)."""
+    rows = dealt.join(members.select("c", "size", "bits"), "c").join(sets, "c").withColumn("root", F.xxhash64("root"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = _by_tile(table)
+        root = table.column("root").to_numpy()
+        _, c = _classes_of(table)
+        packed = table.column("shingles").combine_chunks()
+        opened: dict[int, np.ndarray] = {}
+        joined, left, right = Union(), [], []
+        for x, y in _candidates(table):
+            for i, j, p, q in zip(*(v.tolist() for v in (x, y, root[x], root[y]))):
+                if joined.find(p) == joined.find(q):
+                    continue
+                for k in (i, j):
+                    if k not in opened:
+                        opened[k] = _opened(packed[k].as_py())
+                if similar(opened[i], opened[j]):
+                    joined.join(p, q)
+                    left.append(i), right.append(j)
+        return pa.table({"a": c.take(pa.array(left, pa.int64())), "b": c.take(pa.array(right, pa.int64()))})
+
+    return rows.groupBy("block", "u", "t").applyInArrow(compare, f"a {CLASS}, b {CLASS}")
 
 
 def similar_groups(rows: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
@@ -474,25 +609,37 @@ def _grouped(rows: DataFrame, key: str, text: str, buckets: int | None):
         .agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.min(F.struct("key", "check")).alias("one"))
     )
 
+    sets = stored(class_sets(hashed, members.select("one.*")).dropDuplicates(["c"]))
+
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(near(pairs, members))
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-        wanted = stored(members.join(nodes, "c", "left_semi").select("one.*"))
-        sets = class_sets(hashed, wanted).dropDuplicates(["c"])
-        return linked(_counted(pairs), stored(sets))
+        return linked(stored(pairs), sets)
 
     def heads(blocks: DataFrame, of: str) -> DataFrame:
         """For each class one other of its blocks: the first of the block with which it shares most blocks."""
-        lead = blocks.groupBy("block").agg(F.min(F.struct(F.col(of).alias("at"), "c", "size")).alias("lead"))
+        first = F.min(F.struct(F.col(of).alias("at"), "c", "size")).alias("lead")
+        lead = blocks.groupBy("block").agg(first, F.count("*").alias("n"))
         pairs = blocks.join(lead, "block").where((F.col(of) != F.col("lead.at")) & _sizes_fit("size", "lead.size"))
-        most = pairs.groupBy(F.col("lead.c").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("times"))
-        return most.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
+        most = pairs.groupBy(F.col("lead.c").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("times"), F.max("n").alias("n"))
+        best = most.groupBy("b").agg(F.max_by(F.struct("a", "n"), F.struct("times", "a")).alias("best"))
+        return near(best.select("best.a", "b", "best.n"), members)
+
+    def apart(blocks: DataFrame, links: DataFrame) -> DataFrame:
+        return stored(_open_blocks(blocks.select("block", "size", "c"), connected(links)))
 
     links = stored(verified(heads(shared, "c")))
-    again = stored(verified(heads(_open_blocks(shared, connected(links)), "root")))
-    links = links.unionByName(again)
-    across = near_across(stored(_open_blocks(shared, connected(links))), members)
-    roots = connected(links.unionByName(verified(across)))
+    blocks = apart(shared, links)
+    for crowd, step in ((CROWD, lambda some: forest(diagonal(_largest(some)), members)), (TILE, lambda some: heads(some.drop("n"), "root"))):
+        crowded = stored(_crowded(blocks, crowd))
+        if not crowded.isEmpty():
+            links = stored(links.unionByName(verified(_named_pairs(step(crowded)))))
+            blocks = apart(blocks, links)
+    found = stored(forest(tiles(blocks), members))
+    links = stored(links.unionByName(verified(_named_pairs(found))))
+    dense = found.where("block is not null").select("block").distinct()
+    blocks = apart(blocks.join(dense, "block", "left_semi"), links)
+    if not blocks.isEmpty():
+        links = links.unionByName(linked_across(tiles(blocks, by_bytes=True), members, sets))
+    roots = connected(links)
 
     named = texts.join(roots, F.col("c") == F.col("node"), "left")
     named = named.select("key", "check", "size", F.coalesce("root", "c").alias("root")).dropDuplicates(["key", "check"])
@@ -506,9 +653,23 @@ def _sizes_fit(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
-def _counted(pairs: DataFrame) -> DataFrame:
-    """a, b, n (the number of pairs of a)."""
-    return pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a")
+def _named_pairs(found: DataFrame) -> DataFrame:
+    """a, b, n of pairs that tiles or heads named, each once."""
+    named = found.where("a is not null")
+    if "n" in named.columns:
+        return named
+    return named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("n", F.lit(TILE))
+
+
+def _crowded(blocks: DataFrame, more_than: int) -> DataFrame:
+    many = blocks.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > more_than)
+    return blocks.join(many, "block")
+
+
+def _largest(crowded: DataFrame) -> DataFrame:
+    """Every class in the largest of its blocks alone."""
+    best = crowded.groupBy("c").agg(F.max_by(F.struct("block", "root", "size"), F.struct("n", "block")).alias("best"))
+    return best.select("best.*", "c")
 
 
 def _open_blocks(shared: DataFrame, roots: DataFrame) -> DataFrame:

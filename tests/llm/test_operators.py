@@ -9,6 +9,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,15 +108,49 @@ def test_many_near_copies(spark):
     assert {r["component_id"] for r in jaccard.similar_groups(frame).collect()} == {0}
 
 
+def test_a_family_whose_members_are_only_partly_close(spark, monkeypatch):
+    """Two words changed in each: a third of all pairs are links, but about as many tests as members suffice."""
+    rng = random.Random(77)
+    base, rows = prose(21, 100, 10**6).split(), []
+    for i in range(1500):
+        words = list(base)
+        for place in rng.sample(range(100), 2):
+            words[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(words)))
+    tested = []
+    verify = jaccard.linked
+    monkeypatch.setattr(jaccard, "linked", lambda pairs, sets: tested.append(pairs.count()) or verify(pairs, sets))
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(brute.components(rows))
+    assert sum(tested) <= 10_000
+
+
+@pytest.mark.parametrize("tile", [8, 1 << 11])
+def test_links_that_a_tile_left_out(spark, monkeypatch, tile):
+    """Families whose members are about as often just linked as just not, in tiles that do not hold them whole."""
+    for name, value in (("TILE", tile), ("CROWD", 3), ("PAIRS_AT_ONCE", 100), ("TILE_BYTES", 1 << 14)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng, rows = random.Random(78), []
+    for family in range(6):
+        base = prose(100 + family, 60 + 10 * family, 10**6).split()
+        for i in range(40):
+            words = list(base)
+            for place in rng.sample(range(len(base)), 2):
+                words[place] = f"x{i}"
+            rows.append((len(rows), " ".join(words)))
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(brute.components(rows))
+
+
 def test_bit_sketches_bound_the_difference():
     rng = np.random.default_rng(0)
     for n in (5, 60, 700):
         a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
-        b = np.unique(np.concatenate([a[n // 5 :], rng.integers(0, 2**63, n // 6, dtype=np.uint64)]))
-        x, y = (np.frombuffer(jaccard.bit_sketches(v, np.array([0, len(v)]))[0], np.uint8) for v in (a, b))
-        width = min(len(x), len(y))
-        distance = jaccard._hamming(jaccard._fold(x, width), jaccard._fold(y, width))
-        assert distance <= len(np.setxor1d(a, b))
+        for kept in (0.95, 0.9, 0.85, 0.5):
+            b = np.unique(np.concatenate([a[: int(kept * n)], rng.integers(0, 2**63, n // 20, dtype=np.uint64)]))
+            bits = pa.array([jaccard.bit_sketches(v, np.array([0, len(v)]))[0] for v in (a, b)], pa.binary())
+            close = jaccard.close_pairs(bits, np.array([len(a), len(b)]), np.array([0, 1]), np.array([1, 0]))
+            assert close.all() if jaccard.similar(a, b) else close[0] == close[1]
 
 
 def test_quality_rules(spark, docs):
