@@ -14,9 +14,9 @@ parity sketches, of which there are two kinds.
 
 Pairs that are left are verified on the sets themselves, in an order that keeps them few. First each class is tested against one
 other of its blocks, the one with which it shares most. Then classes that share a block and are not connected by then
-are compared in tiles of bounded size, where a union-find names only as many pairs as could join two groups: first each
-class in the largest of its crowded blocks, then all in all blocks that still hold several groups. A tile says when it left out a pair
-since others would make it needless. Blocks of which that is said, and in which groups are apart after all, are compared once more with the
+are compared in tiles of bounded size; in a tile of more than CROWD classes a union-find names only as many pairs as could join two
+groups. First each class takes part in the largest of its crowded blocks alone, then in all its blocks that still hold several groups. A tile
+says when it left out a pair since others would make it needless. Blocks of which that is said, and in which groups are apart after all, are compared once more with the
 sets in the tile, and only true links that join two groups leave it. So members of a family that are only partly close to each other
 cost about as many tests as there are members, and no link is lost.
 
@@ -469,22 +469,25 @@ def _tile_pairs(cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _candidates(table: pa.Table):
-    """Of a table sorted by tile: pairs of places that are to be compared, are of different roots and are close."""
+    """Of a table sorted by tile: pairs of places that are to be compared, are of different roots and are close; and their tiles."""
     block, u, t, side, root, size = (
         table.column(c).to_numpy().astype(np.int64) for c in ("block", "u", "t", "side", "root", "size")
     )
     fresh = np.ones(len(block) + 1, bool)
     if len(block):
         fresh[1:-1] = (np.diff(block) != 0) | (np.diff(u) != 0) | (np.diff(t) != 0)
+    cuts = np.flatnonzero(fresh)
     bits = table.column("bits").combine_chunks()
-    for x, y in _tile_pairs(np.flatnonzero(fresh)):
+    for x, y in _tile_pairs(cuts):
         met = (root[x] != root[y]) & ((side[x] == 2) | (side[x] != side[y]))
         x, y = x[met], y[met]
         if len(x):
             # Only the rows that are still in question.
             some, at = np.unique(np.concatenate([x, y]), return_inverse=True)
             good = close_pairs(bits.take(pa.array(some)), size[some], at[: len(x)], at[len(x) :])
-            yield x[good], y[good]
+            x, y = x[good], y[good]
+            tile = np.searchsorted(cuts, x, "right") - 1
+            yield x, y, tile, cuts[tile + 1] - cuts[tile]
 
 
 CLASS = "struct<c1:bigint,c2:bigint>"
@@ -506,9 +509,9 @@ def _by_tile(table: pa.Table) -> pa.Table:
 
 
 def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that join all that could be linked in some tiles, and (as `block`) the blocks with more such pairs than these.
+    """Pairs (a, b) that could be linked in some tiles, and (as `block`) the blocks with more such pairs than these.
 
-    Pairs that the same task has already named are not named again.
+    Tiles of up to CROWD classes name all such pairs, others only as many as join all that they could join.
     """
     rows = dealt.join(members.select("c", "size", "bits"), "c").withColumn("root", F.xxhash64("root"))
 
@@ -516,25 +519,33 @@ def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
         table = _by_tile(table)
         root, block = table.column("root").to_numpy(), table.column("block").to_numpy()
         number, c = _classes_of(table)
-        joined, named, dense, left, right = Union(), set(), set(), [], []
-        for x, y in _candidates(table):
-            for i, j, m, n, p, q, b in zip(
-                *(v.tolist() for v in (x, y, np.minimum(number[x], number[y]), np.maximum(number[x], number[y]), root[x], root[y], block[x]))
-            ):
-                if (m, n) in named:
-                    continue
-                if joined.find(p) == joined.find(q):
+        joined: dict[int, Union] = {}
+        dense: set[int] = set()
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y, tile, members in _candidates(table):
+            few = members <= CROWD
+            left.append(x[few]), right.append(y[few])
+            chosen = np.zeros(len(x), bool)
+            crowded = np.flatnonzero(~few)
+            for k, t, p, q, b in zip(crowded.tolist(), *(v[crowded].tolist() for v in (tile, root[x], root[y], block[x]))):
+                union = joined.setdefault(t, Union())
+                if union.find(p) == union.find(q):
                     dense.add(b)
-                    continue
-                named.add((m, n))
-                joined.join(p, q)
-                left.append(i), right.append(j)
+                else:
+                    union.join(p, q)
+                    chosen[k] = True
+            left.append(x[chosen]), right.append(y[chosen])
+        x, y = np.concatenate(left), np.concatenate(right)
+        if len(x):  # every pair of classes once
+            pairs = np.minimum(number[x], number[y]) * (number.max() + 1) + np.maximum(number[x], number[y])
+            _, once = np.unique(pairs, return_index=True)
+            x, y = x[once], y[once]
         none = pa.nulls(len(dense), c.type)
         return pa.table(
             {
-                "a": pa.concat_arrays([c.take(pa.array(left, pa.int64())), none]),
-                "b": pa.concat_arrays([c.take(pa.array(right, pa.int64())), none]),
-                "block": pa.concat_arrays([pa.nulls(len(left), pa.int64()), pa.array(sorted(dense), pa.int64())]),
+                "a": pa.concat_arrays([c.take(pa.array(x)), none]),
+                "b": pa.concat_arrays([c.take(pa.array(y)), none]),
+                "block": pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(sorted(dense), pa.int64())]),
             }
         )
 
@@ -554,7 +565,7 @@ def linked_across(dealt: DataFrame, members: DataFrame, sets: DataFrame) -> Data
         packed = table.column("shingles").combine_chunks()
         opened: dict[int, np.ndarray] = {}
         joined, left, right = Union(), [], []
-        for x, y in _candidates(table):
+        for x, y, _, _ in _candidates(table):
             for i, j, p, q in zip(*(v.tolist() for v in (x, y, root[x], root[y]))):
                 if joined.find(p) == joined.find(q):
                     continue
