@@ -12,7 +12,16 @@ from .text import tag_free
 def _opening(tag: str, attribute: str | None, value: str | None) -> str:
     if attribute is None:
         return rf"<{tag}\b[^>]*>"
-    return rf'<{tag}\b[^>]*\b{re.escape(attribute)}="{re.escape(value)}"[^>]*>'
+    wanted = re.escape(value)
+    return rf"""<{tag}\b[^>]*\b{re.escape(attribute)}\s*=\s*(?:"{wanted}"|'{wanted}')[^>]*>"""
+
+
+#: A quoted attribute value with its quotes, as one group.
+QUOTED = r"""("[^"]*"|'[^']*')"""
+
+
+def _unquoted(value: Column) -> Column:
+    return F.substring(value, F.lit(2), F.length(value) - 2)
 
 
 def text_of(html: Column, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
@@ -29,17 +38,17 @@ def texts_of(html: Column, tag: str, attribute: str | None = None, value: str |
 
 def attribute_of(html: Column, tag: str, name: str) -> Column:
     """An attribute of the first such tag that has it; NULL without one."""
-    return F.nullif(F.regexp_extract(html, rf'<{tag}\b[^>]*\b{name}="([^"]*)"', 1), F.lit(""))
+    return F.nullif(_unquoted(F.regexp_extract(html, rf"<{tag}\b[^>]*\b{name}\s*=\s*{QUOTED}", 1)), F.lit(""))
 
 
 def attributes_of(html: Column, tag: str, name: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf'<{tag}\b[^>]*\b{name}="([^"]*)"'), F.lit(1))
+    return F.transform(F.regexp_extract_all(html, F.lit(rf"<{tag}\b[^>]*\b{name}\s*=\s*{QUOTED}"), F.lit(1)), _unquoted)
 
 
 def links_of(html: Column) -> Column:
     """All links in page order, as structs of href and text."""
-    pattern = r'(?s)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
-    hrefs = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    pattern = rf"(?s)<a\b[^>]*\bhref\s*=\s*{QUOTED}[^>]*>(.*?)</a>"
+    hrefs = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), _unquoted)
     texts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(2)), tag_free)
     return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
 

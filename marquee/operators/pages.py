@@ -27,7 +27,7 @@ class Rule:
     """Texts (or an attribute) of the tags that match, or of `inner` tags within them.
 
     The first match counts unless `every` is set; `every_inner` does the same for inner tags. `part` lets
-    `value` match a part of a class name.
+    `value` match a part of a class name; `has` names an attribute that must be there too. The tag `*` is any tag.
     """
 
     name: str
@@ -39,9 +39,10 @@ class Rule:
     every: bool = False
     every_inner: bool = False
     part: bool = False
+    has: str = ""
 
     def matches(self, tag: str, attributes: dict[str, str]) -> bool:
-        if tag != self.tag:
+        if self.tag not in (tag, "*") or self.has and self.has not in attributes:
             return False
         if not self.attribute:
             return True
@@ -84,6 +85,12 @@ REVIEW_RULES = [
     Rule("author", "span", "class", "display-name-link", inner="a", take="href"),
     Rule("helpfulness", "div", "class", "actions text-muted"),
 ]
+LISTING_SCOPE = Rule("item", "div", "class", "lister-item-content", every=True)
+LISTING_RULES = [Rule("link", "a", take="href"), Rule("genres", "span", "class", "genre")]
+REVIEW_LIST_RULES = [
+    Rule("total", "div", "class", "header", inner="div"),
+    Rule("next_key", "*", "class", "load-more-data", take="data-key", has="data-key"),
+]
 TOP_ACTORS = 10
 SCORE_NAMES = ["user_review_num", "critic_review_num", "metascore"]
 
@@ -101,8 +108,17 @@ def _attributes(written: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(written)}
 
 
+class Scope:
+    """An open scope tag: its depth, the values found in it, and the rules whose tag is open in it."""
+
+    def __init__(self, depth: int):
+        self.depth = depth
+        self.record: dict[str, list] = {}
+        self.inside: dict[Rule, int] = {}  # rule -> depth of its open tag
+
+
 class PageReader:
-    """Collects, per scope, a list of values for every rule whose tag occurs on a page."""
+    """Collects, per scope, a list of values for every rule whose tag occurs on a page. Scopes may lie in each other."""
 
     def __init__(self, rules: list[Rule], scope: Rule | None = None):
         self.scope = scope
@@ -114,12 +130,12 @@ class PageReader:
         self.marks: dict[str, list[str]] = {}
         for rule in [*rules, *([scope] if scope else [])]:
             self.marks.setdefault(rule.tag, []).append(rule.value.split(" ")[0])
+        self.any_marks = self.marks.get("*", [])
 
     def read(self, page: str) -> list[dict]:
-        self.records: list[dict] = [] if self.scope else [{}]
         self.open: list[str] = []
-        self.scope_depth = 0  # depth of the open scope tag, 0 outside
-        self.inside: dict[Rule, int] = {}  # rule -> depth of its open tag
+        self.scopes = [] if self.scope else [Scope(0)]  # open ones, the innermost last
+        self.records: list[dict] = [s.record for s in self.scopes]
         self.texts: list[tuple[int, list, int]] = []  # depth, values, index of a text being read
         done = 0
         for token in TOKEN.finditer(page):
@@ -146,24 +162,26 @@ class PageReader:
         if tag not in VOID:
             self.open.append(tag)
         marks = self.marks.get(tag, ())
-        if not (self.inside and tag in self.inner_tags or "&" in written or any(m in written for m in marks)):
+        inner = tag in self.inner_tags and any(s.inside for s in self.scopes)
+        if not (inner or "&" in written or any(m in written for m in marks) or any(m in written for m in self.any_marks)):
             return
         depth, attributes = len(self.open), _attributes(written)
-        if self.scope and not self.scope_depth:
-            if self.scope.matches(tag, attributes):
-                self.scope_depth = depth
-                self.records.append({})
-            return
-        record = self.records[-1]
-        held = list(self.inside)
+        for scope in self.scopes:
+            self._apply(scope, tag, attributes, depth)
+        if self.scope and self.scope.matches(tag, attributes):
+            self.scopes.append(Scope(depth))
+            self.records.append(self.scopes[-1].record)
+
+    def _apply(self, scope: Scope, tag: str, attributes: dict[str, str], depth: int) -> None:
+        record, held = scope.record, list(scope.inside)
         for rule in held:
             if rule.inner == tag and (rule.every_inner or not record[rule.name]):
                 self._take(rule, record[rule.name], attributes, depth)
-        for rule in self.by_tag.get(tag, ()):
+        for rule in [*self.by_tag.get(tag, ()), *self.by_tag.get("*", ())]:
             if rule not in held and (rule.every or rule.name not in record) and rule.matches(tag, attributes):
                 values = record.setdefault(rule.name, [])
                 if rule.inner:
-                    self.inside[rule] = depth
+                    scope.inside[rule] = depth
                 else:
                     self._take(rule, values, attributes, depth)
 
@@ -182,10 +200,11 @@ class PageReader:
         depth = len(self.open)
         if self.texts:
             self.texts = [t for t in self.texts if t[0] <= depth]
-        if self.inside:
-            self.inside = {rule: d for rule, d in self.inside.items() if d <= depth}
-        if self.scope_depth > depth:
-            self.scope_depth = 0
+        for scope in self.scopes:
+            if scope.inside:
+                scope.inside = {rule: d for rule, d in scope.inside.items() if d <= depth}
+        while self.scope and self.scopes and self.scopes[-1].depth > depth:
+            self.scopes.pop()
 
 
 def extract_pages(pages: DataFrame, rules: list[Rule], scope: Rule | None = None, key: str = "id") -> DataFrame:
@@ -219,12 +238,10 @@ def _ranked(links: str, limit: int | None = None):
         F.transform(used, lambda h: F.struct(text.link_rank(h).alias("rank"), text.link_id(h).alias("id"))),
         lambda e: e["rank"].isNotNull(),
     )
-    kept = F.aggregate(
-        entries,
-        F.expr("cast(map() as map<string,string>)"),
-        lambda done, e: F.map_concat(F.map_filter(done, lambda k, _: k != e["rank"]), F.create_map(e["rank"], e["id"])),
-    )
-    return F.coalesce(kept, F.expr("cast(map() as map<string,string>)"))
+    # One entry per rank: the place of each rank's last link picks it.
+    ranks = F.transform(entries, lambda e: e["rank"])
+    last = F.filter(entries, lambda e, i: F.array_position(F.reverse(ranks), e["rank"]) == F.size(entries) - i)
+    return F.coalesce(F.map_from_entries(last), F.expr("cast(map() as map<string,string>)"))
 
 
 def title_records(pages: DataFrame, key: str = "id") -> DataFrame:
@@ -273,9 +290,18 @@ def review_records(pages: DataFrame, key: str = "id") -> DataFrame:
 
 
 def listing(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Links of listing pages as (id, main_genre); of a link listed twice the last one counts."""
-    links = pages.select(key, F.posexplode(markup.links_of(F.col("html"))).alias("pos", "link"))
-    rows = links.select(
-        F.col("link.href").alias("id"), text.main_genre(F.col("link.text")).alias("main_genre"), key, "pos"
-    )
-    return last_wins(rows, "id", [key, "pos"]).select("id", "main_genre")
+    """Listing pages -> (id, main_genre): the first link and the genre text of each listed item.
+
+    An item without a link gives no row, one without a genre NULL. Of an id listed several times the last one counts, by page
+    and place on it.
+    """
+    found = extract_pages(pages, LISTING_RULES, LISTING_SCOPE, key)
+    rows = found.select(_first("link"), text.main_genre(F.get("genres", F.lit(0))).alias("main_genre"), key, "position")
+    rows = rows.where(F.col("link").isNotNull()).withColumnRenamed("link", "id")
+    return last_wins(rows, "id", [key, "position"]).select("id", "main_genre")
+
+
+def review_lists(pages: DataFrame, key: str = "id") -> DataFrame:
+    """Pages that list reviews -> how many reviews their header states (0 without one), and the key of the next page (NULL: none)."""
+    found = extract_pages(pages, REVIEW_LIST_RULES, key=key)
+    return found.select(key, text.review_total(F.get("total", F.lit(0))).alias("reviews_num"), _first("next_key"))

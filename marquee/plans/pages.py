@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import markup
 from ..operators import pages as page_ops
 from .registry import query
-from .views import ITEMS, REVIEWS, raw_titles, reviews, table, with_views, words
+from .views import ITEMS, REVIEWS, items, raw_titles, reviews, table, with_views, words
 
 UNESCAPED = (
     "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
@@ -59,18 +59,6 @@ def extract_links(spark, folder):
     return found.select("page_id", "pos", "link.href", "link.text")
 
 
-@query(
-    "extract_listing",
-    with_views(
-        """select href as id, split_part(replace(replace(text, chr(10), ''), ', ', ' '), ' ', 1) as main_genre
-        from links qualify row_number() over (partition by href order by page_id desc, pos desc) = 1""",
-        LINKS,
-    ),
-)
-def extract_listing(spark, folder):
-    return page_ops.listing(table(spark, folder, "pages"))
-
-
 def _list(name: str, values, tag: str = "li"):
     """`<li data-testid=name><ul><li>..</li>..</ul></li>`, nothing at all for a NULL list."""
     entries = F.array_join(F.transform(values, lambda v: F.concat(F.lit(f"<{tag}>"), v, F.lit(f"</{tag}>"))), "")
@@ -139,6 +127,67 @@ def title_pages(spark, folder):
     )
 
 
+LISTED = 25  # items of a listing page
+
+
+def listing_pages(spark, folder):
+    """Listing pages of some items each, with other links around them. The first item of a page stands on the next one again."""
+    rows = raw_titles(spark, folder).select("id", "genres", "actors")
+    page = F.floor(F.col("id") / LISTED)
+    on = rows.withColumn("again", F.explode(F.array(F.lit(False), F.lit(True)))).where(~F.col("again") | (F.col("id") % LISTED == 0))
+    genres = F.array_join(F.when(F.col("again"), F.reverse("genres")).otherwise(F.col("genres")), ", ")
+    link = F.when(F.col("id") % 2 == 0, words('<a class="x" href="/title/tt', F.col("id"), '/">')).otherwise(
+        words("<a href='/title/tt", F.col("id"), "/' >")
+    )
+    genre = F.when(F.col("id") % 11 != 0, words('<span class="runtime">90 min</span><span class="genre">\n', genres, " </span>"))
+    item = words(
+        '<div class="lister-item"><a href="/poster/">p</a><div class="lister-item-content"><h3><span>1.</span>', link,
+        "Name</a></h3><div><p>", F.coalesce(genre, F.lit("")), '</p></div><p><a href="/name/nm1/">Somebody</a></p></div></div>',
+    )
+    rows = on.select((page + F.col("again").cast("int")).alias("page_id"), F.struct(~F.col("again"), "id", item.alias("item")).alias("i"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list("i")), lambda i: i["item"]), "\n")
+    around = words('<html><body><nav><a href="/nav">Menu</a><span class="genre">All</span></nav>', F.col("listed"), "</body></html>")
+    return rows.groupBy("page_id").agg(listed.alias("listed")).select("page_id", around.alias("html"))
+
+
+@query(
+    "extract_listing",
+    with_views(
+        """select '/title/tt' || id || '/' as id, case when id % 11 <> 0 then coalesce(case when id % 25 = 0 then main_genre else genre_1 end, '') end
+          as main_genre from (select id, genre_1, split_part(main_genre, ' ', 1) as main_genre from items)""",
+        ITEMS,
+    ),
+)
+def extract_listing(spark, folder):
+    return page_ops.listing(listing_pages(spark, folder))
+
+
+def review_list_pages(spark, folder):
+    """The pages under which reviews of a title are listed: not all have a header or a further page."""
+    key = F.col("id")
+    header = F.when(key % 5 != 0, words('<div class="lister header"><p>x</p><div>\n<span>', F.format_number(key * 37, 0), " Reviews</span> </div></div>"))
+    more = F.when(key % 3 == 0, words("<div class='load-more-data' data-key='k&amp;", key, "'>")).when(
+        key % 3 == 1, words('<p class="load-more-data x" data-ajax="/a" data-key="g', key, '">')
+    )
+    html = words(
+        '<html><body><div data-key="other"></div>', F.coalesce(header, F.lit('<div class="header">none</div>')),
+        '<div class="load-more-data">no key</div>', F.coalesce(more, F.lit("")), "</body></html>",
+    )
+    return items(spark, folder).select("id", html.alias("html"))
+
+
+@query(
+    "extract_review_lists",
+    with_views(
+        """select id, case when id % 5 <> 0 then cast(id * 37 as int) else 0 end as reviews_num,
+          case id % 3 when 0 then 'k&' || id when 1 then 'g' || id end as next_key from items""",
+        ITEMS,
+    ),
+)
+def extract_review_lists(spark, folder):
+    return page_ops.review_lists(review_list_pages(spark, folder))
+
+
 @query(
     "extract_scores",
     with_views(

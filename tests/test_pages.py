@@ -1,5 +1,8 @@
 """Page rules on hand-written and malformed pages."""
 
+from pyspark.sql import functions as F
+
+from marquee.functions import markup
 from marquee.operators import pages as page_ops
 
 TITLE = """<!DOCTYPE html><html><body><script>var x = "<h1 data-testid='hero-title-block__title'>no</h1>";</script>
@@ -21,7 +24,7 @@ TITLE = """<!DOCTYPE html><html><body><script>var x = "<h1 data-testid='hero-tit
 REVIEWS = """<div class="header"><div>2 Reviews</div></div>
 <div class="lister-item review-container"><span><svg></svg></span><span>8</span>
  <a class="title" href="#"> Fine
-</a><span class="display-name-link"><a href="/user/ur1/?ref_=x">me</a></span><span class="review-date">31 January 2020</span>
+</a><span class="display-name-link"><a href="/user/ur1/?ref_=x">me</a></span><span class="review-date">14 August 2016</span>
  <div class="text show-more__control">Long<br>text</div><div class="actions text-muted">
  171 out of 185 found this helpful.
 </div></div>
@@ -64,17 +67,58 @@ def test_review_records(spark):
     rows = page_ops.review_records(frame(spark, REVIEWS, "")).orderBy("position").collect()
     assert len(rows) == 2
     first, second = rows
-    assert (first["rating"], first["date"], first["title"]) == (8, "31 January 2020", " Fine\n")
+    assert (first["rating"], first["date"], first["title"]) == (8, "14 August 2016", " Fine\n")
     assert (first["author"], first["text"]) == ("/user/ur1/?ref_=x", "Longtext")
     assert "171 out of 185" in first["helpfulness"]
     assert (second["rating"], second["author"], second["text"]) == (None, None, None)
 
 
-def test_listing_last_one_wins(spark):
-    page = '<li><a href="/title/a/">\nAction, Drama </a></li><li><a href="/title/b/">Crime</a></li>'
-    later = '<a class="q" href="/title/a/">Comedy &amp; more</a>'
-    rows = page_ops.listing(frame(spark, page, later).withColumnRenamed("id", "page_id")).collect()
-    assert {tuple(r) for r in rows} == {("/title/a/", "Comedy"), ("/title/b/", "Crime")}
+ITEM = """<div class="lister-item mode"><a href="/img/">poster</a><div class='a lister-item-content'><h3><span>1.</span>
+<a href='{id}'>Name</a> <a href="/other/">b</a></h3><p><span class="runtime">99 min</span>{genre}</p><a href="/name/nm9/">Who</a></div></div>"""
+
+
+def listed(*items):
+    inside = "".join(ITEM.format(id=i, genre="" if g is None else f'<span class="genre">{g}</span>') for i, g in items)
+    return f'<a href="/nav">Menu</a><span class="genre">All</span><div>{inside}</div><a href="/title/no/">x</a>'
+
+
+def test_listing_takes_items_alone_and_the_last_of_an_id(spark):
+    page = listed(("/title/a/", "\nAction, Drama "), ("/title/b/", "Crime"), ("/title/d/", None), ("/title/b/", "Sci-Fi &amp; x"))
+    later = listed(("/title/a/", "Comedy")) + '<div class="lister-item-content"><b>no link</b><span class="genre">War</span></div>'
+    rows = page_ops.listing(frame(spark, page, later, None, "<p>").withColumnRenamed("id", "page_id")).collect()
+    assert {tuple(r) for r in rows} == {("/title/a/", "Comedy"), ("/title/b/", "Sci-Fi"), ("/title/d/", None)}
+
+
+def test_items_within_items():
+    reader = page_ops.PageReader(page_ops.LISTING_RULES, page_ops.LISTING_SCOPE)
+    inner = '<div class="lister-item-content"><a href="2">x</a><span class="genre">Two</span></div>'
+    found = reader.read(f'<div class="lister-item-content"><p>{inner}<a href="1">x</a><span class="genre">One</span></p></div><a href="3">')
+    assert found == [{"link": ["2"], "genres": ["Two"]}, {"link": ["2"], "genres": ["Two"]}]
+
+
+def test_review_lists(spark):
+    pages = [
+        '<div class="x header"><p>7</p><div>\n<b>1,234 Reviews</b></div><div>9 Reviews</div></div><span class="load-more-data q" data-key="k&amp;1">',
+        '<div class="header">5 Reviews</div><div class="header"><div>6 Reviews</div></div><div class="load-more-data"></div><div data-key="no">',
+        "<div class='load-more-data'></div><p data-key='two' class='load-more-data'><div class='header'><div>none</div></div>",
+        None,
+    ]
+    rows = page_ops.review_lists(frame(spark, *pages)).orderBy("id").collect()
+    assert [(r["reviews_num"], r["next_key"]) for r in rows] == [(1234, "k&1"), (0, None), (0, "two"), (0, None)]
+
+
+def test_both_kinds_of_quotes(spark):
+    html = F.col("html")
+    double = '<a id="i" href="/one?x=1">One</a><div data-key="k" class="score">7</div><a href="/two">Two &amp; <b>3</b></a>'
+    columns = [
+        markup.attribute_of(html, "div", "data-key").alias("key"),
+        markup.attributes_of(html, "a", "href").alias("hrefs"),
+        markup.links_of(html).alias("links"),
+        markup.text_of(html, "div", "class", "score").alias("score"),
+        markup.texts_of(html, "div", "class", "score").alias("scores"),
+    ]
+    one, two = frame(spark, double, double.replace('"', "'")).select("id", *columns).orderBy("id").drop("id").collect()
+    assert one == two and one["hrefs"] == ["/one?x=1", "/two"] and one["links"][1]["text"] == "Two & 3" and one["key"] == "k"
 
 
 def test_workers_need_no_copy_of_the_package(tmp_path):
