@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .json_ranges import read_by_column_ranges, read_keyed_ranges
+from .locations import Location
+
 HEAD_PIECES = 256  # pieces that end in a brace, from which the form of the files is seen
 
 
@@ -31,13 +34,11 @@ def read_keyed(
 ) -> DataFrame:
     """Files that hold one JSON object `{id: record}` each.
 
-    Without `key_prefix` a file is read by one task, which is fine for many files of moderate size. When all
-    ids begin with the same text, such as `/title/`, that text is where records begin, and Spark splits
-    even a single huge object between records.
+    A large file is read by many tasks. That takes two passes over it; one is enough when all ids begin with the same text, such as
+    `/title/`, given as `key_prefix`: that text is where records begin, and Spark splits even a single huge object between records.
     """
     if key_prefix is None:
-        files = spark.read.text(path, wholetext=True)
-        return parse_keyed(files, F.col("value"), schema, key)
+        return read_keyed_ranges(spark, path, schema, key)
     # How the writer separates records and whether it escapes slashes shows in the first pieces of the files.
     head = "}".join(r["value"] for r in spark.read.option("lineSep", "}").text(path).limit(HEAD_PIECES).collect())
     forms = [key_prefix, key_prefix.replace("/", "\\/")]
@@ -60,8 +61,14 @@ def read_keyed(
     return pieces.where(F.trim("value") != "").select(identifier.alias(key), record.alias("record")).select(key, "record.*")
 
 
+def read_keyed_at(spark: SparkSession, place: Location, name: str, schema: T.StructType, key: str = "id", **options) -> DataFrame:
+    """`read_keyed` of a file or folder in a local folder or an object store."""
+    return read_keyed(spark, place.path(name), schema, key, **options)
+
+
 def read_by_column(spark: SparkSession, path: str, columns: list[str], key: str = "id") -> DataFrame:
-    return parse_by_column(spark.read.text(path, wholetext=True), F.col("value"), columns, key)
+    """Files that hold one JSON object `{field: {id: value}}` each; a large file is read by many tasks."""
+    return read_by_column_ranges(spark, path, columns, key)
 
 
 def as_keyed(rows: DataFrame, key: str = "id") -> DataFrame:
