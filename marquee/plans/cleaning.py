@@ -36,7 +36,8 @@ def title_rstrip(spark, folder):
 def _raw_reviews(spark, folder):
     """Reviews as they are stored: the date is text with blanks around it."""
     written = F.concat(F.lit("\n    "), F.date_format("review_date", "d MMMM yyyy"), F.lit("\n   "))
-    return reviews(spark, folder).withColumn("date", written).drop("review_date")
+    said = F.concat(F.lit("I saw "), "title", F.lit("twice.\n"))
+    return reviews(spark, folder).withColumns({"date": written, "text": said}).drop("review_date")
 
 
 @query(
@@ -55,7 +56,7 @@ def review_date(spark, folder):
     "reviews_etl",
     with_views(
         """select order_id, line, id, cast(rating as double) as rating, title_clean as title, author_clean as author,
-          upvotes, total_votes, strftime(review_date, '%Y-%m-%d') as review_date from reviews""",
+          upvotes, total_votes, strftime(review_date, '%Y-%m-%d') as review_date, 'I saw ' || title || 'twice.' || chr(10) as text from reviews""",
         REVIEWS,
     ),
 )

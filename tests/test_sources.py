@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import types as T, functions as F
 
 from marquee.operators import reviews as review_ops
-from marquee.sources import keyed_json, review_files
+from marquee.sources import keyed_json, manifest, review_files
 from marquee.sources.locations import Location
 
 RECORD = T.StructType(
@@ -62,7 +62,7 @@ def test_keyed_lines_round_trip(spark, tmp_path):
 
 
 RAW = [
-    ("/title/tt1/", 'He said "no",\nthen left', "8", "31 January 2020", "a\n", "/user/ur1/?x", "1 out of 2"),
+    ("/title/tt1/", 'He said "no",\nthen left', "8", "14 August 2016", "a\n", "/user/ur1/?x", "1 out of 2"),
     ("/title/tt1/", None, None, "1 May 2001", "b, c", None, None),
     ("/title/tt2/", "plain", "3", "2 May 2001", "d", "/user/ur2/", "3 out of 4"),
 ]
@@ -92,6 +92,90 @@ def test_write_raw_reviews(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in rows.collect()}
 
 
+def spaced(value, rng):
+    """JSON text with blanks wherever they may stand."""
+    def gap():
+        return rng.choice(["", "", " ", "\n", "\t ", "\r\n  "])
+
+    if isinstance(value, dict):
+        inside = (gap() + ",").join(gap() + json.dumps(k) + gap() + ":" + spaced(v, rng) for k, v in value.items())
+        return gap() + "{" + inside + gap() + "}" + gap()
+    if isinstance(value, list):
+        return gap() + "[" + ",".join(spaced(v, rng) for v in value) + gap() + "]" + gap()
+    return gap() + json.dumps(value, ensure_ascii=rng.random() < 0.5) + gap()
+
+
+TRICKY = ['", "x": {', "}}}", "{{[", '\\', '\\"', 'a\\\\"},', "\n,\t", "é{ü", "", "]", "plain, text", '"', "{}", "},{"]
+
+
+@pytest.fixture(params=[20, 83, 1 << 20])
+def small_ranges(spark, request):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(request.param))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield request.param
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_keyed_files_of_any_spacing_in_any_ranges(spark, tmp_path, small_ranges):
+    import random
+
+    kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("inner", T.StructType([T.StructField("a", T.StringType())]))])
+    expected = {}
+    for seed in range(3):
+        rng = random.Random(seed)
+        made = {
+            f'{rng.choice(["", "q}}", "k{", chr(34)])}{seed}-{i}': {
+                "name": rng.choice(TRICKY), "tags": rng.sample(TRICKY, rng.randrange(3)), "inner": {"a": rng.choice(TRICKY)}
+            }
+            for i in range([7, 1, 0][seed])
+        }
+        (tmp_path / f"{seed}.json").write_text(spaced(made, rng) + "\n")
+        expected |= made
+    rows = keyed_json.read_keyed(spark, str(tmp_path), kind).collect()
+    assert {r["id"]: (r["name"], r["tags"], r["inner"]["a"]) for r in rows} == {k: (v["name"], v["tags"], v["inner"]["a"]) for k, v in expected.items()}
+    assert len(rows) == len(expected)
+
+
+def test_column_files_of_any_spacing_in_any_ranges(spark, tmp_path, small_ranges):
+    import random
+
+    expected = {}
+    for seed in range(3):
+        rng = random.Random(10 + seed)
+        ids = [f'{rng.choice(["", "q}}", ",", chr(34)])}{seed}-{i}' for i in range([6, 1, 0][seed])]
+        made = {"empty": {}, **{f: {i: rng.choice([*TRICKY, None]) for i in ids} for f in ("genre", 'odd "name", {', "url")}, "n": {i: 5 for i in ids}}
+        (tmp_path / f"{seed}.json").write_text(spaced(made, rng))
+        expected |= {i: (made["genre"][i], made["url"][i], "5") for i in ids}
+    # Objects one after the other in one file, as they are written row by row.
+    (tmp_path / "lines.json").write_text('{"genre":{"x":"1"},"url":{"x":"2"}}\n{"genre":{"y":"}{"}}\n\n{"n":{"y":5}}')
+    expected |= {"x": ("1", "2", None), "y": ("}{", None, "5")}
+    rows = keyed_json.read_by_column(spark, str(tmp_path), ["genre", "url", "n"]).collect()
+    assert {r["id"]: (r["genre"], r["url"], r["n"]) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    from marquee.sources import json_ranges
+
+    (tmp_path / "one.json").write_text(json.dumps(records(4000), indent=1))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert json_ranges.pieces(spark, str(tmp_path), json_ranges.BY_ID).rdd.getNumPartitions() > 8
+        rows = keyed_json.read_keyed_at(spark, Location("local", str(tmp_path)), "one.json", RECORD)
+        assert rows.select(F.sum("n"), F.count("*"), F.countDistinct("id")).first() == (4000 * 3999 // 2, 4000, 4000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("text", ['{"a": {"name": "x"}, "b": {"name": "y"', '{"a": {"name": "x"}', '{"a": {"name": "x'])
+def test_a_file_that_ends_too_early_is_an_error(spark, tmp_path, text):
+    (tmp_path / "one.json").write_text(text)
+    with pytest.raises(Exception, match="ends within an object"):
+        keyed_json.read_keyed(spark, str(tmp_path), RECORD).collect()
+
+
 @pytest.mark.parametrize("form", ["parquet", "csv"])
 def test_parts(spark, tmp_path, form):
     rows = spark.createDataFrame(RAW, review_ops.RAW_REVIEW)
@@ -101,13 +185,14 @@ def test_parts(spark, tmp_path, form):
     titles = spark.createDataFrame([("/title/tt1/",), ("/title/tt2/",), ("/title/tt3/",)], "id string")
     target = str(tmp_path / "out")
     review_files.run_reviews_job(spark, str(tmp_path / "*.csv"), titles, target, parts=4, form=form)
-    stored = review_files.read_columns(spark, [target], ["id", "part", "author"], form)
+    stored = review_files.read_parts(spark, target).select("id", "part", "author")
     assert stored.count() == 3
     expected = {r["id"]: r["p"] for r in titles.select("id", review_ops.review_part(4).alias("p")).collect()}
     assert all(expected[r["id"]] == r["part"] for r in stored.collect())
     # A second run finds every partition finished and leaves the rows as they are.
     review_files.run_reviews_job(spark, str(tmp_path / "*.csv"), titles, target, parts=4, form=form)
-    assert review_files.read_columns(spark, [target], ["id"], form).count() == 3
+    assert review_files.read_parts(spark, target).count() == 3
+    assert len(list((tmp_path / "out").glob("run=*"))) == 1
 
 
 def test_only_known_titles(spark):
@@ -116,38 +201,84 @@ def test_only_known_titles(spark):
     assert [r["id"] for r in kept] == ["b"]
 
 
-def test_unfinished_part_is_written_again(spark, tmp_path):
+def pairs(spark, target):
+    return sorted((r["id"], int(r["v"])) for r in review_files.read_parts(spark, target).collect())
+
+
+def test_a_writer_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    """Stopped after each of its steps, before the last of them."""
+    target = str(tmp_path / "out")
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    review_files.write_parts(rows.where("v < 3"), target, 2)
+    grown = rows.unionByName(spark.createDataFrame([("a", 9)], "id string, v int"))
+
+    def die(*_):
+        raise RuntimeError("stopped")
+
+    def write_then_die(*args):
+        written(*args)
+        die()
+
+    written, renamed = review_files._write_rows, review_files.Manifests._rename
+    for owner, name, step in (
+        (review_files, "_write_rows", die),
+        (review_files, "_write_rows", write_then_die),
+        (review_files.Manifests, "publish", die),
+        (review_files.Manifests, "_rename", die),
+    ):
+        with monkeypatch.context() as patch:
+            patch.setattr(owner, name, step)
+            with pytest.raises(RuntimeError, match="stopped"):
+                review_files.write_parts(grown, target, 2)
+        assert pairs(spark, target) == [("a", 1), ("b", 2)]
+    assert review_files.Manifests._rename is renamed
+    # A later run that is given the new title only, then one with everything.
+    review_files.write_parts(rows.where("v = 3"), target, 2)
+    assert pairs(spark, target) == [("a", 1), ("b", 2), ("c", 3)]
+    review_files.write_parts(grown, target, 2)
+    assert pairs(spark, target) == [("a", 1), ("a", 9), ("b", 2), ("c", 3)]
+    review_files.forget_old_runs(spark, target)
+    assert pairs(spark, target) == [("a", 1), ("a", 9), ("b", 2), ("c", 3)]
+    assert len(list((tmp_path / "out" / "_manifests").glob("*"))) == 1
+
+
+def test_of_two_writers_one_is_told(spark, tmp_path):
     target = str(tmp_path / "out")
-    # A run that died before it was recorded as finished left half of the rows.
-    rows.where("v < 2").withColumn("part", review_ops.review_part(2)).write.partitionBy("part").parquet(target)
-    review_files.write_parts(rows, target, 2)
-    assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    rows = spark.createDataFrame([("a", 1)], "id string, v int")
+    review_files.write_parts(rows, target, 1)
+    manifests = review_files.Manifests(spark, target)
+    with pytest.raises(manifest.Conflict):
+        manifests.publish({"parts": rows}, 0)
+    assert pairs(spark, target) == [("a", 1)] and manifests.latest() == 1
 
 
 def test_new_titles_of_a_finished_part_are_written(spark, tmp_path):
     target = str(tmp_path / "out")
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    assert review_files.read_parts(spark, target) is None and review_files.finished_titles(spark, target) is None
     review_files.write_parts(rows.where("v < 3"), target, 1)
     review_files.write_parts(rows, target, 1)
-    assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    assert pairs(spark, target) == [("a", 1), ("b", 2), ("c", 3)]
     with pytest.raises(ValueError, match="partitions"):
         review_files.write_parts(rows, target, 2)
 
 
 @pytest.mark.parametrize("form", ["parquet", "csv"])
-def test_grown_titles_and_batches_of_new_ones(spark, tmp_path, form):
+@pytest.mark.parametrize("parts", [1, 3])
+def test_grown_and_removed_titles_and_batches_of_new_ones(spark, tmp_path, form, parts):
     target = str(tmp_path / "out")
 
-    def run(*rows):
-        review_files.write_parts(spark.createDataFrame(rows, "id string, v int"), target, 1, form)
-        stored = review_files.read_columns(spark, [target], ["id", "v"], form).collect()
-        return sorted((r["id"], int(r["v"])) for r in stored)
+    def run(*rows, gone=()):
+        lost = spark.createDataFrame([(g,) for g in gone], "unit string") if gone else None
+        review_files.write_parts(spark.createDataFrame(rows, "id string, v int"), target, parts, form, gone=lost)
+        return pairs(spark, target)
 
     assert run(("a", 1), ("b", 2)) == [("a", 1), ("b", 2)]
     assert run(("a", 1), ("a", 7)) == [("a", 1), ("a", 7), ("b", 2)]  # grown
     assert run(("c", 3)) == [("a", 1), ("a", 7), ("b", 2), ("c", 3)]  # new titles only
     assert run(("a", 1)) == [("a", 1), ("b", 2), ("c", 3)]  # as it was at first
+    assert run(("d", 4), ("b", 5), gone=("a", "b", "x")) == [("c", 3), ("d", 4)]  # removed, though one of them was given
+    assert run(("b", 6)) == [("b", 6), ("c", 3), ("d", 4)]
 
 
 @pytest.mark.parametrize("slash", ["/", "\\/"])
