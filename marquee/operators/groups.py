@@ -12,8 +12,9 @@ def count_by(rows: DataFrame, key: str, counted: str) -> DataFrame:
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias("n"))
 
 
-def mean_by(rows: DataFrame, key: str, measured: str) -> DataFrame:
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(measured).alias("mean"))
+def means_by(rows: DataFrame, key: str, measured: dict[str, str]) -> DataFrame:
+    """Means of several columns per key, named by the keys of `measured`."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.avg(c).alias(name) for name, c in measured.items()])
 
 
 def genre_combinations(titles: DataFrame, votes_above: float) -> DataFrame:

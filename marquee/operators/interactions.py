@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ranking import HOT_ROWS, first_share, text_order
+from .ranking import first_share, text_order
 
 
 def interactions(reviews: DataFrame) -> DataFrame:
@@ -32,14 +32,14 @@ def sparsity(ratings: DataFrame) -> DataFrame:
     ).withColumn("sparsity", 100 * (1 - F.col("cells") / (F.col("authors") * F.col("titles"))))
 
 
-def holdout(ratings: DataFrame, share: float, seed: int = 0, hot_rows: int = HOT_ROWS) -> DataFrame:
+def holdout(ratings: DataFrame, share: float, seed: int = 0, ranges: int | None = None) -> DataFrame:
     """The test rows: floor(share * n) of the n distinct (author, id) cells of each author.
 
-    Drawn without replacement in a hash order, so every run draws the same rows. `id` must be numeric.
+    Drawn without replacement in a hash order, so every run draws the same rows.
     """
     cells = ratings.where(F.col("rating").isNotNull()).select("author", "id").distinct()
     drawn = cells.withColumn("draw", -text_order(F.col("author"), F.col("id"), seed=seed))
-    test = first_share(drawn, ["author"], "draw", "id", lambda n: F.floor(F.lit(float(share)) * n), hot_rows)
+    test = first_share(drawn, ["author"], "draw", "id", lambda n: F.floor(F.lit(float(share)) * n), ranges)
     return test.drop("draw")
 
 

@@ -1,8 +1,8 @@
-"""Values at given ranks, exact, without sorting a whole group in one task.
+"""Values and rows at given ranks, exact, for groups of any size and any ordered type.
 
-A sketch gives, per group, a narrow bracket of values around each wanted rank. One pass then counts the
-rows below the bracket (a single number per group) and the distinct values inside it. Only those
-few values are put in order.
+Rows are put in order across ranges: a range partitioning over the group and the order, so that a large group lies in many
+ranges. The sizes of its ranges, added up from the first on, say which range holds a wanted rank and how far into it the
+rank is. No group is sorted by one task, and nothing is looked up by an estimate.
 """
 
 from __future__ import annotations
@@ -11,110 +11,107 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MARKS = 8192  # evenly spaced sketch quantiles per group; a bracket spans five of them
-ACCURACY = 16 * MARKS
-SMALL_GROUP = 10_000  # a group up to this size is ordered without a bracket
+from ..storage import stored
+
+RANGE, PLACE = "range_no", "place_in_range"
+
+
+def ranges_of(rows: DataFrame, order: list[Column], ranges: int | None = None) -> DataFrame:
+    """The rows in ranges of `order`, sorted, with the number of the range and their place in it; written once."""
+    count = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    # The number of a row is made of its partition and its place there.
+    return stored(ordered.withColumn(PLACE, F.monotonically_increasing_id()).withColumn(RANGE, F.shiftright(F.col(PLACE), 33)))
+
+
+def range_offsets(ranged: DataFrame, keys: list[str], here: Column) -> DataFrame:
+    """Per group: n, and `parts`, its ranges in order, as structs of range_no, start, here, before.
+
+    `here` counts a range's rows and `before` those of the group's earlier ranges. A group has at most as many parts as there are ranges.
+    """
+    sizes = ranged.groupBy(RANGE, *keys).agg(here.alias("here"), F.min(PLACE).alias("start"))
+    parts = F.array_sort(F.collect_list(F.struct(RANGE, "start", "here")))
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.expr("cast(array() as array<struct<range_no:bigint,start:bigint,here:bigint,before:bigint>>)").alias("parts"))
+
+    def add(done: Column, part: Column) -> Column:
+        one = F.struct(part[RANGE].alias(RANGE), part["start"].alias("start"), part["here"].alias("here"), done["n"].alias("before"))
+        return F.struct((done["n"] + part["here"]).alias("n"), F.concat(done["parts"], F.array(one)).alias("parts"))
+
+    return sizes.groupBy(*keys).agg(F.aggregate(parts, zero, add).alias("sums")).select(*keys, "sums.*")
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equality on the keys in which NULL equals NULL; left and right must be aliased `l` and `r`."""
+    both = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    return both[0] if len(both) == 1 else F.expr("true") if not both else both[0] & same_keys(left, right, keys[1:])
+
+
+def first_of_groups(
+    rows: DataFrame, keys: list[str], order: list[Column], size: Callable[[Column], Column], ranges: int | None = None
+) -> DataFrame:
+    """The first `size(n)` rows of each group of n rows in the given order, which must not leave two rows equal.
+
+    Groups of any size; the rows of a group may have keys that are NULL.
+    """
+    ranged = ranges_of(rows, [*[F.col(k) for k in keys], *order], ranges)
+    offsets = range_offsets(ranged, keys, F.count("*"))
+    wanted = F.least(F.greatest(size(F.col("n")).cast("bigint") - F.col("p.before"), F.lit(0)), F.col("p.here"))
+    kept = (
+        offsets.select(*keys, "n", F.explode("parts").alias("p"))
+        .select(*keys, F.col(f"p.{RANGE}").alias(RANGE), (F.col("p.start") + wanted).alias("stop"), wanted.alias("wanted"))
+        .where("wanted > 0")
+    )
+    left, right = ranged.alias("l"), kept.alias("r")
+    here = same_keys(left, right, [RANGE, *keys]) & (F.col(f"l.{PLACE}") < F.col("r.stop"))
+    return left.join(right, here).select(*[F.col(f"l.`{c}`").alias(c) for c in rows.columns])
 
 
 def values_at_ranks(
     rows: DataFrame,
     value: str,
-    spans: Callable[[Column], list[tuple[Column, Column]]] | None = None,
+    spans: Callable[[Column], list[tuple[Column, Column]]],
     keys: tuple[str, ...] = (),
-    wanted: DataFrame | None = None,
-    small_group: int = SMALL_GROUP,
+    ranges: int | None = None,
 ) -> DataFrame:
     """The values at 0-based ascending ranks; NULL values have no rank.
 
-    `spans(n)` lists pairs of ranks (first, last) made from the group size n; slot i of the result belongs
-    to pair i. Instead, `wanted` may hold one rank per group in a column `rank`.
-    Result: keys, slot, n, first_value, last_value, below and same, the numbers of rows smaller than and
-    equal to the first value.
-
-    With `keys`, the groups are broadcast: use it for groups whose number is bounded.
+    `spans(n)` lists pairs of ranks (first, last) made from the group size n; slot i of the result belongs to pair i.
+    Result: keys, slot, n, first_value, last_value.
+    Equal values of a group are counted before anything is put in order, so a value may be as frequent as it likes.
     """
-    present = rows.where(F.col(value).isNotNull())
-    as_number = F.col(value).cast("double")
-    # One text literal instead of a thousand numbers keeps the plan small; Spark folds it once.
-    fractions = F.split(F.lit(",".join(str(i / MARKS) for i in range(MARKS + 1))), ",").cast("array<double>")
-    groups = present.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(as_number, fractions, F.lit(ACCURACY)).alias("marks"),
-    )
-    if wanted is not None:
-        groups = groups.join(wanted.select(*keys, "rank"), list(keys))
-        pairs = [(F.col("rank"), F.col("rank"))]
-    else:
-        pairs = spans(F.col("n"))
-    spans_column = F.array(
+    keys = list(keys)
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("cell")).agg(F.count("*").alias("rows_here"))
+    ranged = ranges_of(counted, [*[F.col(k) for k in keys], F.col("cell")], ranges)
+    offsets = range_offsets(ranged, keys, F.sum("rows_here"))
+    slots = F.array(
         *[
-            F.struct(
-                F.lit(slot).alias("slot"),
-                first.cast("bigint").alias("first"),
-                last.cast("bigint").alias("last"),
-            )
-            for slot, (first, last) in enumerate(pairs)
+            F.struct(F.lit(i).alias("slot"), first.cast("bigint").alias("first"), last.cast("bigint").alias("last"))
+            for i, (first, last) in enumerate(spans(F.col("n")))
         ]
     )
-    groups = groups.where(F.col("n") > 0).withColumn("spans", spans_column)
-
-    def edge(rank: Column, offset: int) -> Column:
-        mark = F.floor(rank / F.col("n") * MARKS).cast("int") + offset
-        return F.when(F.col("n") > small_group, F.get(F.col("marks"), mark))
-
-    # Two marks of slack on each side cover the error of the sketch many times over.
-    brackets = groups.select(
-        *keys,
-        F.transform(
-            "spans",
-            lambda s: F.struct(
-                s["slot"].alias("slot"), edge(s["first"], -2).alias("low"), edge(s["last"], 3).alias("high")
-            ),
-        ).alias("brackets"),
-    )
-    if keys:
-        marked = present.join(F.broadcast(brackets), list(keys))
-    else:
-        marked = present.withColumn("brackets", brackets.scalar())
-    at_or_below = F.filter("brackets", lambda b: b["high"].isNull() | (as_number <= b["high"]))
-    counted = (
-        marked.select(*keys, F.col(value), F.explode(at_or_below).alias("b"))
-        .select(
-            *keys,
-            F.col("b.slot").alias("slot"),
-            F.when(F.col("b.low").isNull() | (as_number >= F.col("b.low")), F.col(value)).alias("cell"),
-        )
-        .groupBy(*keys, "slot", "cell")
-        .agg(F.count("*").alias("rows_here"))
+    # Only the ranges that hold a wanted rank are looked into.
+    holds = [(F.col("p.before") <= F.col(f"s.{r}")) & (F.col(f"s.{r}") < F.col("p.before") + F.col("p.here")) for r in ("first", "last")]
+    wanted = (
+        offsets.withColumn("slots", slots)
+        .select(*keys, "n", "slots", F.explode("parts").alias("p"))
+        .select(*keys, "n", "p", F.explode("slots").alias("s"))
+        .where(holds[0] | holds[1])
+        .select(*keys, "n", "s.*", F.col(f"p.{RANGE}").alias(RANGE), F.col("p.before").alias("before"))
     )
-    upward = Window.partitionBy(*keys, "slot").orderBy(F.col("cell").asc_nulls_first())
-    running = counted.withColumn("up_to", F.sum("rows_here").over(upward)).withColumn(
-        "below", F.col("up_to") - F.col("rows_here")
-    )
-    targets = groups.select(*keys, "n", F.explode("spans").alias("s")).select(*keys, "n", "s.*")
+    looked = wanted.select(RANGE, "before", *keys).distinct()
+    left, right = ranged.alias("l"), looked.alias("r")
+    rows_there = left.join(right, same_keys(left, right, [RANGE, *keys])).select("l.*", "r.before")
+    upward = Window.partitionBy(RANGE, *keys).orderBy("cell")
+    running = rows_there.withColumn("up_to", F.col("before") + F.sum("rows_here").over(upward))
+    left, right = wanted.alias("r"), running.alias("l")
+    both = right.join(left, same_keys(right, left, [RANGE, *keys]))
 
     def at(rank: str) -> Column:
-        hit = (F.col("below") <= F.col(rank)) & (F.col(rank) < F.col("up_to"))
-        return F.when(hit, F.struct("cell", "below", "rows_here"))
+        below = F.col("l.up_to") - F.col("l.rows_here")
+        return F.max(F.when((below <= F.col(f"r.{rank}")) & (F.col(f"r.{rank}") < F.col("l.up_to")), F.col("l.cell")))
 
-    found = (
-        targets.join(running, [*keys, "slot"])
-        .groupBy(*keys, "slot")
-        .agg(F.max("n").alias("n"), F.max(at("first")).alias("first"), F.max(at("last")).alias("last"))
-    )
-    missed = F.lit("the rank lies outside its bracket; raise ACCURACY")
-    return found.select(
-        *keys,
-        "slot",
-        "n",
-        F.coalesce(F.col("first.cell"), F.raise_error(missed).cast(rows.schema[value].dataType)).alias(
-            "first_value"
-        ),
-        F.coalesce(F.col("last.cell"), F.raise_error(missed).cast(rows.schema[value].dataType)).alias(
-            "last_value"
-        ),
-        F.col("first.below").alias("below"),
-        F.col("first.rows_here").alias("same"),
+    return both.groupBy(*[F.col(f"r.`{k}`").alias(k) for k in keys], F.col("r.slot").alias("slot"), F.col("r.n").alias("n")).agg(
+        at("first").alias("first_value"), at("last").alias("last_value")
     )
 
 
@@ -124,7 +121,7 @@ def quantiles(
     fractions: list[float],
     keys: tuple[str, ...] = (),
     nearest: bool = False,
-    small_group: int = SMALL_GROUP,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles: keys, q, value.
 
@@ -148,7 +145,7 @@ def quantiles(
                 pairs.append((low, F.ceil(position(n, q))))
         return pairs
 
-    found = values_at_ranks(rows, value, spans, keys, small_group=small_group)
+    found = values_at_ranks(rows, value, spans, keys, ranges)
     q = F.element_at(F.array(*[F.lit(float(f)) for f in fractions]), F.col("slot") + 1)
     if nearest:
         return found.select(*keys, q.alias("q"), F.col("first_value").alias("value"))
@@ -157,8 +154,11 @@ def quantiles(
     return found.select(*keys, q.alias("q"), (F.col("first_value") + step).cast("double").alias("value"))
 
 
-def quantile_row(rows: DataFrame, value: str, fractions: list[float]) -> DataFrame:
-    """Global quantiles in one row, as the array `edges` in the order of `fractions`."""
-    found = quantiles(rows, value, fractions)
-    edges = F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda e: e["value"])
-    return found.agg(edges.alias("edges"))
+def column_quantiles(rows: DataFrame, fractions: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Global quantiles of several numeric columns, found together in one pass over the rows."""
+    columns = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in fractions])
+    long = rows.select(F.explode(columns).alias("m")).select("m.*")
+    every = sorted({q for marks in fractions.values() for q in marks})
+    # A few numbers per column.
+    found = {(r["measure"], r["q"]): r["value"] for r in quantiles(long, "value", every, ("measure",)).collect()}
+    return {c: [found.get((c, float(q))) for q in marks] for c, marks in fractions.items()}

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .order_statistics import values_at_ranks
+from .order_statistics import first_of_groups
 
 PIECES = 4_096  # pieces of a group when its first n rows are found in two steps
-HOT_ROWS = 2_000_000  # groups above this size are never put in one task
 
 
 def top(rows: DataFrame, n: int, by: str, tie: str = "id") -> DataFrame:
@@ -17,6 +16,26 @@ def top(rows: DataFrame, n: int, by: str, tie: str = "id") -> DataFrame:
     return rows.orderBy(F.col(by).desc_nulls_last(), F.col(tie)).limit(n)
 
 
+def several_tops(
+    rows: DataFrame, picks: dict[str, tuple[Column | str, int]], tie: str = "id", among: dict[str, Column] | None = None
+) -> DataFrame:
+    """Several rankings from one pass over the rows: their columns, `ranking` (the name) and `ranked_by` (the value, as double).
+
+    A pick is a numeric column and a number of rows, largest first, equal ones by the smaller `tie`, NULLs last. `among` names conditions that
+    rows of a ranking must meet.
+    """
+    entries = []
+    for name, (by, n) in picks.items():
+        value = (F.col(by) if isinstance(by, str) else by).cast("double")
+        entry = F.struct(F.lit(name).alias("ranking"), value.alias("ranked_by"), F.lit(n).alias("wanted"))
+        entries.append(F.when(among[name], entry) if name in (among or {}) else entry)
+    each = rows.withColumn("pick", F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    most = max(n for _, n in picks.values())
+    order = [F.col("ranked_by").desc_nulls_last(), F.col(tie)]
+    best = top_per_group(each.select(*rows.columns, "pick.*"), ["ranking"], most, order, "place_in_ranking")
+    return best.where(F.col("place_in_ranking") <= F.col("wanted")).drop("wanted", "place_in_ranking")
+
+
 def top_per_group(rows: DataFrame, keys: list[str], n: int, order: list[Column], rank: str = "rank") -> DataFrame:
     """The first n rows of each group.
 
@@ -38,76 +57,14 @@ def top_per_group(rows: DataFrame, keys: list[str], n: int, order: list[Column],
 
 
 def first_share(
-    rows: DataFrame,
-    keys: list[str],
-    by: str,
-    tie: str,
-    size: Callable[[Column], Column],
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, keys: list[str], by: str, tie: str, size: Callable[[Column], Column], ranges: int | None = None
 ) -> DataFrame:
     """The first `size(n)` rows of each group of n rows: largest `by` first, then smallest `tie`.
 
-    `by` must be numeric without NULLs, `tie` unique within a group; a `tie` that is no number always takes the window. The size of the share
-    depends on the data, so rows cannot be cut before the shuffle. Groups up to `hot_rows` rows use a
-    window. For a larger group the value at the cut is looked up instead, and its rows are only
-    filtered. One small job at the start finds out whether there is any such group.
+    `by` and `tie` may be of any ordered type; `tie` must be unique within a group. The size of the share depends on the data, so
+    rows cannot be cut before the shuffle; they are ranked across ranges, so a group may be of any size.
     """
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("group_rows"))
-    hot = sizes.where(F.col("group_rows") > hot_rows)
-    numeric = isinstance(rows.schema[tie].dataType, T.NumericType)
-    if not numeric or hot.isEmpty():
-        return _share_by_window(rows, keys, by, tie, size)
-    # At most rows / hot_rows groups can be hot, so their list is safe to broadcast.
-    hot = F.broadcast(hot)
-    small = _share_by_window(rows.join(hot, keys, "left_anti"), keys, by, tie, size)
-    large = _share_of_hot_groups(rows.join(hot, keys), keys, by, tie, size)
-    return small.unionByName(large.select(*rows.columns))
-
-
-def _share_by_window(
-    rows: DataFrame, keys: list[str], by: str, tie: str, size: Callable[[Column], Column]
-) -> DataFrame:
-    whole = Window.partitionBy(*keys)
-    window = whole.orderBy(F.col(by).desc(), F.col(tie))
-    return (
-        rows.withColumn("group_rows", F.count("*").over(whole))
-        .withColumn("group_rank", F.row_number().over(window))
-        .where(F.col("group_rank") <= size(F.col("group_rows")))
-        .select(*rows.columns)
-    )
-
-
-def _share_of_hot_groups(
-    rows: DataFrame, keys: list[str], by: str, tie: str, size: Callable[[Column], Column]
-) -> DataFrame:
-    share = size(F.col("group_rows")).cast("bigint")
-    rows = rows.withColumn("share", share).where(F.col("share") > 0)
-    cut_rank = (
-        rows.groupBy(*keys)
-        .agg(F.max("group_rows").alias("group_rows"), F.max("share").alias("share"))
-        .withColumn("rank", F.greatest(F.col("group_rows") - F.col("share"), F.lit(0)))
-    )
-    at_cut = values_at_ranks(rows, by, keys=tuple(keys), wanted=cut_rank)
-    cuts = at_cut.join(cut_rank.select(*keys, "share"), keys).select(
-        *keys,
-        F.col("first_value").alias("cut"),
-        # How many of the rows equal to the cut still belong to the share.
-        (F.col("share") - (F.col("n") - F.col("below") - F.col("same"))).alias("ties_wanted"),
-        F.col("same").alias("ties"),
-    )
-    marked = rows.join(F.broadcast(cuts), keys)
-    above = marked.where(F.col(by) > F.col("cut")).select(*rows.columns)
-    equal = marked.where(F.col(by) == F.col("cut"))
-    wanted = cuts.select(*keys, (F.least("ties_wanted", "ties") - 1).alias("rank"))
-    tie_cuts = values_at_ranks(equal, tie, keys=tuple(keys), wanted=wanted).select(
-        *keys, F.col("first_value").alias("tie_cut")
-    )
-    kept = (
-        equal.join(F.broadcast(tie_cuts), keys)
-        .where(F.col(tie) <= F.col("tie_cut"))
-        .select(*rows.columns)
-    )
-    return above.unionByName(kept)
+    return first_of_groups(rows, keys, [F.col(by).desc(), F.col(tie)], size, ranges)
 
 
 def percent_or_count(percent: float | None = None, count: int | None = None) -> Callable[[Column], Column]:

@@ -20,24 +20,16 @@ from .views import ITEMS, REVIEWS, clean_view, items, reviews, with_views
     ),
 )
 def topk(spark, folder):
-    titles = items(spark, folder)
-    voted = titles.where(F.col("num_votes") > 25)
-    picks = [
-        ("votes", titles, "num_votes", 10),
-        ("user_reviews", titles, "user_review_num", 1000),
-        ("rating", voted, "rating", 10),
-        ("runtime", voted, "runtime", 10),
-    ]
-    parts = [
-        ranking.top(rows, n, by).select(
-            F.lit(name).alias("ranking"), "id", F.col(by).cast("double").alias("value")
-        )
-        for name, rows, by, n in picks
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    titles = items(spark, folder).select("id", "num_votes", "user_review_num", "rating", "runtime")
+    voted = F.col("num_votes") > 25
+    picks = {
+        "votes": ("num_votes", 10),
+        "user_reviews": ("user_review_num", 1000),
+        "rating": (F.when(voted, F.col("rating")), 10),
+        "runtime": (F.when(voted, F.col("runtime")), 10),
+    }
+    found = ranking.several_tops(titles, picks, among={"rating": voted, "runtime": voted})
+    return found.select("ranking", "id", F.col("ranked_by").alias("value"))
 
 
 @query(

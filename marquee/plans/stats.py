@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, numbers
-from ..operators import distributions, groups, interactions as inter, keyed, order_statistics, ranking
+from ..functions import numbers
+from ..operators import distributions, features, groups, interactions as inter, keyed, order_statistics, ranking
+from ..storage import stored
 from .registry import query
 from .views import ITEMS, REVIEWS, clean_view, items, reviews, table, with_views
 
@@ -33,13 +34,9 @@ def count_by_key(spark, folder):
     ),
 )
 def mean_by_key(spark, folder):
-    titles = items(spark, folder)
-    by_rating = groups.mean_by(titles, "main_genre", "rating").withColumnRenamed("mean", "mean_rating")
-    by_votes = groups.mean_by(titles, "main_genre", "num_votes").withColumnRenamed("mean", "mean_votes")
-    return (
-        by_rating.join(by_votes, "main_genre")
-        .select("main_genre", *[F.round(c, 6).alias(c) for c in ("mean_rating", "mean_votes")])
-        .orderBy(F.col("mean_rating").desc(), "main_genre")
+    means = groups.means_by(items(spark, folder), "main_genre", {"mean_rating": "rating", "mean_votes": "num_votes"})
+    return means.select("main_genre", *[F.round(c, 6).alias(c) for c in ("mean_rating", "mean_votes")]).orderBy(
+        F.col("mean_rating").desc(), "main_genre"
     )
 
 
@@ -66,11 +63,8 @@ GENRE_COMBINATIONS = """combos as (
 def genre_combo(spark, folder):
     combos = groups.genre_combinations(items(spark, folder), votes_above=100)
     combos = combos.withColumn("mean_rating", F.round("mean_rating", 6))
-    tables = [
-        ranking.top(combos, 10, by, tie="genres").withColumn("ranking", F.lit(by))
-        for by in ("mean_rating", "total_num_votes", "n_titles")
-    ]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    picks = {by: (by, 10) for by in ("mean_rating", "total_num_votes", "n_titles")}
+    return ranking.several_tops(combos, picks, tie="genres").drop("ranked_by")
 
 
 @query(
@@ -110,14 +104,6 @@ def quantiles(spark, folder):
     return both.select("measure", "q", F.round("value", 6).alias("value"))
 
 
-def _decade_gross(titles):
-    gross = numbers.dollars(F.col("boxoffice_gross_worldwide"))
-    decade = dates.nearest_decade(F.col("release_date"))
-    return titles.select(decade.alias("decade"), gross.alias("gross")).where(
-        F.col("decade").isNotNull() & F.col("gross").isNotNull()
-    )
-
-
 @query(
     "nearest_quantile",
     with_views(
@@ -141,7 +127,7 @@ def _decade_gross(titles):
 )
 def nearest_quantile(spark, folder):
     return order_statistics.quantiles(
-        _decade_gross(items(spark, folder)), "gross", [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0], ("decade",), nearest=True
+        features.decade_gross(items(spark, folder)), "gross", [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0], ("decade",), nearest=True
     )
 
 
@@ -158,14 +144,15 @@ def nearest_quantile(spark, folder):
 )
 def author_activity(spark, folder):
     counts = clean_view(reviews(spark, folder)).groupBy("author").agg(F.count("*").alias("n"))
-    edges = order_statistics.quantile_row(counts, "n", [0.5, 0.99]).scalar()
+    counts = stored(counts)
+    median, q99 = order_statistics.column_quantiles(counts, {"n": [0.5, 0.99]})["n"]
     return counts.agg(
         F.count("*").alias("n_authors"),
         F.round(F.avg("n"), 6).alias("mean_reviews"),
-        F.get(edges, F.lit(0)).alias("median_reviews"),
+        F.lit(median).alias("median_reviews"),
         F.max("n").alias("max_reviews"),
-        F.get(edges, F.lit(1)).alias("q99"),
-        F.count_if(F.col("n") < F.get(edges, F.lit(1))).alias("n_below_q99"),
+        F.lit(q99).alias("q99"),
+        F.count_if(F.col("n") < q99).alias("n_below_q99"),
     )
 
 
@@ -186,8 +173,8 @@ TRIM = {"num_votes": (0.02, 0.98), "runtime": (0.02, 0.98)}
 
 @query("quantile_trim", with_views(QUARTER_SQL.format(columns="id, num_votes, runtime"), ITEMS))
 def quantile_trim(spark, folder):
-    kept = distributions.between_quantiles(items(spark, folder), TRIM)
-    return kept.select("id", "num_votes", "runtime")
+    titles = stored(items(spark, folder).select("id", "num_votes", "runtime"))
+    return distributions.between_quantiles(titles, TRIM)
 
 
 HISTOGRAM_SQL = """, vals as (select rating as v from items where rating is not null),
@@ -206,18 +193,15 @@ def histogram(spark, folder):
 
 
 KDE_SQL = """, vals as (select rating as v from items where rating is not null),
-lim as (select min(v) as low, max(v) as high, (max(v) - min(v)) / 512 as w, max(v) - min(v) as reach,
-  count(*) as total, stddev_samp(v) * power(count(*), -0.2) as h from vals),
-cells as (select least(cast(floor((v - low) / w) as int), 511) as bin, count(*) as n from vals, lim group by 1),
+lim as (select min(v) as low, max(v) - min(v) as reach, count(*) as total, stddev_samp(v) * power(count(*), -0.2) as h from vals),
 grid as (select cast(range as int) as i, (low - reach / 2) + reach * 2 / 99 * range as x from range(100), lim)
-select i, round(x, 6) as x, round(sum(n * exp(-power((x - (low + bin * w + w / 2)) / h, 2) / 2)
-  / (h * total * sqrt(2 * pi()))), 6) as density
-from cells cross join grid cross join lim group by i, x"""
+select i, round(x, 6) as x, round(sum(exp(-power((x - v) / h, 2) / 2) / (h * total * sqrt(2 * pi()))), 6) as density
+from vals cross join grid cross join lim group by i, x"""
 
 
 @query("kde", with_views(KDE_SQL, ITEMS))
 def kde(spark, folder):
-    curve = distributions.density(items(spark, folder), "rating", points=100, bins=512)
+    curve = distributions.density(items(spark, folder), "rating", points=100)
     return curve.select("i", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
@@ -370,7 +354,8 @@ def collect_set(spark, folder):
     ),
 )
 def rolling_mean(spark, folder):
-    kept = distributions.between_quantiles(items(spark, folder), TRIM)
+    titles = stored(items(spark, folder).select("num_votes", "runtime", "rating"))
+    kept = distributions.between_quantiles(titles, TRIM)
     steps = kept.groupBy("runtime").agg(F.count("rating").alias("n_titles"), F.avg("rating").alias("mean_rating"))
     rolled = distributions.rolling_mean(steps, "runtime", "mean_rating", 5)
     return rolled.select("runtime", "n_titles", F.round("rolling_mean", 6).alias("rolling_mean"))
