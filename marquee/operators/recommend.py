@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import arrays, numbers
-from ..session import ensure_checkpoint_dir
+from ..storage import stored
 from .features import CatalogueFeatures, FeatureExtractor, FeatureSettings
 from .guards import require_columns
-from .ranking import top
-from .similarity import last_liked_wins, neighbours, similar_to
+from .ranking import top, top_per_group
+from .similarity import (
+    CELLS_AT_ONCE,
+    best_columns,
+    code_weights,
+    coded_labels,
+    cosines_of_codes,
+    last_liked_wins,
+    profiles_of,
+    similar_to,
+)
 
 # The columns shown to a user.
 DISPLAY = [
@@ -99,49 +113,130 @@ def similar_to_one(labels: DataFrame, title, n: int, settings: FeatureSettings)
     return similar_to(labels, liked, n, settings).select("id", "sim", "rank")
 
 
-def recommend_for_users(
-    likes: DataFrame, labels: DataFrame, n: int, settings: FeatureSettings, depth: int | None = None
-) -> DataFrame:
+BLOCK_PROFILES = 2_048  # profiles that are compared with as many others at once
+ASKS_PER_CHUNK = 8_192  # (user, liked profile) pairs that one task answers at once
+
+
+def recommend_for_users(likes: DataFrame, labels: DataFrame, n: int, settings: FeatureSettings) -> DataFrame:
     """SimilarTitles for every user at once: user_id, id, relevance, rank.
 
-    `likes` has the columns user_id, id and pos. A list of `depth` neighbours per title nearly always holds n
-    titles that the user has not liked yet. Where it does not, the look-up is repeated with a longer list for
-    just those titles, until the catalogue is exhausted, so the result does not depend on `depth`.
+    `likes` has the columns user_id, id and pos. Titles with the same labels are one profile. Each profile that somebody liked is compared
+    once with all others, block against block; for each user who liked it, the n best profiles of the block are taken among those of which
+    the user has not liked every title, so whatever a user has liked, n are left if there are as many. Of equal profiles that with the smaller
+    id counts, ids that the user has liked left out.
     """
     spark = likes.sparkSession
-    ensure_checkpoint_dir(spark)
-    catalogue = labels.count()
-    depth = min(depth or 4 * n, max(catalogue - 1, 1))
-    known = likes.join(labels.select("id"), "id", "left_semi")
-    waiting, found = known, []
-    while True:
-        lists = neighbours(labels, depth, settings, of=waiting.select("id").distinct())
-        fresh = (
-            waiting.join(lists.withColumnRenamed("rank", "near"), "id")
-            .select("user_id", "pos", F.col("id").alias("liked_id"), F.col("other").alias("id"), "sim", "near")
-            .join(likes.select("user_id", "id"), ["user_id", "id"], "left_anti")
-        )
-        # A list is bounded by `depth`, so is each group of this sort.
-        picked = (
-            fresh.groupBy("user_id", "pos", "liked_id")
-            .agg(F.slice(F.array_sort(F.collect_list(F.struct("near", "id", "sim"))), 1, n).alias("best"))
-            .checkpoint()
-        )
-        found.append(picked)
-        if depth >= catalogue - 1:
-            break
-        complete = picked.where(F.size("best") >= n)
-        rest = waiting.join(
-            complete.select("user_id", "pos", F.col("liked_id").alias("id")), ["user_id", "pos", "id"], "left_anti"
-        ).checkpoint()
-        found[-1] = complete
-        if rest.isEmpty():
-            break
-        waiting, depth = rest, min(depth * 4, catalogue - 1)
-    everything = found[0]
-    for part in found[1:]:
-        everything = everything.unionByName(part)
-    similar = everything.select("user_id", "pos", F.explode("best").alias("b")).select(
-        "user_id", "pos", "b.id", "b.sim"
+    coded = coded_labels(labels)
+    known = stored(likes.select("user_id", "id", "pos").join(coded.select("id", "look"), "id"))
+    liked_here = stored(known.groupBy("user_id", "look").agg(F.collect_set("id").alias("liked")))
+    # So many of a profile's smallest ids that n are left of them for any user.
+    most = liked_here.agg(F.coalesce(F.max(F.size("liked")), F.lit(0))).first()[0]
+    profiles = profiles_of(coded, n + most)
+    blocks = max(1, math.ceil(profiles.count() / BLOCK_PROFILES))
+    block = F.pmod(F.xxhash64("look"), F.lit(blocks)).cast("int")
+
+    asks = stored(liked_here.select("user_id", "look").join(profiles.select("look", "codes"), "look").withColumn("ours", block))
+    sizes = asks.groupBy("ours").agg(F.ceil(F.count("*") / ASKS_PER_CHUNK).cast("int").alias("chunks"))  # a row per block
+    asks = asks.join(sizes, "ours").withColumn("chunk", F.pmod(F.xxhash64("user_id"), F.col("chunks")).cast("int"))
+    # What is left to a user of the profiles they have liked titles of: the smallest id, or nothing.
+    left = F.get(F.array_except("ids", "liked"), F.lit(0)).alias("least")
+    touched = liked_here.join(profiles.select("look", "ids"), "look").select("user_id", "look", left, block.alias("theirs"))
+    asking = asks.select("user_id", "ours", "chunk").distinct()
+    excluded = (
+        asking.join(touched, "user_id")
+        .groupBy("ours", "chunk", "theirs")
+        .agg(F.collect_list(F.struct("user_id", "look", "least")).alias("touched"))
     )
+    ours = asks.groupBy("ours", "chunk").agg(F.collect_list(F.struct("user_id", "look", "codes")).alias("asks"))
+    ours = ours.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    theirs = profiles.groupBy(block.alias("theirs")).agg(F.collect_list(F.struct("look", "codes", "profile")).alias("offers"))
+    theirs = theirs.withColumn("ours", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(sizes, "ours")
+    theirs = theirs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    keys = ["ours", "chunk", "theirs"]
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    both = ours.repartition(tasks, *keys).join(theirs.repartition(tasks, *keys).hint("shuffle_hash"), keys)
+    both = both.join(excluded, keys, "left").select("asks", "offers", "touched")
+    cosines = cosines_of_codes(code_weights(labels, settings))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                asks, offers = batch.column("asks")[i].values, batch.column("offers")[i].values
+                touched = batch.column("touched")[i].values if batch.column("touched")[i].is_valid else None
+                row, column, least, sim = _answers(asks, offers, touched, n, cosines)
+                yield pa.RecordBatch.from_arrays(
+                    [*(asks.field(c).take(pa.array(row)) for c in ("user_id", "look")), offers.field("look").take(pa.array(column)), least, pa.array(sim)],
+                    names=["user_id", "look", "other", "least", "sim"],
+                )
+
+    user, id_kind = (known.schema[c].dataType.simpleString() for c in ("user_id", "id"))
+    found = both.mapInArrow(answer, f"user_id {user}, look string, other string, least {id_kind}, sim double")
+    best = top_per_group(found, ["user_id", "look"], n, [F.col("sim").desc(), F.col("least")]).drop("rank", "least")
+    ids = profiles.select(F.col("look").alias("other"), "ids")
+    titles = best.join(ids, "other").select("user_id", "look", "sim", F.explode("ids").alias("id"))
+    fresh = titles.join(likes.select("user_id", "id"), ["user_id", "id"], "left_anti")
+    lists = top_per_group(fresh, ["user_id", "look"], n, [F.col("sim").desc(), F.col("id")]).drop("rank")
+    similar = known.select("user_id", "look", "pos").join(lists, ["user_id", "look"]).select("user_id", "pos", "id", "sim")
     return last_liked_wins(similar, n, ("user_id",))
+
+
+def _answers(asks: pa.StructArray, offers: pa.StructArray, touched: pa.StructArray | None, n: int, cosines):
+    """(ask, offer, smallest id, similarity): the n best offers of each ask, of those its user has not liked as a whole."""
+    looks = asks.field("look").dictionary_encode()
+    first = np.full(len(looks.dictionary), -1)
+    of_ask = looks.indices.to_numpy()
+    first[of_ask[::-1]] = np.arange(len(of_ask))[::-1]
+    codes, others = (s.field("codes") for s in (asks, offers))
+    codes = codes.take(pa.array(first))
+    a, b = (m.flatten().to_numpy(zero_copy_only=False).reshape(len(m), -1) for m in (codes, others))
+    # Ids by which equal offers are ordered: first those of the offers, then those left of offers that users have touched.
+    ids = offers.field("profile")
+    users = asks.field("user_id").dictionary_encode()
+    user_of = column_of = id_of = np.zeros(0, np.int64)
+    if touched is not None:
+        left = touched.field("least")
+        id_of = np.where(left.is_valid().to_numpy(zero_copy_only=False), len(ids) + np.arange(len(left)), -1)
+        ids = pa.concat_arrays([ids, left])
+        user_of = pc.index_in(touched.field("user_id"), users.dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
+        column_of = pc.index_in(touched.field("look"), offers.field("look")).fill_null(-1).to_numpy(zero_copy_only=False)
+        there = (user_of >= 0) & (column_of >= 0)
+        order = np.argsort(user_of[there], kind="stable")
+        user_of, column_of, id_of = (x[there][order] for x in (user_of, column_of, id_of))
+    ties = np.empty(len(ids), np.int64)
+    ties[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+    own_ids = np.arange(len(b))
+    low, high = (np.searchsorted(user_of, users.indices.to_numpy(), side) for side in ("left", "right"))
+    by_look = np.argsort(of_ask, kind="stable")
+    step = max(1, CELLS_AT_ONCE // max(len(b), 1))
+    ask_out, offer_out, id_out, sim_out = [], [], [], []
+    for start in range(0, len(a), step):
+        similarity = cosines(a[start : start + step], b)
+        row, column = best_columns(similarity, ties[: len(b)], n)
+        mine = by_look[slice(*np.searchsorted(of_ask[by_look], [start, start + len(similarity)]))]
+        plain = mine[low[mine] == high[mine]]
+        # Asks of users who have touched nothing here take the list of their profile.
+        begin = np.searchsorted(row, np.arange(len(similarity) + 1))
+        local = of_ask[plain] - start
+        times = begin[local + 1] - begin[local]
+        which = np.repeat(np.arange(len(plain)), times)
+        at = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begin[local], times)
+        ask_out.append(plain[which]), offer_out.append(column[at]), id_out.append(column[at])
+        sim_out.append(similarity[row[at], column[at]])
+        own = mine[low[mine] < high[mine]]
+        for some in np.array_split(own, len(own) * len(b) // CELLS_AT_ONCE + 1):
+            if not len(some):
+                continue
+            masked = similarity[of_ask[some] - start].copy()
+            named = np.tile(own_ids, (len(some), 1))
+            times = high[some] - low[some]
+            place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low[some], times)
+            cells = np.repeat(np.arange(len(some)), times), column_of[place]
+            named[cells] = id_of[place]
+            masked[named < 0] = -np.inf
+            row, column = best_columns(masked, ties[named], n)
+            sim = masked[row, column]
+            there = np.isfinite(sim)
+            row, column = row[there], column[there]
+            ask_out.append(some[row]), offer_out.append(column), id_out.append(named[row, column]), sim_out.append(sim[there])
+    least = ids.take(pa.array(np.concatenate(id_out)))
+    return np.concatenate(ask_out), np.concatenate(offer_out), least, np.concatenate(sim_out)

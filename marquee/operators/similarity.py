@@ -1,26 +1,35 @@
 """Cosine similarity between titles and between vectors, never as an N x N table.
 
-`similar_to` compares a list of liked titles with all titles, block by block. `neighbours` finds the nearest
-titles of every title: copies are folded first, the distinct titles are compared block against block inside
-numpy, and each comparison returns only its best rows.
+`similar_to` compares a list of liked titles with all titles, block by block. `neighbours` and `vector_neighbours` find the nearest
+rows of every row. Rows lie in balls around a bounded number of centres. The angle between a row and a ball's centre, less the
+ball's radius, bounds how similar any of its rows can be. So each row is first compared with the balls nearest to it, and then only
+with those that could hold a row as similar as its n-th; other rows are never sent to each other. Comparisons are
+matrix products inside Spark tasks, of a bounded piece of a ball with a bounded number of rows, and return only the best.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..session import ensure_checkpoint_dir
+from ..storage import stored
 from .features import FeatureSettings
 from .ranking import top_per_group
 
-LIKED_ROWS = 512  # liked titles that one pass over the catalogue is compared with
-BLOCK_ROWS = 2_048  # smallest block of a block comparison
-LARGE_BLOCK_ROWS = 16_384  # largest block: fewer blocks mean fewer copies of each side
+LIKED_ROWS = 512  # liked titles in one block
+BROADCAST_LIKED = 50_000  # liked titles up to which their blocks are broadcast
+PIECE_BYTES = 1 << 21  # of numbers in a piece of a ball
+PIECE_ROWS = 4_096  # most rows of a piece
+ROWS_PER_BALL = 1_024
+MOST_BALLS = 256
+BALLS_FIRST = 2  # balls that a row is compared with before the others are judged
+SLACK = 1e-6  # more than what rounding does to a cosine on its way through an angle
 CELLS_AT_ONCE = 1 << 23  # similarities held in memory by one task
 
 
@@ -45,15 +54,22 @@ def similar_to(labels: DataFrame, liked: DataFrame, n: int, settings: FeatureSet
     families = families_of(labels)
     norm = total_weight(labels, settings)
     known = liked.join(labels, "id").withColumn("weight", norm)
-    blocks = max(1, math.ceil(liked.count() / LIKED_ROWS))
+    wanted = liked.count()
+    blocks = max(1, math.ceil(wanted / LIKED_ROWS))
     number = F.pmod(F.xxhash64("id", "pos"), F.lit(blocks)).cast("int")
     packed = known.groupBy(number.alias("block")).agg(
         F.collect_list(F.struct("pos", "id", "weight", *families)).alias("liked")
     )
-    # Without a hint: the list may be of any length.
     candidates = labels.join(liked.select("id").distinct(), "id", "left_anti").withColumn("weight", norm)
     each = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = each.join(packed, "block").drop("block").withColumn("l", F.explode("liked"))
+    if wanted <= BROADCAST_LIKED:
+        pairs = each.join(F.broadcast(packed), "block")
+    else:
+        # Every slice of the catalogue meets its own copy of each block, so that no block gathers the whole catalogue.
+        slices = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        copies = packed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        pairs = each.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")).join(copies, ["block", "slice"]).drop("slice")
+    pairs = pairs.drop("block").withColumn("l", F.explode("liked"))
     shared = [
         F.when(F.col(f) == F.col(f"l.{f}"), F.lit(settings.weight(f))).otherwise(0) for f in families
     ]
@@ -67,46 +83,15 @@ def similar_to(labels: DataFrame, liked: DataFrame, n: int, settings: FeatureSet
     return top_per_group(scored, ["liked_id", "pos"], n, [F.col("sim").desc(), F.col("id")])
 
 
-def _packed(rows: DataFrame, key: str, values: str, blocks: int) -> DataFrame:
-    """One row per block with the list of keys and the values of all its rows end to end.
-
-    Blocks are numbered by a hash of the unique key, so that none of them can run full.
-    """
-    number = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    lists = rows.groupBy(number.alias("block")).agg(F.collect_list(F.struct(key, values)).alias("rows"))
-    return lists.select("block", F.col(f"rows.{key}").alias("keys"), F.flatten(f"rows.{values}").alias("values"))
-
-
-def _cores(rows: DataFrame) -> int:
-    spark = rows.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _block_pairs(left: DataFrame, right: DataFrame, blocks: int) -> DataFrame:
-    """Every left block next to every right block, as an equi-join on both block numbers.
-
-    The number of tasks is set here, because the adaptive planner would put the few but costly rows into one.
-    """
-    tasks = max(min(blocks * blocks, _cores(left)), blocks * blocks // 32)
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    ours = left.select(
-        F.col("block").alias("ours"), others.alias("theirs"), *[F.col(c).alias(f"left_{c}") for c in left.columns[1:]]
-    )
-    theirs = right.select(
-        F.col("block").alias("theirs"), others.alias("ours"), *[F.col(c).alias(f"right_{c}") for c in right.columns[1:]]
-    )
-    keys = ["ours", "theirs"]
-    return ours.repartition(tasks, *keys).join(theirs.repartition(tasks, *keys).hint("shuffle_hash"), keys).drop(*keys)
-
-
-def _best(similarity: np.ndarray, ties: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the `keep` best columns of each row; equal ones by the smaller tie value."""
+def best_columns(similarity: np.ndarray, ties: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the `keep` best columns of each row; equal ones by the smaller tie value, of the column or of the cell."""
     if similarity.shape[1] > keep:
         floor = np.partition(similarity, -keep, axis=1)[:, -keep]
         row, column = np.nonzero(similarity >= floor[:, None])
     else:
         row, column = np.nonzero(np.ones(similarity.shape, dtype=bool))
-    order = np.lexsort((ties[column], -similarity[row, column], row))
+    tie = ties[column] if ties.ndim == 1 else ties[row, column]
+    order = np.lexsort((tie, -similarity[row, column], row))
     row, column = row[order], column[order]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     first = place < keep
@@ -125,12 +110,172 @@ def _shared_weight(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndar
     return (np.hstack(left) @ np.hstack(right).T).astype(np.float64)
 
 
-def _blocks_needed(rows: DataFrame) -> int:
-    """Enough blocks to keep all cores busy, and no more than that as long as a block stays moderate."""
-    count = rows.count()
-    wanted = math.ceil(math.sqrt(4 * _cores(rows)))
-    fewest, most = math.ceil(count / LARGE_BLOCK_ROWS), math.ceil(count / BLOCK_ROWS)
-    return max(1, fewest, min(most, wanted))
+def cosines_of_codes(weights: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """The cosine of label codes: the weight of equal ones over the root of both weights. Code 0 is 'missing'."""
+
+    def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        size = ((a != 0) @ weights)[:, None] * ((b != 0) @ weights)[None, :]
+        return _shared_weight(a, b, weights) / np.sqrt(np.maximum(size, 1e-300))
+
+    return cosines
+
+
+def cosines_of_vectors(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (a, b))
+    return a @ b.T
+
+
+@dataclass(frozen=True)
+class Balls:
+    """Centres, and the largest angle between each and the rows that are nearest to it (-1: there are none)."""
+
+    cosines: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    centres: np.ndarray
+    radii: np.ndarray | None = None
+
+    def angles(self, rows: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(self.cosines(rows, self.centres), -1, 1))
+
+    def may_hold(self, rows: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row, which balls are nearest to it, and which of the others may hold a row as similar as `least`."""
+        angle = self.angles(rows)
+        angle[:, self.radii < 0] = np.inf
+        first = np.zeros(angle.shape, bool)
+        np.put_along_axis(first, np.argsort(angle, axis=1, kind="stable")[:, :BALLS_FIRST], True, 1)
+        most = np.cos(np.minimum(np.maximum(angle - self.radii, 0), np.pi))
+        there = np.isfinite(angle)
+        return first & there, (most >= least[:, None] - SLACK) & there & ~first
+
+
+def _matrix(values: pa.Array) -> np.ndarray:
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+
+
+def choose_centres(sample: np.ndarray, wanted: int, cosines, seed: int = 5) -> np.ndarray:
+    """Rows of a sample that lie apart: each is drawn by the square of its distance to those drawn before."""
+    rng = np.random.default_rng(seed)
+    chosen = [0]
+    far = np.full(len(sample), np.inf)
+    while len(chosen) < min(wanted, len(sample)):
+        angle = np.arccos(np.clip(cosines(sample, sample[chosen[-1:]])[:, 0], -1, 1))
+        far = np.minimum(far, np.where(angle < 1e-6, 0, angle) ** 2)
+        if far.sum() <= 0:
+            break
+        chosen.append(int(rng.choice(len(sample), p=far / far.sum())))
+    return sample[chosen]
+
+
+def in_balls(rows: DataFrame, cosines) -> tuple[DataFrame, Balls] | None:
+    """The rows (id, values) with the ball they are in, written once, and the balls; None for an empty table."""
+    wanted = min(MOST_BALLS, max(1, math.ceil(rows.count() / ROWS_PER_BALL)))
+    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(4 * wanted).select("values").collect()  # a bounded sample
+    if not drawn:
+        return None
+    balls = Balls(cosines, choose_centres(np.array([r["values"] for r in drawn]), wanted, cosines))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                angle = balls.angles(_matrix(batch.column("values")))
+                ball = angle.argmin(1)
+                least = angle[np.arange(len(ball)), ball]
+                yield batch.append_column("ball", pa.array(ball.astype(np.int32))).append_column("angle", pa.array(least))
+
+    fields = [*rows.schema.fields, T.StructField("ball", T.IntegerType()), T.StructField("angle", T.DoubleType())]
+    members = stored(rows.mapInArrow(assign, T.StructType(fields)))
+    radii = np.full(len(balls.centres), -1.0)
+    for r in members.groupBy("ball").agg(F.max("angle").alias("radius")).collect():  # at most MOST_BALLS rows
+        radii[r["ball"]] = r["radius"]
+    return members, Balls(cosines, balls.centres, radii)
+
+
+def routed(asked: DataFrame, balls: Balls, first: bool) -> DataFrame:
+    """id, values, ball: every asked row (id, values, least) with the balls it is compared with in this round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                least = batch.column("least").to_numpy(zero_copy_only=False)
+                row, ball = np.nonzero(balls.may_hold(_matrix(batch.column("values")), least)[0 if first else 1])
+                yield batch.select(["id", "values"]).take(pa.array(row)).append_column("ball", pa.array(ball.astype(np.int32)))
+
+    fields = [*asked.select("id", "values").schema.fields, T.StructField("ball", T.IntegerType())]
+    return asked.select("id", "values", "least").mapInArrow(run, T.StructType(fields))
+
+
+def _piece_rows(rows: DataFrame) -> int:
+    width = rows.agg(F.coalesce(F.max(F.size("values")), F.lit(1))).first()[0]
+    return max(1, min(PIECE_ROWS, PIECE_BYTES // (8 * max(width, 1))))
+
+
+def compared(asking: DataFrame, members: DataFrame, keep: int, cosines, with_itself: bool, piece_rows: int) -> DataFrame:
+    """id, other, sim: the `keep` most similar members of each piece of a ball for each row that was routed to the ball."""
+    spark = members.sparkSession
+    pieces = members.groupBy("ball").agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("pieces"))
+    chunks = asking.groupBy("ball").agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("chunks"))
+    sizes = F.broadcast(pieces.join(chunks, "ball"))  # at most MOST_BALLS rows
+
+    def packed(rows: DataFrame, own: str, others: str, number: str, other: str, name: str) -> DataFrame:
+        dealt = rows.join(sizes, "ball").withColumn(number, F.pmod(F.xxhash64("id", F.lit(name)), F.col(own)).cast("int"))
+        lists = dealt.groupBy("ball", number, others).agg(F.collect_list(F.struct("id", "values")).alias(name))
+        return lists.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop(others)
+
+    keys = ["ball", "piece", "chunk"]
+    theirs = packed(members.select("id", "values", "ball"), "pieces", "chunks", "piece", "chunk", "theirs")
+    ours = packed(asking, "chunks", "pieces", "chunk", "piece", "ours")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    both = ours.repartition(tasks, *keys).join(theirs.repartition(tasks, *keys).hint("shuffle_hash"), keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ours, theirs = batch.column("ours")[i].values, batch.column("theirs")[i].values
+                our_ids, ids = ours.field("id"), theirs.field("id")
+                a, b = _matrix(ours.field("values")), _matrix(theirs.field("values"))
+                ties = np.empty(len(ids), np.int64)
+                ties[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+                own = pc.index_in(our_ids, ids).fill_null(-1).to_numpy(zero_copy_only=False)
+                for some in _slices(len(a), len(b)):
+                    similarity = cosines(a[some], b)
+                    if not with_itself:
+                        there = np.flatnonzero(own[some] >= 0)
+                        similarity[there, own[some][there]] = -np.inf
+                    row, column = best_columns(similarity, ties, keep)
+                    found = np.isfinite(similarity[row, column])
+                    row, column = row[found], column[found]
+                    yield pa.RecordBatch.from_arrays(
+                        [our_ids.take(pa.array(row + (some.start or 0))), ids.take(pa.array(column)), pa.array(similarity[row, column])],
+                        names=["id", "other", "sim"],
+                    )
+
+    kind = members.schema["id"].dataType.simpleString()
+    return both.select("ours", "theirs").mapInArrow(run, f"id {kind}, other {kind}, sim double")
+
+
+def nearest(rows: DataFrame, keep: int, cosines, asked: DataFrame | None = None, with_itself: bool = False) -> DataFrame:
+    """id, other, sim, rank: the `keep` most similar rows of each row (id, values), or of the ids in `asked`; equal ones by id.
+
+    Exact: what is not compared could not be among the first.
+    """
+    found = in_balls(rows, cosines)
+    kind = rows.schema["id"].dataType.simpleString()
+    if found is None:
+        return rows.sparkSession.createDataFrame([], f"id {kind}, other {kind}, sim double, rank int")
+    members, balls = found
+    piece_rows = _piece_rows(members)
+    ours = members.select("id", "values")
+    if asked is not None:
+        ours = ours.join(asked.select("id").distinct(), "id", "left_semi")
+    order = [F.col("sim").desc(), F.col("other")]
+    none = F.lit(-2.0)  # less than any cosine
+    start = routed(ours.withColumn("least", none), balls, True)
+    early = stored(top_per_group(compared(start, members, keep, cosines, with_itself, piece_rows), ["id"], keep, order))
+    if len(balls.centres) <= BALLS_FIRST:
+        return early
+    reached = early.where(F.col("rank") == keep).select("id", F.col("sim").alias("reached"))
+    then = ours.join(reached, "id", "left").withColumn("least", F.coalesce("reached", none))
+    late = compared(stored(routed(then, balls, False)), members, keep, cosines, with_itself, piece_rows)
+    return top_per_group(early.drop("rank").unionByName(late), ["id"], keep, order)
 
 
 def _slices(rows: int, columns: int) -> Iterator[slice]:
@@ -139,6 +284,32 @@ def _slices(rows: int, columns: int) -> Iterator[slice]:
         yield slice(start, start + step)
 
 
+def coded_labels(labels: DataFrame) -> DataFrame:
+    """id, look (one text for equal labels) and codes (a number per family, 0 for a missing label), written once."""
+    families = families_of(labels)
+    return stored(
+        labels.select("id", F.array(*families).alias("features")).select(
+            "id",
+            F.md5(F.to_json(F.struct("features"))).alias("look"),
+            F.transform("features", lambda x: F.when(x.isNotNull(), F.xxhash64(x)).otherwise(0)).alias("codes"),
+        )
+    )
+
+
+def profiles_of(coded: DataFrame, keep: int) -> DataFrame:
+    """One row per look: codes, profile (its smallest id), ids (its `keep` smallest, sorted)."""
+    smallest = top_per_group(coded, ["look"], keep, [F.col("id")])
+    return stored(
+        smallest.groupBy("look").agg(
+            F.first("codes").alias("codes"), F.min("id").alias("profile"), F.sort_array(F.collect_list("id")).alias("ids")
+        )
+    )
+
+
+def code_weights(labels: DataFrame, settings: FeatureSettings) -> np.ndarray:
+    return np.array([settings.weight(f) for f in families_of(labels)], dtype=np.float64)
+
+
 def neighbours(
     labels: DataFrame, n: int, settings: FeatureSettings, of: DataFrame | None = None
 ) -> DataFrame:
@@ -148,60 +319,20 @@ def neighbours(
     profile that keeps its n + 1 smallest ids: no title can need more of them, so nothing is lost and a group of
     copies costs the same as a single title. A profile goes by its smallest id.
     """
-    families = families_of(labels)
-    weights = np.array([settings.weight(f) for f in families], dtype=np.float64)
     keep = n + 1
-    # Written once: the labels are read for the folding, for both sides of the comparison and for the result.
-    ensure_checkpoint_dir(labels.sparkSession)
-    coded = (
-        labels.select("id", F.array(*families).alias("features"))
-        .select(
-            "id",
-            F.md5(F.to_json(F.struct("features"))).alias("look"),
-            F.transform("features", lambda x: F.when(x.isNotNull(), F.xxhash64(x)).otherwise(0)).alias("codes"),
-        )
-        .checkpoint()
-    )
-    smallest = top_per_group(coded, ["look"], keep, [F.col("id")])
-    profiles = (
-        smallest.groupBy("look")
-        .agg(
-            F.first("codes").alias("codes"),
-            F.min("id").alias("profile"),
-            F.sort_array(F.collect_list("id")).alias("ids"),
-        )
-        .checkpoint()
-    )
+    coded = coded_labels(labels)
+    profiles = profiles_of(coded, keep)
     if of is None:
-        asked_titles, asked = coded, profiles
+        asked_titles, asked = coded, None
     else:
         asked_titles = coded.join(of.select("id"), "id", "left_semi")
-        asked = profiles.join(asked_titles.select("look").distinct(), "look", "left_semi")
-    blocks = _blocks_needed(profiles)
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ours, our_codes, theirs, their_codes in batch.itertuples(index=False):
-                a = np.asarray(our_codes, dtype=np.int64).reshape(-1, len(weights))
-                b = np.asarray(their_codes, dtype=np.int64).reshape(-1, len(weights))
-                ours, theirs = np.asarray(ours), np.asarray(theirs)
-                size_a, size_b = (a != 0) @ weights, (b != 0) @ weights
-                for some in _slices(len(a), len(b)):
-                    size = np.maximum(size_a[some, None] * size_b[None, :], 1e-300)
-                    similarity = _shared_weight(a[some], b, weights) / np.sqrt(size)
-                    row, column = _best(similarity, theirs, keep)
-                    yield pd.DataFrame(
-                        {"profile": ours[some][row], "other": theirs[column], "sim": similarity[row, column]}
-                    )
-
-    id_type = labels.schema["id"].dataType.simpleString()
-    left, right = (_packed(rows, "profile", "codes", blocks) for rows in (asked, profiles))
-    found = _block_pairs(left, right, blocks).mapInPandas(
-        compare, f"profile {id_type}, other {id_type}, sim double"
-    )
-    nearest = top_per_group(found, ["profile"], keep, [F.col("sim").desc(), F.col("other")])
+        looks = asked_titles.select("look").distinct()
+        asked = profiles.join(looks, "look", "left_semi").select(F.col("profile").alias("id"))
+    rows = profiles.select(F.col("profile").alias("id"), F.col("codes").alias("values"))
+    best = nearest(rows, keep, cosines_of_codes(code_weights(labels, settings)), asked, with_itself=True)
+    nearest_profiles = best.select(F.col("id").alias("profile"), "other", "sim")
     copies = profiles.select(F.col("profile").alias("other"), "ids")
-    entries = nearest.select("profile", "other", "sim").join(copies, "other")
+    entries = nearest_profiles.join(copies, "other")
     lists = (
         top_per_group(
             entries.select("profile", "sim", F.explode("ids").alias("other")),
@@ -229,35 +360,13 @@ def vector_neighbours(vectors: DataFrame, n: int, key: str, vector: str) -> Data
     NULL and zero vectors, and those with a NULL or infinite number, have no cosine and take no part. The others must be
     of one length.
     """
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("values"))
+    square = F.aggregate("values", F.lit(0.0), lambda total, x: total + x * x)
     rows = rows.where((square > 0) & (square < float("inf")))
-    lengths = rows.agg(F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")).first()
+    lengths = rows.agg(F.min(F.size("values")).alias("low"), F.max(F.size("values")).alias("high")).first()
     if lengths["low"] != lengths["high"]:
         raise ValueError(f"vectors of {lengths['low']} to {lengths['high']} numbers have no cosine")
-    blocks = _blocks_needed(rows)
-    packed = _packed(rows, "id", "vector", blocks)
-
-    def unit(ids, values) -> np.ndarray:
-        matrix = np.asarray(values, dtype=np.float64).reshape(len(ids), -1)
-        return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ours, our_values, theirs, their_values in batch.itertuples(index=False):
-                a, b = unit(ours, our_values), unit(theirs, their_values)
-                ours, theirs = np.asarray(ours), np.asarray(theirs)
-                for some in _slices(len(a), len(b)):
-                    similarity = a[some] @ b.T
-                    similarity[ours[some, None] == theirs[None, :]] = -np.inf
-                    row, column = _best(similarity, theirs, n)
-                    found = similarity[row, column]
-                    rows_found = pd.DataFrame({"id": ours[some][row], "other": theirs[column], "sim": found})
-                    yield rows_found[np.isfinite(found)]
-
-    id_type = rows.schema["id"].dataType.simpleString()
-    found = _block_pairs(packed, packed, blocks).mapInPandas(compare, f"id {id_type}, other {id_type}, sim double")
-    return top_per_group(found, ["id"], n, [F.col("sim").desc(), F.col("other")]).withColumnRenamed("id", key)
+    return nearest(rows, n, cosines_of_vectors).withColumnRenamed("id", key)
 
 
 def last_liked_wins(similar: DataFrame, n: int, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -109,8 +109,8 @@ def test_ranked_maps(raw_titles):
 
 def test_clean_reviews(spark):
     rows = [
-        ("/title/tt1/", "t", "8", "31 January 2020", "a\n\n", "/user/ur1/?ref_=x", "\n 12 out of 40 found this helpful.\n"),
-        ("/title/tt1/", "t", None, "\n    30 March 2013\n   ", "\nb", None, "\n 1,200 out of 4,000 found this helpful.\n"),
+        ("/title/tt1/", "t", "8", "14 August 2016", "a\n\n", "/user/ur1/?ref_=x", "\n 12 out of 40 found this helpful.\n"),
+        ("/title/tt1/", "t", None, "\n  7 June 1998\n ", "\nb", None, "\n 1,200 out of 4,000 found this helpful.\n"),
         ("/title/tt2/", "t", "9", "x", None, "/user/ur2/", "nobody yet"),
         ("/title/tt2/", "t", "9", "1 May 2001", "c", "/user/ur2/", "40,000 out of 50,000"),
     ]
@@ -121,9 +121,9 @@ def test_clean_reviews(spark):
     }
     a, b, c, d = cleaned.collect()
     assert (a["upvotes"], a["total_votes"], a["title"], a["author"]) == (12, 40, "a", "/user/ur1/")
-    assert a["review_date"] == dt.date(2020, 1, 31) and a["rating"] == 8.0
+    assert a["review_date"] == dt.date(2016, 8, 14) and a["rating"] == 8.0
     assert (b["upvotes"], b["total_votes"], b["title"], b["author"]) == (1200, 4000, "\nb", None)
-    assert b["review_date"] == dt.date(2013, 3, 30) and b["rating"] is None
+    assert b["review_date"] == dt.date(1998, 6, 7) and b["rating"] is None
     assert (c["upvotes"], c["total_votes"], c["title"], c["review_date"]) == (None, None, None, None)
     assert (d["upvotes"], d["total_votes"]) == (40_000, 50_000)
 

@@ -43,8 +43,8 @@ def brute(table, liked_id, n, without=()):
 
 @pytest.fixture(params=[2048, 16])
 def block_rows(request, monkeypatch):
-    monkeypatch.setattr(sim, "BLOCK_ROWS", request.param)
-    monkeypatch.setattr(sim, "LARGE_BLOCK_ROWS", 8 * request.param)
+    monkeypatch.setattr(sim, "ROWS_PER_BALL", request.param)
+    monkeypatch.setattr(sim, "PIECE_ROWS", 2 * request.param)
     monkeypatch.setattr(sim, "CELLS_AT_ONCE", 100 * request.param)
 
 
@@ -123,15 +123,18 @@ def test_vectors_of_different_lengths_are_refused(spark):
         sim.vector_neighbours(rows, 5, "v_id", "v")
 
 
-@pytest.mark.parametrize("depth", [2, 500])
-def test_recommendations_for_many_users(spark, depth):
-    table = catalogue(60, seed=7, spread=3)
+@pytest.mark.parametrize("spread, small", [(3, False), (3, True), (9, True)])
+def test_recommendations_for_many_users(spark, monkeypatch, spread, small):
+    if small:
+        for name, value in (("BLOCK_PROFILES", 7), ("ASKS_PER_CHUNK", 5), ("CELLS_AT_ONCE", 40)):
+            monkeypatch.setattr(rec, name, value)
+    table = catalogue(60, seed=7, spread=spread)
     ids = [int(i) for i in table["id"]]
     rng = np.random.default_rng(1)
     chosen = {"few": ids[:2], "some": ids[10:18], "most": [int(i) for i in rng.permutation(ids)[:50]], "all": ids}
     rows = [(u, t, p) for u, titles in chosen.items() for p, t in enumerate(titles)] + [("few", -1, 99)]
     likes = spark.createDataFrame(rows, "user_id string, id long, pos int")
-    found = rec.recommend_for_users(likes, frame(spark, table), 5, SETTINGS, depth=depth).toPandas()
+    found = rec.recommend_for_users(likes, frame(spark, table), 5, SETTINGS).toPandas()
     assert set(found["user_id"]) == {"few", "some", "most"}
     for user, group in found.groupby("user_id"):
         expected = liked_brute(table, chosen[user], 5)
@@ -140,6 +143,63 @@ def test_recommendations_for_many_users(spark, depth):
         assert list(group["relevance"]) == pytest.approx([s for _, s in expected])
 
 
+def test_a_user_who_liked_most_of_the_catalogue(spark, monkeypatch):
+    monkeypatch.setattr(rec, "BLOCK_PROFILES", 50)
+    table = catalogue(400, seed=8, spread=6)
+    ids = [int(i) for i in np.random.default_rng(2).permutation(table["id"])]
+    rows = [("most", t, p) for p, t in enumerate(ids[:300])] + [("one", ids[3], 0)]
+    likes = spark.createDataFrame(rows, "user_id string, id long, pos int")
+    found = rec.recommend_for_users(likes, frame(spark, table), 5, SETTINGS).toPandas()
+    for user, liked in (("most", ids[:300]), ("one", [ids[3]])):
+        expected = liked_brute(table, liked, 5)
+        group = found[found["user_id"] == user].sort_values("rank")
+        assert list(group["id"]) == [o for o, _ in expected]
+    none = likes.limit(0)
+    assert rec.recommend_for_users(none, frame(spark, table), 5, SETTINGS).count() == 0
+
+
+def clustered(n, clusters, width, spread, seed=1):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, width))
+    return centres[rng.integers(0, clusters, n)] + spread * rng.normal(size=(n, width))
+
+
+def test_balls_spare_most_comparisons_and_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(sim, "ROWS_PER_BALL", 50)
+    vectors = np.vstack([clustered(1500, 30, 12, 0.05), np.random.default_rng(4).normal(size=(20, 12))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "v_id long, v array<double>")
+    routes = []
+    compare = sim.compared
+    monkeypatch.setattr(sim, "compared", lambda asking, *rest: routes.append(asking.count()) or compare(asking, *rest))
+    found = sim.vector_neighbours(rows, 4, "v_id", "v").toPandas()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    similarity = unit @ unit.T
+    np.fill_diagonal(similarity, -2)
+    best = -np.sort(-similarity, axis=1)[:, :4]
+    got = found.sort_values(["v_id", "rank"])["sim"].to_numpy().reshape(-1, 4)
+    assert got == pytest.approx(best, abs=1e-12)
+    balls = -(-len(vectors) // 50)
+    assert len(routes) == 2 and sum(routes) < 0.5 * len(vectors) * balls
+
+
+def test_no_copy_of_the_catalogue_travels_for_a_liked_list(spark):
+    table = frame(spark, catalogue(90, seed=2))
+    likes = spark.createDataFrame([(0, 1), (1, 2)], "pos int, id long")
+    plan = sim.similar_to(table, likes, 6, SETTINGS)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [block" not in plan and "ShuffledHashJoin [block" not in plan
+
+
+def test_a_list_too_long_to_broadcast(spark, monkeypatch):
+    table = catalogue(90, seed=2)
+    liked = [int(i) for i in table["id"].head(30)]
+    likes = spark.createDataFrame(list(enumerate(liked)), "pos int, id long")
+    expected = sim.similar_to(frame(spark, table), likes, 6, SETTINGS).collect()
+    monkeypatch.setattr(sim, "BROADCAST_LIKED", 3)
+    monkeypatch.setattr(sim, "LIKED_ROWS", 8)
+    found = sim.similar_to(frame(spark, table), likes, 6, SETTINGS).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, expected)) and len(found) == 180
+
+
 def test_vector_neighbours(spark, block_rows):
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(70, 8))
