@@ -5,11 +5,13 @@ benchmark, 0 for words that are not in it. A match cannot contain a 0, so only r
 whole window enter the shard's suffix array. Every suffix of every test item is then searched in it by bisection, for
 its longest verbatim match and for the range of suffixes that begin with its window.
 
-The benchmark is read in blocks of bounded size; each block is one pass over the training rows.
+The benchmark lies in the shared folder in blocks of bounded size. A task takes some shards of its training rows at a time and
+searches them for every block, which it reads there one after the other; the training rows are read once and never copied.
 
 A window is 13 consecutive words of an item, or the whole item if it has fewer; items without words have none. NULL and
 empty texts have no words and no hits. Repeated rows are judged alike, one result row each; items with equal texts
-are both counted, repeated rows of one item once. Words are compared by 64-bit hashes.
+are both counted, repeated rows of one item once. An item without an id counts in the hits, and in the matches with a NULL id, but
+has no name to stand among the items. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import wordhash as wh
-from .storage import stored
+from .storage import each_row, stored_at
 
 WINDOW = 13
 SHARD_BYTES = 2 << 20
-BLOCK_BYTES = 8 << 20  # of benchmark text that a task holds at a time
+BLOCK_BYTES = 4 << 20  # of benchmark text that a task holds at a time
+GROUP_BYTES = 32 << 20  # of training text that is searched for one block after the other
+KEPT_BLOCKS = 4  # blocks that a task keeps if there are no more
 
 FOUND = "hits array<int>, items array<string>, matches array<struct<item_id:string,item_word:int,doc_word:int,length:int>>"
 MATCHES = pa.list_(
@@ -35,7 +39,7 @@ MATCHES = pa.list_(
 
 
 class Block(NamedTuple):
-    items: list  # item ids as strings
+    items: list  # item ids as strings, or None
     vocabulary: np.ndarray  # sorted hashes of the words of the items
     marks: np.ndarray  # which 16-bit word hash endings occur
     sequence: np.ndarray  # word numbers of all items, a 0 after each
@@ -66,18 +70,53 @@ def _block(items: list[tuple[str, str]]) -> Block | None:
     return Block([i for i, _ in items], vocabulary, marks, sequence, starts, owner, window, int(size[size > 0].min()))
 
 
-def blocks(benchmark: DataFrame, key: str, text: str, most: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The items in blocks of bounded text, fetched one after the other; equal rows once."""
-    size, items = 0, []
-    rows = benchmark.select(F.col(key).cast("string").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    for row in rows.distinct().toLocalIterator():
-        items.append((row["k"], row["t"]))
-        size += len(row["t"].encode()) + 16
-        if size >= most:
-            yield from filter(None, [_block(items)])
-            size, items = 0, []
-    if items:
-        yield from filter(None, [_block(items)])
+def blocks(benchmark: DataFrame, key: str, text: str) -> DataFrame:
+    """The items in blocks of bounded text, one row each (keys, texts); equal rows once."""
+    rows = benchmark.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).distinct()
+    ordered = rows.repartitionByRange(F.xxhash64("key", "text")).sortWithinPartitions(F.xxhash64("key", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list = []
+        texts: list = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            row = pa.RecordBatch.from_pydict({"keys": pa.array([keys], pa.list_(pa.string())), "texts": pa.array([texts], pa.list_(pa.string()))})
+            keys.clear(), texts.clear()
+            return row
+
+        for batch in batches:
+            for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                keys.append(k), texts.append(t)
+                size += len(t.encode()) + 16
+                if size >= BLOCK_BYTES:
+                    yield block()
+                    size = 0
+        if keys:
+            yield block()
+
+    return ordered.mapInArrow(run, "keys array<string>, texts array<string>")
+
+
+class _Blocks:
+    """The blocks of a folder, as often as a task needs them; a few stay in memory if there are no more."""
+
+    def __init__(self, folder: str):
+        self.folder, self.kept = folder, None
+
+    def __iter__(self) -> Iterator[Block]:
+        if self.kept is not None:
+            yield from self.kept
+            return
+        first = []
+        for row in each_row(self.folder):
+            block = _block(list(zip(row.column("keys")[0].as_py(), row.column("texts")[0].as_py())))
+            if block is not None:
+                if len(first) <= KEPT_BLOCKS:
+                    first.append(block)
+                yield block
+        if len(first) <= KEPT_BLOCKS:
+            self.kept = first
 
 
 def suffix_array(sequence: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -178,7 +217,7 @@ def _scan(data: np.ndarray, words: wh.Words, block: Block):
     return place[at], tests[which], length
 
 
-def _judge(batch: pa.RecordBatch, block: Block, earlier: bool):
+def _judge(batch: pa.RecordBatch, block: Block, olds: list[dict]) -> list[dict]:
     """hits, items, matches of each row of one shard, with what earlier blocks found."""
     data, offsets = wh.text_bytes(batch.column(1))
     data = wh.LOWER[data]
@@ -191,19 +230,16 @@ def _judge(batch: pa.RecordBatch, block: Block, earlier: bool):
     size, owner = block.window[suffix], block.owner[suffix]
     heads = np.flatnonzero(np.diff(np.concatenate([[-1], block.owner])))
     word_in_item = np.arange(len(block.owner)) - np.repeat(heads, np.diff(np.append(heads, len(block.owner))))
-    hits, items, matches = [], [], []
-    none = {"hits": [], "items": [], "matches": []}
-    olds = batch.select(list(none)).to_pylist() if earlier else [none] * batch.num_rows
+    out = []
     for i, old in enumerate(olds):
         a, b = bounds[i], bounds[i + 1]
         if a == b:
-            hits.append(old["hits"]), items.append(old["items"]), matches.append(old["matches"])
+            out.append(old)
             continue
         base = words.first[i]
         starts = np.concatenate([at[a:b] - base, np.array(old["hits"][0::2], np.int64)])
         ends = np.concatenate([at[a:b] - base + size[a:b], np.array(old["hits"][1::2], np.int64)])
-        hits.append(_merged(starts, ends))
-        items.append(sorted({*old["items"], *(block.items[o] for o in np.unique(owner[a:b]))}))
+        named = {block.items[o] for o in np.unique(owner[a:b])} - {None}
         seen = set(zip((at[a:b] - 1).tolist(), (suffix[a:b] - 1).tolist())) & set(zip(at[a:b].tolist(), suffix[a:b].tolist()))
         mine = []
         for x, s, n in zip(at[a:b].tolist(), suffix[a:b].tolist(), length[a:b].tolist()):
@@ -211,8 +247,8 @@ def _judge(batch: pa.RecordBatch, block: Block, earlier: bool):
                 mine.append(
                     {"item_id": block.items[block.owner[s]], "item_word": int(word_in_item[s]), "doc_word": int(x - base), "length": int(n)}
                 )
-        matches.append(old["matches"] + mine)
-    return words.counts(), hits, items, matches
+        out.append({"hits": _merged(starts, ends), "items": sorted({*old["items"], *named}), "matches": old["matches"] + mine})
+    return out
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> list[int]:
@@ -232,39 +268,37 @@ def scan(rows: DataFrame, benchmark: DataFrame, text: str = "text", item_key: st
     `matches` are the longest verbatim matches of at least one window with their places in words.
     """
     kept = rows.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-    now, earlier = kept, False
-    schema = T.StructType(kept.schema.fields + T.StructType.fromDDL("n_words bigint, " + FOUND).fields)
-
-    def one_pass(block: Block | None, earlier: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for shard in wh.shards(batch, "text", SHARD_BYTES):
-                    if block is None:
-                        data, offsets = wh.text_bytes(shard.column(1))
-                        counts = wh.find_words(data, offsets, wh.ALPHANUMERIC).counts()
-                        hits = items = matches = [[] for _ in range(shard.num_rows)]
-                    else:
-                        counts, hits, items, matches = _judge(shard, block, earlier)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            shard.column(0),
-                            shard.column(1),
-                            pa.array(counts, pa.int64()),
-                            pa.array(hits, pa.list_(pa.int32())),
-                            pa.array(items, pa.list_(pa.string())),
-                            pa.array(matches, MATCHES),
-                        ],
-                        names=["row", "text", "n_words", "hits", "items", "matches"],
-                    )
-
-        return run
-
-    for block in blocks(benchmark, item_key, item_text):
-        if earlier:
-            now = stored(now)  # so that one pass holds one block
-        now, earlier = now.mapInArrow(one_pass(block, earlier), schema), True
-    if not earlier:
-        now = now.mapInArrow(one_pass(None, False), schema)
+    folder, _ = stored_at(blocks(benchmark, item_key, item_text))
+    schema = T.StructType([kept.schema["row"], *T.StructType.fromDDL("n_words bigint, " + FOUND).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searched = _Blocks(folder)
+
+        def judged(shards: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = [[{"hits": [], "items": [], "matches": []}] * shard.num_rows for shard in shards]
+            for block in searched:
+                found = [_judge(shard, block, old) for shard, old in zip(shards, found)]
+            for shard, rows in zip(shards, found):
+                data, offsets = wh.text_bytes(shard.column(1))
+                counts = wh.find_words(data, offsets, wh.ALPHANUMERIC).counts()
+                kinds = (("hits", pa.list_(pa.int32())), ("items", pa.list_(pa.string())), ("matches", MATCHES))
+                yield pa.RecordBatch.from_arrays(
+                    [shard.column(0), pa.array(counts, pa.int64()), *(pa.array([r[c] for r in rows], k) for c, k in kinds)],
+                    names=["row", "n_words", "hits", "items", "matches"],
+                )
+
+        shards, size = [], 0
+        for batch in batches:
+            for shard in wh.shards(batch, "text", SHARD_BYTES):
+                shards.append(shard)
+                size += shard.column(1).nbytes
+                if size >= GROUP_BYTES:
+                    yield from judged(shards)
+                    shards, size = [], 0
+        if shards:
+            yield from judged(shards)
+
+    now = kept.mapInArrow(run, schema)
     hit = F.aggregate(
         F.transform("hits", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x).cast("bigint")),
         F.lit(0).cast("bigint"),
