@@ -4,6 +4,11 @@ Writing is seen as a noisy channel: letters are replaced by signs that look alik
 looks disguised becomes a lattice of letters; Viterbi decoding under a character trigram model of the whole corpus
 chooses the reading. The score comes from a logistic model over the words, and beginnings of words, of the restored text.
 
+Words cut in two, masked letters, letters of other scripts and characters that do not show look like no disguise by themselves. So each text
+is also squeezed to its bare letters, in which the words that mark toxic texts are searched. Where one is written across other
+signs, the whole stretch becomes a lattice: a sign between letters is a boundary, nothing or, if it masks, any letter, each at a price. The word counts
+if the best reading has it as a word.
+
 The trigram counts cover all texts. The classifier is fitted on at most `most_labelled` labelled rows, chosen by a hash of
 the key, the features being those that tell their labels apart best. NULL labels are not used; a text labelled twice
 counts as toxic if one label says so. NULL and empty texts have no features and get the score of the intercept. Repeated
@@ -37,6 +42,20 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e",
 }
+#: Letters of other scripts that look like Latin ones (fixed values).
+CONFUSABLE = {
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i",
+    "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "α": "a", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o",
+    "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g",
+} | {chr(0xFF41 + i): chr(97 + i) for i in range(26)}
+#: Characters that take no room (fixed values).
+UNSEEN = "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
+MASKS = "*#_"
+#: Prices of readings, in nats, beyond what the trigram model says.
+NO_BLANK, NO_SIGN, MASKED = 2.0, 0.5, math.log(26)
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+TELLING = 10  # times as frequent in toxic texts as in others: words that are searched across signs
+SHORTEST = 4  # letters of such a word
 _SIGN = re.escape("".join(LOOKS_LIKE))
 _LETTER = r"[^\W\d_]"
 _SINGLE = rf"(?:{_LETTER}|[{_SIGN}])"
@@ -52,6 +71,82 @@ PLAIN = re.compile(r"[^\W\d_]+")
 EDGE = "!|($"
 
 
+def _skeleton_letters() -> dict[int, str | None]:
+    """Each character as the letter it may stand for; l and i, which the same signs stand for, are one. Others are dropped."""
+
+    class Table(dict):
+        def __missing__(self, code):
+            self[code] = None
+            return None
+
+    table = Table({ord(c): c for c in ALPHABET})
+    table |= {ord(k): v[0] for k, v in (LOOKS_LIKE | CONFUSABLE).items()}
+    return Table({k: "i" if v == "l" else v for k, v in table.items()})
+
+
+SKELETON = _skeleton_letters()
+REPEATED = re.compile(r"(.)\1+")
+
+
+def skeleton(text: str) -> str:
+    """The bare letters of a lower-case text, repeated ones once."""
+    return REPEATED.sub(r"\1", text.translate(SKELETON))
+
+
+def _with_places(text: str) -> tuple[str, list[int]]:
+    """The skeleton, and where each of its letters begins in the text."""
+    letters, places = [], []
+    for place, c in enumerate(text):
+        letter = SKELETON[ord(c)]
+        if letter and (not letters or letters[-1] != letter):
+            letters.append(letter), places.append(place)
+    return "".join(letters), places
+
+
+class Finder:
+    """Finds words in texts where other signs stand between, over or instead of their letters."""
+
+    def __init__(self, wanted):
+        import ahocorasick
+
+        self.automaton = ahocorasick.Automaton()
+        found: dict[str, set[tuple[str, bool]]] = {}
+        for word in wanted:
+            found.setdefault(skeleton(word), set()).add((word, False))
+            for i in range(1, len(word) - 1):  # a letter that a mask may cover
+                found.setdefault(skeleton(word[:i] + word[i + 1 :]), set()).add((word, True))
+        for form, words in found.items():
+            if len(form) >= SHORTEST - 1:
+                self.automaton.add_word(form, (len(form), sorted(words)))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def stretches(self, low: str) -> set[tuple[str, str]]:
+        """Pairs (stretch of the text, word that may be hidden in it)."""
+        if not len(self.automaton):
+            return set()
+        bare = skeleton(low)
+        if next(self.automaton.iter(bare), None) is None:
+            return set()
+        bare, places = _with_places(low)
+        out = set()
+        for end, (length, words) in self.automaton.iter(bare):
+            start = places[end - length + 1]
+            stop = places[end + 1] if end + 1 < len(places) else len(low)
+            inside = low[start:stop].rstrip()
+            plain = inside.isascii() and inside.isalpha()
+            for word, masked in words:
+                if plain and not masked or masked and not any(m in inside for m in MASKS):
+                    continue
+                a, b = start, start + len(inside)
+                while a and not low[a - 1].isspace():
+                    a -= 1
+                while b < len(low) and not low[b].isspace():
+                    b += 1
+                out.add((low[a:b], word))
+        return out
+
+
 def trigram_counts(rows: DataFrame, text: str = "text") -> np.ndarray:
     """27 x 27 x 27 counts over all texts: a to z, and 0 for anything else."""
 
@@ -92,16 +187,15 @@ class Reader:
             self.known[stretch] = self._decode(stretch)
         return self.known[stretch]
 
-    def _decode(self, stretch: str) -> str:
-        runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", stretch, re.DOTALL)]
+    def best(self, choices: list[list[tuple[str, float]]]) -> str:
+        """The cheapest reading: of each place one of its choices (text, price), under the trigram model; a blank is a boundary of words."""
         # state: the last two letters; value: cost and the reading so far
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for sign, times in runs:
+        for options in choices:
             after: dict[tuple[int, int], tuple[float, str]] = {}
-            readings = [x * n for x in self._options(sign) for n in ((1, 2) if times > 1 else (1,))]
             for (a, b), (cost, said) in states.items():
-                for letters in readings:
-                    x, y, now = a, b, cost
+                for letters, price in options:
+                    x, y, now = a, b, cost + price
                     for letter in letters:
                         code = ord(letter) - 96 if "a" <= letter <= "z" else 0
                         now += self.costs[x, y, code]
@@ -112,30 +206,49 @@ class Reader:
         ends = ((cost + self.costs[x, y, 0], said) for (x, y), (cost, said) in states.items())
         return min(ends)[1]
 
+    def _decode(self, stretch: str) -> str:
+        runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", stretch, re.DOTALL)]
+        return self.best([[(x * n, 0.0) for x in self._options(sign) for n in ((1, 2) if times > 1 else (1,))] for sign, times in runs])
+
+    def across(self, stretch: str) -> set[str]:
+        """The words of the best reading of a stretch in which any sign may be a boundary, nothing or a masked letter."""
+        key = "\0" + stretch
+        if key not in self.known:
+            if len(self.known) > CACHED:
+                self.known.clear()
+            self.known[key] = self.best([self._choices(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", stretch, re.DOTALL)])
+        return set(self.known[key].split())
+
+    def _choices(self, sign: str, times: int) -> list[tuple[str, float]]:
+        if sign in UNSEEN:
+            return [("", 0.0)]
+        if sign.isspace():
+            return [(" ", 0.0), ("", NO_BLANK)]
+        counts = (1, 2) if times > 1 else (1,)
+        letters = LOOKS_LIKE.get(sign) or CONFUSABLE.get(sign) or (sign if sign.isalpha() else "")
+        out = [(x * n, 0.0) for x in letters for n in counts]
+        if not sign.isalpha():
+            out += [(" ", NO_SIGN), ("", NO_SIGN * times)]
+            if sign in MASKS and times <= 2:
+                out += [(x, MASKED) for x in ALPHABET] if times == 1 else [(x + y, 2 * MASKED) for x in ALPHABET for y in ALPHABET]
+        return out
+
     def split(self, letters: str) -> set[str]:
         """Words of letters set apart: between two of them is a word boundary or nothing, as the trigram model has it.
 
         Also the words that all of them make, and all but the first, the last, or both.
         """
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for place, sign in enumerate(letters):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, said) in states.items():
-                starts = [(a, b, cost, said)]
-                if place:
-                    starts.append((b, 0, cost + self.costs[a, b, 0], said + " "))
-                for x, y, now, words in starts:
-                    for letter in self._options(sign):
-                        code = ord(letter) - 96 if "a" <= letter <= "z" else 0
-                        total = now + self.costs[x, y, code]
-                        if (y, code) not in after or total < after[y, code][0]:
-                            after[y, code] = (total, words + letter)
-            states = after
-        best = min((cost + self.costs[x, y, 0], said) for (x, y), (cost, said) in states.items())[1]
+        choices: list[list[tuple[str, float]]] = []
+        for m in re.finditer(r"(.)\1*", letters, re.DOTALL):
+            readings = [x for sign in self._options(m[0][0]) for x in ({sign * len(m[0]), sign, sign * 2} if len(m[0]) > 2 else {sign * len(m[0])})]
+            apart = [" ".join(m[0][:1] * len(m[0]))] if len(m[0]) > 1 else []
+            said = [(x, 0.0) for x in [*readings, *apart]]
+            choices.append(said if not choices else [*said, *((" " + x, price) for x, price in said)])
+        best = self.best(choices)
         whole = {letters[i:j] for i in (0, 1) for j in (len(letters), len(letters) - 1) if j - i > 2}
         return set(best.split()) | {self.read(w) for w in whole}
 
-    def words(self, text: str) -> set[str]:
+    def words(self, text: str, finder: Finder | None = None) -> set[str]:
         """The distinct words of a text, those of disguised stretches also in their restored form."""
         low = text.lower()
         words = set(PLAIN.findall(low))
@@ -148,6 +261,9 @@ class Reader:
                     words.add(self.read(bare))
                     if token.lstrip(EDGE) != token or token.rstrip(EDGE) != token:
                         words.add(self.read(token))
+        for stretch, word in finder.stretches(low) if finder else ():
+            if word not in words and word in self.across(stretch):
+                words.add(word)
         return words
 
 
@@ -160,6 +276,7 @@ class Model(NamedTuple):
     counts: np.ndarray
     weights: dict[str, float]
     intercept: float
+    telling: tuple[str, ...] = ()  # words to be searched across signs
 
 
 def train(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, counts: np.ndarray, most: int = MOST_LABELLED) -> Model:
@@ -197,7 +314,10 @@ def train(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, c
     apart = F.abs(F.col("toxic") / max(n1, 1) - F.col("clean") / max(n0, 1)) / error
     seen = sums.where(f"feature <> '' and clean + toxic >= {SEEN_AT_LEAST}").where(apart >= ERRORS_APART)
     best = seen.orderBy(apart.desc(), "feature").limit(FEATURES)
-    names = [r["feature"] for r in best.select("feature").collect()]
+    rate = (F.col("toxic") + 0.5) / (n1 + 1) >= TELLING * (F.col("clean") + 0.5) / (n0 + 1)
+    found = best.select("feature", rate.alias("telling")).collect()
+    names = [r["feature"] for r in found]
+    telling = tuple(r["feature"] for r in found if r["telling"] and len(r["feature"]) >= SHORTEST and set(r["feature"]) <= set(ALPHABET))
     place = {name: i for i, name in enumerate(names)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +332,8 @@ def train(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, c
     columns = lists.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy(zero_copy_only=False))
     weights, intercept = _logistic(owner, columns, toxic, len(names))
-    return Model(counts, dict(zip(names, weights.tolist())), intercept)
+    fitted = dict(zip(names, weights.tolist()))
+    return Model(counts, fitted, intercept, tuple(w for w in telling if fitted[w] > 0))
 
 
 def _logistic(owner: np.ndarray, columns: np.ndarray, y: np.ndarray, n: int, rounds: int = 400) -> tuple[np.ndarray, float]:
@@ -237,9 +358,9 @@ def score(rows: DataFrame, model: Model, key: str, text: str) -> DataFrame:
     weights, intercept = model.weights, model.intercept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, names = Reader(model.counts), weights.keys()
+        reader, finder, names = Reader(model.counts), Finder(model.telling), weights.keys()
         for batch in batches:
-            sums = [intercept + sum(weights[f] for f in names & features(reader.words(t or ""))) for t in batch.column(1).to_pylist()]
+            sums = [intercept + sum(weights[f] for f in names & features(reader.words(t or "", finder))) for t in batch.column(1).to_pylist()]
             p = 1 / (1 + np.exp(-np.clip(np.array(sums, float), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["row", "score"])
 
