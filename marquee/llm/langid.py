@@ -17,8 +17,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..operators.ranking import top_per_group
 from . import wordhash as wh
 
 PER_LANGUAGE = 2_000
@@ -65,9 +66,9 @@ def _texts(shard: pa.RecordBatch, column: int):
 
 def train(rows: DataFrame, key: str, text: str, label: str, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on a bounded number of labelled rows per language; the counts come back as languages x GRAMS at most."""
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key))
-    labelled = rows.where(F.col(label).isNotNull()).select(key, F.col(label).alias(label))
-    chosen = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select(key).distinct()
+    labelled = rows.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"))
+    # The first of each language in many pieces first, so that no task ranks a whole language.
+    chosen = top_per_group(labelled, ["label"], per_language, [F.xxhash64("key"), F.col("key")]).select(F.col("key").alias(key)).distinct()
     chosen = F.broadcast(chosen) if per_language <= PER_LANGUAGE else chosen
     sample = rows.where(F.col(label).isNotNull()).join(chosen, key, "left_semi")
     sample = sample.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text"))
