@@ -170,7 +170,8 @@ def remove_repeats(rows: DataFrame, text: str = "text", buckets: int | None = No
         shuffled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(shuffled, BUCKETS_PER_PARTITION * rows.rdd.getNumPartitions())
     spans = repeated_spans(identified, buckets).groupBy("key", "check")
-    spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    # Equal rows have equal spans, and those of a million copies are as many as those of one.
+    spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     flat = F.flatten(F.transform("spans", lambda s: F.array(s["start"], s["end"]))).alias("spans")
     both = identified.drop("text").join(spans.select("key", "check", flat), ["key", "check"], "left").select("row", "spans")
     schema = T.StructType(
