@@ -48,34 +48,35 @@ def plain(docs):
     return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
 
 
-def test_contamination(spark, docs, plain):
+@pytest.mark.parametrize("most", [1 << 20, 100])  # one block, and one block per item
+def test_contamination(spark, docs, plain, monkeypatch, most):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", most)
+    monkeypatch.setattr(decontam, "KEPT_BLOCKS", 4 if most > 100 else 2)
+    monkeypatch.setattr(decontam, "GROUP_BYTES", 1 << 25 if most > 100 else 3000)
     base = texts()
     items = [(1, " ".join(base[0].split()[40:90])), (2, base[11].upper()), (3, "one two"), (4, None), (5, ""), (6, base[11])]
     benchmark = spark.createDataFrame(items + items[:1], "item_id long, text string")
     expected = sorted(brute.contamination(plain, items))
-    for most in (1 << 20, 100):  # one block, and one block per item
-        found = decontam.scan(docs, benchmark) if most > 100 else _in_blocks(docs, benchmark, most)
-        got = [
-            (r["row"]["doc_id"], r["n_words"], r["n_hit"], len(r["items"]), brute.sha(",".join(sorted(r["items"]))), r["bad"])
-            for r in found.withColumn("bad", decontam.contaminated()).collect()
-        ]
-        assert sorted(got) == expected
+    got = [
+        (r["row"]["doc_id"], r["n_words"], r["n_hit"], len(r["items"]), brute.sha(",".join(sorted(r["items"]))), r["bad"])
+        for r in decontam.scan(docs, benchmark).withColumn("bad", decontam.contaminated()).collect()
+    ]
+    assert sorted(got) == expected
     kept = decontam.decontaminate(docs, benchmark)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(e[0] for e in expected if not e[5])
 
 
-def _in_blocks(docs, benchmark, most):
-    whole = decontam.blocks
-
-    def small(rows, key, text):
-        return whole(rows, key, text, most)
-
-    decontam.blocks = small
-    try:
-        return decontam.scan(docs, benchmark)
-    finally:
-        decontam.blocks = whole
+def test_items_without_an_id(spark):
+    """They hit words beside other items, but have no name."""
+    words = prose(8, 40, 10**6).split()
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, None)], "doc_id long, text string")
+    items = [(None, " ".join(words[:15])), ("b", " ".join(words[10:30])), (None, None), ("c", None)]
+    first, second = decontam.scan(docs, spark.createDataFrame(items, "item_id string, text string")).orderBy("row.doc_id").collect()
+    assert (first["n_hit"], first["items"], second["n_hit"]) == (30, ["b"], 0)
+    assert sorted((m["item_id"] or "", m["length"]) for m in first["matches"]) == [("", 15), ("b", 20)]
+    kept = decontam.decontaminate(docs, spark.createDataFrame(items[:1], "item_id string, text string"))
+    assert [r["doc_id"] for r in kept.collect()] == [2]
 
 
 def test_longest_match(spark):
@@ -248,6 +249,40 @@ def test_archives(spark):
     assert warc.round_trip(frame.limit(0)).count() == 0
 
 
+def test_ranges_of_archives_are_read_by_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_RECORDS", 7)
+    long = "x" * 300_000
+    rows = [(i, f"http://host{i % 3}.example.com:80/p/{i}", f"page {i} " * 20) for i in range(40)] + [(None, "no address", long), (40, None, long)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    ranges = warc.write(frame, warc.new_folder(spark, "warc"))
+    back = warc.read(ranges)
+    assert back.rdd.getNumPartitions() == ranges.count() >= 42 // 7
+    got = {r["record_id"]: (r["url"], bytes(r["payload"]).decode()) for r in back.collect()}
+    assert got == {str(i) if i is not None else None: (u or "", h) for i, u, h in rows}
+
+
+def test_records_are_what_other_readers_expect():
+    payload = "<p>é".encode()
+    date = "2024-05-06T07:08:09Z"
+    first = warc.record(1, "http://a.example/x", payload, "d", None, date)
+    again = warc.record(2, "http://a.example/y", payload, "d", 1, date)
+    for raw, kind in ((first, "response"), (again, "revisit")):
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and fields["WARC-Type"] == kind and fields["WARC-Date"] == date
+        assert fields["Content-Type"] == "application/http; msgtype=response" and fields["WARC-Record-ID"].startswith("<urn:")
+        block = rest[: int(fields["Content-Length"])]
+        assert rest[len(block) :] == b"\r\n\r\n" and block.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert block.partition(b"\r\n\r\n")[2] == (payload if kind == "response" else b"")
+    assert fields["WARC-Profile"].endswith("/revisit/identical-payload-digest") and fields["WARC-Refers-To"] == "<urn:page:1>"
+    out = io.BytesIO()
+    warc.write_archive(out, iter([("http://b.a.example/z", "d", "response", first), ("http://a.example/x", "d", "revisit", again)]), date)
+    with zipfile.ZipFile(io.BytesIO(out.getvalue())) as package:
+        lines = package.read(warc.INDEX).decode().splitlines()
+        assert [line.split(" ")[:2] for line in lines] == [["example,a)/x", "20240506070809"], ["example,a,b)/z", "20240506070809"]]
+        assert package.infolist()[0].compress_type == zipfile.ZIP_STORED
+
+
 class Bytes:
     def __init__(self, data):
         self.data, self.size = data, len(data)
@@ -297,6 +332,67 @@ def test_words_set_apart_after_other_single_letters(said, word):
     assert word in toxicity.Reader(counts).words(said)
 
 
+HIDDEN = [
+    ("you id iot there", "idiot"), ("so st.up.id of you", "stupid"), ("an id*ot", "idiot"), ("such an \u0456d\u0456\u043et", "idiot"),
+    ("one i\u200bdi\u200bot", "idiot"), ("what a s_t_u_p_i_d", "stupid"), ("st upppid", "stupid"), ("lo.$3r", "loser"), ("a lo\uff53er", "loser"),
+]
+
+
+def english_counts() -> np.ndarray:
+    counts = np.zeros((27, 27, 27))
+    said = "the idiot was stupid and this stupid idiot is a loser with a good book you are there so what one such of an a i"
+    for word in said.split() * 50:
+        codes = [0, 0, *(ord(c) - 96 for c in word), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            counts[a, b, c] += 1
+    return counts
+
+
+@pytest.mark.parametrize("said, word", HIDDEN)
+def test_words_hidden_across_signs(said, word):
+    finder, reader = toxicity.Finder(["idiot", "stupid", "loser"]), toxicity.Reader(english_counts())
+    assert word in reader.words(said, finder)
+
+
+@pytest.mark.parametrize("said", ["he said iota of it", "a good book", "is loose rope there", "an idol", "", "st. upper idaho", "***", "so low"])
+def test_nothing_is_hidden_in_plain_texts(said):
+    finder, reader = toxicity.Finder(["idiot", "stupid", "loser"]), toxicity.Reader(english_counts())
+    assert not reader.words(said, finder) & {"idiot", "stupid", "loser"}
+
+
+def test_the_lattice_finds_the_cheapest_of_all_readings():
+    import itertools
+
+    reader, rng = toxicity.Reader(english_counts()), random.Random(1)
+
+    def cost(letters):
+        codes = [0, 0, *(ord(c) - 96 if "a" <= c <= "z" else 0 for c in letters), 0]
+        return sum(reader.costs[x] for x in zip(codes, codes[1:], codes[2:]))
+
+    for _ in range(60):
+        stretch = "".join(rng.choice("id1o0t $.ss") for _ in range(rng.randrange(1, 7)))
+        choices = [reader._choices(m[0][0], len(m[0])) for m in toxicity.re.finditer(r"(.)\1*", stretch)]
+        paths = [("".join(t for t, _ in path), sum(p for _, p in path)) for path in itertools.product(*choices)]
+        best = min(cost(said) + price for said, price in paths)
+        read = reader.best(choices)
+        assert min(cost(said) + price for said, price in paths if said == read) == pytest.approx(best)
+
+
+def test_toxicity_of_long_texts_and_of_one_class(spark):
+    rows = [(i, ("you stupid fool " if i % 2 else "a fine day ") + f"w{i}") for i in range(60)]
+    rows += [(100, "fine " * 60_000 + "st.up.id"), (101, "fine " * 60_000), (102, None), (103, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    counts = toxicity.trigram_counts(docs)
+    model = toxicity.train(docs, labels, "doc_id", "text", "toxic", counts)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, "doc_id", "text").collect()}
+    assert "stupid" in model.telling and got[100] > got[101] and got[102] == got[103]
+    one = toxicity.train(docs, labels.where("toxic = 1"), "doc_id", "text", "toxic", counts)
+    assert toxicity.score(docs, one, "doc_id", "text").count() == len(rows)
+    none = toxicity.train(docs.limit(0), labels.limit(0), "doc_id", "text", "toxic", toxicity.trigram_counts(docs.limit(0)))
+    assert toxicity.score(docs.limit(0), none, "doc_id", "text").count() == 0
+
+
 def test_toxicity_learns_from_labels(spark):
     rows = [(i, prose(i, 40, 300) + (" scum" if i % 3 == 0 else "")) for i in range(240)] + [(900, None), (901, ""), (902, "hello s-c-u-m w1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

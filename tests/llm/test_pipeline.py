@@ -57,7 +57,7 @@ def check(spark, folder: str) -> set[int]:
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     expected = kept_texts(docs, items)
-    tokenizer = Tokenizer.from_file(pipeline.TOKENIZER)
+    tokenizer = Tokenizer.from_file(pipeline.tokenizer())
     ids = {d: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4") for d, t in expected.items()}
     pieces, sequences = {}, {}
     for p in pipeline.run(spark, folder).collect():
