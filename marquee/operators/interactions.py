@@ -22,6 +22,14 @@ def active_authors(reviews: DataFrame, least: int) -> DataFrame:
     return reviews.join(active, "author", "left_semi")
 
 
+def likes(reviews: DataFrame, least: float) -> DataFrame:
+    """user_id, id and pos of the titles that a user rated `least` or better; `pos` orders them by their last review, then by id."""
+    rated = reviews.where(F.col("rating") >= least)
+    # One value per (user, title) keeps that order without a sort.
+    last = rated.groupBy("user_id", "id").agg(F.max("review_date").alias("last_seen"))
+    return last.select("user_id", "id", F.struct("last_seen", "id").alias("pos"))
+
+
 def sparsity(ratings: DataFrame) -> DataFrame:
     """Percentage of empty cells of the author x title matrix, without building the matrix."""
     cells = ratings.where(F.col("rating").isNotNull()).select("author", "id").distinct()

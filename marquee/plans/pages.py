@@ -293,14 +293,15 @@ def review_pages(spark, folder):
 
     rated = words("<span>", F.col("rating"), "</span>")
     html = words("<html><body><span>1</span>", block(rated), "<p>", block(F.lit("")), "</body></html>")
-    key = (F.col("order_id") * 8 + F.col("line")) * 100_000 + F.col("id")
+    # An order has at most seven lines.
+    key = F.col("order_id") * 8 + F.col("line")
     return raw.select(key.alias("id"), html.alias("html"))
 
 
 @query(
     "extract_reviews",
     with_views(
-        """select (order_id * 8 + line) * 100000 + id as id, position, case when position = 0 then rating end as rating,
+        """select order_id * 8 + line as id, position, case when position = 0 then rating end as rating,
           strftime(review_date, '%-d %B %Y') as date, title, title || 'said <b> & left' as text, author, helpfulness
         from reviews, (select cast(unnest([0, 1]) as int) as position)""",
         REVIEWS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features as feat, recommend as rec, similarity as sim
+from ..operators import features as feat, interactions as inter, recommend as rec, similarity as sim
 from .features import LABEL_VIEWS, SETTINGS, WEIGHTED, catalogue, rows_sql, title_labels
 from .registry import query
 from .views import ITEMS, REVIEWS, items, reviews, table, with_maps, with_views
@@ -134,7 +134,7 @@ def embedding_knn(spark, folder):
 
 
 LIKES = """likes as (select user_id, id, row_number() over (partition by user_id order by last_seen, id) as pos
-  from (select user_id, id, max(review_date) as last_seen from reviews where rating = 10 group by user_id, id))"""
+  from (select user_id, id, max(review_date) as last_seen from reviews where rating >= 10 group by user_id, id))"""
 
 
 @query(
@@ -153,12 +153,6 @@ LIKES = """likes as (select user_id, id, row_number() over (partition by user_id
     ),
 )
 def knn_batch_users(spark, folder):
-    best = reviews(spark, folder).where("rating = 10")
-    # The order of liking: by date, then by id. One number per (user, title) keeps that order without a sort.
-    likes = (
-        best.groupBy("user_id", "id")
-        .agg(F.max("review_date").alias("last_seen"))
-        .select("user_id", "id", F.struct("last_seen", "id").alias("pos"))
-    )
+    likes = inter.likes(reviews(spark, folder), least=10)
     found = rec.recommend_for_users(likes, title_labels(spark, folder), 5, SETTINGS)
     return found.withColumn("relevance", F.round("relevance", 6))
