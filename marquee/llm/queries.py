@@ -42,11 +42,60 @@ def op6_quality_rules(spark, folder):
     return quality.measure(table(spark, folder, "documents")).drop("failed")
 
 
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP1_SQL = rf"""
+with d as (select *, len(ws) as n from (select row_number() over () as rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents)),
+i as (select *, least(13, len(ws)) as size from (select row_number() over () as iid, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from (select distinct cast(item_id as varchar) as item_id, text from benchmark)) where len(ws) > 0),
+iw as (select iid, item_id, size, p, array_to_string(ws[p:p + size - 1], ' ') as said
+  from (select *, unnest(range(1, len(ws) - size + 2)) as p from i)),
+dw as (select rid, q, size, array_to_string(ws[q:q + size - 1], ' ') as said
+  from (select *, unnest(range(1, n - size + 2)) as q from d, (select distinct size from i) where n >= size)),
+h as (select rid, q, iid, item_id, p, size from dw join iw using (size, said)),
+words as (select rid, count(*) as n_hit from (select distinct rid, unnest(range(q, q + size)) as word from h) group by rid),
+runs as (select max(c + size - 1) as longest, rid from (select rid, size, count(*) as c from
+    (select *, p - row_number() over (partition by rid, iid, q - p order by p) as island from h) group by rid, iid, q - p, island, size) group by rid),
+named as (select rid, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct rid, item_id from h where item_id is not null) group by rid)
+select doc_id, n::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= n as contaminated, coalesce(longest, 0)::bigint as longest_match
+from d left join words using (rid) left join runs using (rid) left join named using (rid)
+"""
+
+OP7_SQL = r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+win as (select rid, p, array_to_string(ws[p:p + 34], ' ') as said from (select rid, ws, unnest(range(1, len(ws) - 33)) as p from d where len(ws) > 34)),
+hit as (select rid, p from (select rid, p, count(*) over (partition by said) as c from win) where c > 1),
+gone as (select distinct rid, unnest(range(p, p + 35)) as k from hit),
+kept as (select rid, string_agg(word, ' ' order by k) as kept from (select rid, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as k from d)
+  anti join gone using (rid, k) group by rid),
+n as (select rid, count(*) as n_removed from gone group by rid)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join n using (rid) left join kept using (rid)
+"""
+
+OP8_SQL = rf"""
+with recursive d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select rid, doc_id, case when len(ws) = 0 then [] else list_sort(list_distinct(list_transform(range(1, greatest(len(ws) - 3, 2)),
+    lambda p: array_to_string(ws[p:p + 4], ' ')))) end as sh from d),
+sets as (select row_number() over () as sid, sh, len(sh) as n from (select distinct sh from s) where len(sh) > 0),
+rows_ as (select sid, n, unnest(sh) as one from sets),
+links as (select a.sid as a, b.sid as b from rows_ a join rows_ b using (one) where a.sid <> b.sid group by a.sid, b.sid, a.n, b.n
+  having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach as (select sid as a, sid as b from sets union select reach.a, links.b from reach join links on reach.b = links.a),
+least_ as (select a, min(doc_id) as component_id from reach join sets on sets.sid = reach.b join s using (sh) group by a)
+select doc_id, len(s.sh)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id
+from s left join sets on sets.sh = s.sh left join least_ on least_.a = sets.sid
+"""
+
+
 def _lines_digest(values):
     return F.sha2(F.array_join(values, ","), 256)
 
 
-@query("op1_decontamination")
+@query("op1_decontamination", OP1_SQL)
 def op1_decontamination(spark, folder):
     found = decontam.scan(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.select(
@@ -60,7 +109,7 @@ def op1_decontamination(spark, folder):
     )
 
 
-@query("op7_substring_dedup")
+@query("op7_substring_dedup", OP7_SQL)
 def op7_substring_dedup(spark, folder):
     cut = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
@@ -68,7 +117,7 @@ def op7_substring_dedup(spark, folder):
     )
 
 
-@query("op8_ngram_jaccard")
+@query("op8_ngram_jaccard", OP8_SQL)
 def op8_ngram_jaccard(spark, folder):
     return jaccard.similar_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -176,7 +225,6 @@ def op11_hard_negatives(spark, folder):
     return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0").select("vec_id"))
 
 
-_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _TERMS = rf"unnest(regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
 
 OP12_SQL = f"""
