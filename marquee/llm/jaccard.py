@@ -14,11 +14,11 @@ parity sketches, of which there are two kinds.
 
 Pairs that are left are verified on the sets themselves, in an order that keeps them few. First each class is tested against one
 other of its blocks, the one with which it shares most. Then classes that share a block and are not connected by then
-are compared in tiles of bounded size; in a tile of more than CROWD classes a union-find names only as many pairs as could join two
+are compared in tiles of bounded size; in a tile of more than FEW_CLASSES a union-find names only as many pairs as could join two
 groups. First each class takes part in the largest of its crowded blocks alone, then in all its blocks that still hold several groups. A tile
-says when it left out a pair since others would make it needless. Blocks of which that is said, and in which groups are apart after all, are compared once more with the
-sets in the tile, and only true links that join two groups leave it. So members of a family that are only partly close to each other
-cost about as many tests as there are members, and no link is lost.
+says which classes were in a pair that it left out since others would make it needless. Where such classes of a block are in
+several groups after all, they are compared once more with the sets in the tile, and only true links that join two groups leave it. So
+members of a family that are only partly close to each other cost about as many tests as there are members, and no link is lost.
 
 Empty texts have no shingles and are linked with nothing. Repeated rows are equal texts. A row whose id is NULL
 takes part; a component of such rows alone has NULL as its id. Shingles are compared by 64-bit hashes, in the last
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from . import wordhash as wh
 from .storage import stored
@@ -47,6 +47,7 @@ HEAD_ROWS = 1 << 10  # members that one task compares with one head
 TILE = 1 << 11  # classes of one block that are compared with as many others at once
 TILE_BYTES = 1 << 24  # of sets in a tile
 CROWD = 16  # classes of a block from which on it counts as crowded
+FEW_CLASSES = 2  # classes of a tile up to which all its pairs are named
 PAIRS_AT_ONCE = 1 << 20
 WORDS_AT_ONCE = 1 << 22  # of sketches
 FEW = 100_000  # wanted texts up to which their keys are broadcast
@@ -329,25 +330,27 @@ def connected(links: DataFrame) -> DataFrame:
 
     Alternating large and small stars; every round is written to the shared folder.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    before = _signature(edges)
+    edges, before = _signed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        down = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = down.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = stored(small)
-        now = _signature(edges)
+        around = Window.partitionBy("u")
+        large = both.withColumn("m", F.least(F.min("v").over(around), F.col("u"))).where("v > u")
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        down = large.withColumn("m", F.min("v").over(around))
+        pairs = F.explode(F.array(*[F.struct(F.col(c).alias("u"), F.col("m").alias("v")) for c in ("u", "v")])).alias("e")
+        small = down.select(pairs).select("e.*").where("u != v").distinct()
+        edges, now = _signed(small)
         if now == before:
             break
         before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _signed(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and their number with a sum of their hashes, which are noted while they are written."""
+    seen = Observation()
+    kept = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")))
+    return kept, (seen.get["n"], seen.get["sum"])
 
 
 def close_pairs(bits: pa.Array, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -469,7 +472,7 @@ def _tile_pairs(cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _candidates(table: pa.Table):
-    """Of a table sorted by tile: pairs of places that are to be compared, are of different roots and are close; and their tiles."""
+    """Of a table sorted by tile: pairs of places that are to be compared, are of different roots and are close; and the size of their tile."""
     block, u, t, side, root, size = (
         table.column(c).to_numpy().astype(np.int64) for c in ("block", "u", "t", "side", "root", "size")
     )
@@ -487,7 +490,7 @@ def _candidates(table: pa.Table):
             good = close_pairs(bits.take(pa.array(some)), size[some], at[: len(x)], at[len(x) :])
             x, y = x[good], y[good]
             tile = np.searchsorted(cuts, x, "right") - 1
-            yield x, y, tile, cuts[tile + 1] - cuts[tile]
+            yield x, y, cuts[tile + 1] - cuts[tile]
 
 
 CLASS = "struct<c1:bigint,c2:bigint>"
@@ -509,9 +512,9 @@ def _by_tile(table: pa.Table) -> pa.Table:
 
 
 def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that could be linked in some tiles, and (as `block`) the blocks with more such pairs than these.
+    """Pairs (a, b) that could be linked in some tiles, and, as rows (a, block), the classes that have more such pairs in a block.
 
-    Tiles of up to CROWD classes name all such pairs, others only as many as join all that they could join.
+    Tiles of up to FEW_CLASSES classes name all such pairs, others only as many as join all that they could join.
     """
     rows = dealt.join(members.select("c", "size", "bits"), "c").withColumn("root", F.xxhash64("root"))
 
@@ -519,20 +522,19 @@ def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
         table = _by_tile(table)
         root, block = table.column("root").to_numpy(), table.column("block").to_numpy()
         number, c = _classes_of(table)
-        joined: dict[int, Union] = {}
-        dense: set[int] = set()
+        joined = Union()  # by all larger tiles of the task
+        open_rows: set[int] = set()  # of classes with a pair that is not named
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, y, tile, members in _candidates(table):
-            few = members <= CROWD
+        for x, y, members in _candidates(table):
+            few = members <= FEW_CLASSES
             left.append(x[few]), right.append(y[few])
             chosen = np.zeros(len(x), bool)
             crowded = np.flatnonzero(~few)
-            for k, t, p, q, b in zip(crowded.tolist(), *(v[crowded].tolist() for v in (tile, root[x], root[y], block[x]))):
-                union = joined.setdefault(t, Union())
-                if union.find(p) == union.find(q):
-                    dense.add(b)
+            for k, i, j, p, q in zip(crowded.tolist(), *(v[crowded].tolist() for v in (x, y, root[x], root[y]))):
+                if joined.find(p) == joined.find(q):
+                    open_rows.update((i, j))
                 else:
-                    union.join(p, q)
+                    joined.join(p, q)
                     chosen[k] = True
             left.append(x[chosen]), right.append(y[chosen])
         x, y = np.concatenate(left), np.concatenate(right)
@@ -540,12 +542,12 @@ def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
             pairs = np.minimum(number[x], number[y]) * (number.max() + 1) + np.maximum(number[x], number[y])
             _, once = np.unique(pairs, return_index=True)
             x, y = x[once], y[once]
-        none = pa.nulls(len(dense), c.type)
+        rest = np.array(sorted(open_rows), np.int64)
         return pa.table(
             {
-                "a": pa.concat_arrays([c.take(pa.array(x)), none]),
-                "b": pa.concat_arrays([c.take(pa.array(y)), none]),
-                "block": pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(sorted(dense), pa.int64())]),
+                "a": c.take(pa.array(np.concatenate([x, rest]))),
+                "b": pa.concat_arrays([c.take(pa.array(y)), pa.nulls(len(rest), c.type)]),
+                "block": pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(block[rest])]),
             }
         )
 
@@ -565,7 +567,7 @@ def linked_across(dealt: DataFrame, members: DataFrame, sets: DataFrame) -> Data
         packed = table.column("shingles").combine_chunks()
         opened: dict[int, np.ndarray] = {}
         joined, left, right = Union(), [], []
-        for x, y, _, _ in _candidates(table):
+        for x, y, _ in _candidates(table):
             for i, j, p, q in zip(*(v.tolist() for v in (x, y, root[x], root[y]))):
                 if joined.find(p) == joined.find(q):
                     continue
@@ -646,8 +648,8 @@ def _grouped(rows: DataFrame, key: str, text: str, buckets: int | None):
             blocks = apart(blocks, links)
     found = stored(forest(tiles(blocks), members))
     links = stored(links.unionByName(verified(_named_pairs(found))))
-    dense = found.where("block is not null").select("block").distinct()
-    blocks = apart(blocks.join(dense, "block", "left_semi"), links)
+    rest = found.where("block is not null").select("block", F.col("a").alias("c")).distinct()
+    blocks = apart(blocks.join(rest, ["block", "c"], "left_semi"), links)
     if not blocks.isEmpty():
         links = links.unionByName(linked_across(tiles(blocks, by_bytes=True), members, sets))
     roots = connected(links)
@@ -666,7 +668,7 @@ def _sizes_fit(a: str, b: str):
 
 def _named_pairs(found: DataFrame) -> DataFrame:
     """a, b, n of pairs that tiles or heads named, each once."""
-    named = found.where("a is not null")
+    named = found.where("b is not null")
     if "n" in named.columns:
         return named
     return named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("n", F.lit(TILE))
