@@ -13,12 +13,12 @@ parity sketches, of which there are two kinds.
   than the number of shingles in only one set, so a pair beyond the limit is dropped without a look at the sets.
 
 Pairs that are left are verified on the sets themselves, in an order that keeps them few. First each class is tested against one
-other of its blocks, the one with which it shares most. Then classes that share a block and are not connected by then
-are compared in tiles of bounded size; in a tile of more than FEW_CLASSES a union-find names only as many pairs as could join two
-groups. First each class takes part in the largest of its crowded blocks alone, then in all its blocks that still hold several groups. A tile
-says which classes were in a pair that it left out since others would make it needless. Where such classes of a block are in
-several groups after all, they are compared once more with the sets in the tile, and only true links that join two groups leave it. So
-members of a family that are only partly close to each other cost about as many tests as there are members, and no link is lost.
+other of its blocks, the one with which it shares most. Then each class takes part in the largest of its crowded blocks, cut into tiles of
+bounded size: there pairs are verified with the sets in the tile, a union-find leaves out those that would join nothing, and only links
+leave it. After that few groups are apart that should not be. All blocks that still hold several groups are compared by their sketches, and in
+a tile of more than FEW_CLASSES again only as many pairs are named as could join two groups. A tile says which classes were in a pair that it
+left out; where such classes of a block are in several groups after all, they are compared once more with the sets in the tile. So members
+of a family that are only partly close to each other cost a few tests each, and no link is lost.
 
 Empty texts have no shingles and are linked with nothing. Repeated rows are equal texts. A row whose id is NULL
 takes part; a component of such rows alone has NULL as its id. Shingles are compared by 64-bit hashes, in the last
@@ -449,7 +449,8 @@ def tiles(blocks: DataFrame, by_bytes: bool = False) -> DataFrame:
 
 def diagonal(blocks: DataFrame) -> DataFrame:
     """As `tiles`, but every class only once, next to a tile of others."""
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("ts"))
+    sizes = blocks.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.col("size") * 6).alias("bytes"))
+    sizes = sizes.select("block", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("bytes") / TILE_BYTES), F.lit(1)).cast("int").alias("ts"))
     t = F.pmod(F.xxhash64("c"), F.col("ts")).cast("int")
     return blocks.join(sizes, "block").select("block", t.alias("u"), t.alias("t"), F.lit(2).alias("side"), "c", "root")
 
@@ -641,11 +642,14 @@ def _grouped(rows: DataFrame, key: str, text: str, buckets: int | None):
 
     links = stored(verified(heads(shared, "c")))
     blocks = apart(shared, links)
-    for crowd, step in ((CROWD, lambda some: forest(diagonal(_largest(some)), members)), (TILE, lambda some: heads(some.drop("n"), "root"))):
-        crowded = stored(_crowded(blocks, crowd))
-        if not crowded.isEmpty():
-            links = stored(links.unionByName(verified(_named_pairs(step(crowded)))))
-            blocks = apart(blocks, links)
+    crowded = stored(_crowded(blocks, CROWD))
+    if not crowded.isEmpty():
+        links = stored(links.unionByName(linked_across(diagonal(_largest(crowded)), members, sets)))
+        blocks = apart(blocks, links)
+    crowded = stored(_crowded(blocks, TILE))
+    if not crowded.isEmpty():
+        links = stored(links.unionByName(verified(heads(crowded.drop("n"), "root"))))
+        blocks = apart(blocks, links)
     found = stored(forest(tiles(blocks), members))
     links = stored(links.unionByName(verified(_named_pairs(found))))
     rest = found.where("block is not null").select("block", F.col("a").alias("c")).distinct()
