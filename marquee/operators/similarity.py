@@ -26,7 +26,7 @@ LIKED_ROWS = 512  # liked titles in one block
 BROADCAST_LIKED = 50_000  # liked titles up to which their blocks are broadcast
 PIECE_BYTES = 1 << 21  # of numbers in a piece of a ball
 PIECE_ROWS = 4_096  # most rows of a piece
-ROWS_PER_BALL = 1_024
+ROWS_PER_BALL = 4_096
 MOST_BALLS = 256
 BALLS_FIRST = 2  # balls that a row is compared with before the others are judged
 SLACK = 1e-6  # more than what rounding does to a cosine on its way through an angle
