@@ -134,3 +134,15 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd="/", env=env, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "[{'scores': ['7']}]", done.stderr
+
+
+def test_tags_that_pages_repeat_are_understood_once(monkeypatch):
+    parsed = []
+    attributes = page_ops._attributes
+    monkeypatch.setattr(page_ops, "_attributes", lambda written: parsed.append(written) or attributes(written))
+    reader = page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE)
+    first = reader.read(REVIEWS)
+    times = len(parsed)
+    assert [reader.read(REVIEWS) for _ in range(5)] == [first] * 5 and len(parsed) == times
+    monkeypatch.setattr(page_ops, "MOST_TAGS", 2)
+    assert page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE).read(REVIEWS) == first
