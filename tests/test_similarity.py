@@ -250,3 +250,30 @@ def test_a_recommender_of_ones_own(spark):
         "country_of_origin_1 string, production_company_1 string, rating double, poster_url string",
     )
     assert rec.recommend(Newest(), titles, preferences={"above": 7}).count() == 1
+
+
+def test_looks_and_users_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(rec, "BLOCK_PROFILES", 7)
+    table = catalogue(60, seed=7, spread=3)
+    rows = [(u, int(t), p) for u in range(6) for p, t in enumerate(table["id"][u::9])]
+    likes = spark.createDataFrame(rows, "user_id string, id long, pos int")
+    found = rec.recommend_for_users(likes, frame(spark, table), 3, SETTINGS)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    keys = [line.split("HashedRelationBroadcastMode")[1] for line in plan if "HashedRelationBroadcastMode" in line]
+    # What grows with titles, looks or users stays off the driver; only sizes go by the number of a block.
+    assert keys and all("int, true] as bigint" in k for k in keys)
+
+
+def test_rows_travel_by_the_width_of_the_grid(spark, monkeypatch):
+    monkeypatch.setattr(sim, "ROWS_PER_BALL", 20)
+    vectors = np.random.default_rng(3).normal(size=(400, 8))  # without structure: hardly a ball can be left out
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "v_id long, v array<double>")
+    sent = []
+    compare = sim.compared
+    monkeypatch.setattr(sim, "compared", lambda asking, *rest: sent.append(asking.count()) or compare(asking, *rest))
+    found = sim.vector_neighbours(rows, 3, "v_id", "v").toPandas().sort_values(["v_id", "rank"])
+    assert sum(sent) <= (sim.BALLS_FIRST + 1) * len(vectors)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    similarity = unit @ unit.T
+    np.fill_diagonal(similarity, -2)
+    assert found["sim"].to_numpy().reshape(-1, 3) == pytest.approx(-np.sort(-similarity, axis=1)[:, :3], abs=1e-12)
