@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import text
 from ..sources import keyed_json, review_files
-from ..storage import shared_folder
+from ..storage import shared_folder, stored
 from ..streaming import loads
 from .registry import query
 from .views import ITEMS, REVIEWS, items, reviews, table, with_views, words
@@ -158,7 +158,7 @@ JOB_SQL = """select replace(replace(id, '/title/', ''), '/', '') as id, text, ca
 def _job(spark, folder, form: str):
     raw = _written_raw(spark, folder)
     target = f"{shared_folder(spark)}/parts-{uuid.uuid4().hex}"
-    titles = _raw_reviews(spark, folder).select(text.bare_id(F.col("id")).alias("id")).distinct()
+    titles = stored(_raw_reviews(spark, folder).select(text.bare_id(F.col("id")).alias("id")).distinct())
     # First some of the titles, then all of them: what is finished stays, the rest is added.
     some = titles.where(F.length("id") == 3)
     for known in (some, titles):

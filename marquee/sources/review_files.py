@@ -42,7 +42,7 @@ def read_raw_reviews(spark: SparkSession, path: str | list[str], with_file: bool
 
 
 def write_raw_reviews(reviews: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder per title. Within a folder, Spark starts a new file when one gets large."""
+    """One folder per title, of gzip files; with line breaks in texts a file is read by one task in any case."""
     require_columns(reviews, "id")
     # 'rebalance' gathers small titles and spreads a title with very many rows over several tasks.
     (
@@ -50,7 +50,7 @@ def write_raw_reviews(reviews: DataFrame, path: str, mode: str = "errorifexists"
         .hint("rebalance", "title_id")
         .write.partitionBy("title_id")
         .mode(mode)
-        .options(**CSV_WRITING)
+        .options(compression="gzip", **CSV_WRITING)
         .csv(path)
     )
 

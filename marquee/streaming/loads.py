@@ -44,7 +44,7 @@ def load_reviews(
     )
 
 
-def changed_files(spark: SparkSession, path: str, done: DataFrame | None, pattern: str = "*.csv") -> DataFrame:
+def changed_files(spark: SparkSession, path: str, done: DataFrame | None, pattern: str = "*.{csv,csv.gz}") -> DataFrame:
     """file, length, modified of the files that are new, have grown or were written again since they were noted in `done`."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     # The contents of the files are not read: only these columns are asked for.
@@ -53,7 +53,7 @@ def changed_files(spark: SparkSession, path: str, done: DataFrame | None, patter
 
 
 def refresh_reviews(
-    spark: SparkSession, raw_path: str, target: str, parts: int, files_per_step: int = 50, form: str = "parquet", pattern: str = "*.csv"
+    spark: SparkSession, raw_path: str, target: str, parts: int, files_per_step: int = 50, form: str = "parquet", pattern: str = "*.{csv,csv.gz}"
 ) -> int:
     """Bring the target up to date with the raw review files, some files per step; returns the number of steps.
 

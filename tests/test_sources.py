@@ -305,3 +305,14 @@ def test_export_table(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1.0)], "id string, flag double")
     review_files.export_table(rows, str(tmp_path / "t"), {"flag": "smallint"})
     assert dict(spark.read.parquet(str(tmp_path / "t")).dtypes)["flag"] == "smallint"
+
+
+def test_raw_reviews_are_stored_compressed(spark, tmp_path):
+    rows = [("tt1", f'said "{i}",\nagain', "7", "2 May 2001", "y\n", "/user/ur8/?x", "2 out of 3") for i in range(50)]
+    raw = spark.createDataFrame(rows, "id string, text string, rating string, date string, title string, author string, helpfulness string")
+    target = str(tmp_path / "raw")
+    review_files.write_raw_reviews(raw, target)
+    files = [p for p in (tmp_path / "raw").rglob("part-*") if not p.name.endswith(".crc")]
+    assert files and all(p.name.endswith(".csv.gz") for p in files)
+    back = review_files.read_raw_reviews(spark, target)
+    assert sorted(r["text"] for r in back.collect()) == sorted(r[1] for r in rows)
