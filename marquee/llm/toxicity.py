@@ -63,6 +63,7 @@ _BETWEEN = rf"(?:[^\w\n{_SIGN}]|_){{1,3}}"
 _APART = rf"(?<![^\W_]){_SINGLE}(?:{_BETWEEN}{_SINGLE}){{2,}}(?![^\W_])"
 #: A sign beside a letter, a letter three times, or letters set apart.
 DISGUISED = re.compile(rf"(?:{_LETTER}[{_SIGN}]|[{_SIGN}]{_LETTER})|({_LETTER})\1\1|{_APART}")
+TRIPLE = re.compile(rf"({_LETTER})\1\1")
 APART = re.compile(_APART)
 SINGLE = re.compile(_SINGLE)
 INSIDE = re.compile(r"(?<=[^\W_])[._*-](?=[^\W_])")
@@ -71,36 +72,32 @@ PLAIN = re.compile(r"[^\W\d_]+")
 EDGE = "!|($"
 
 
-def _skeleton_letters() -> dict[int, str | None]:
-    """Each character as the letter it may stand for; l and i, which the same signs stand for, are one. Others are dropped."""
+def _skeleton_letters() -> np.ndarray:
+    """By code point the ASCII letter that a character may stand for; l and i, which the same signs stand for, are one. 0: none."""
+    letters = {c: c for c in ALPHABET} | {k: v[0] for k, v in (LOOKS_LIKE | CONFUSABLE).items()}
+    table = np.zeros(ord(max(letters)) + 2, np.uint8)  # the last place is for all characters beyond
+    for character, letter in letters.items():
+        table[ord(character)] = ord("i" if letter == "l" else letter)
+    return table
 
-    class Table(dict):
-        def __missing__(self, code):
-            self[code] = None
-            return None
 
-    table = Table({ord(c): c for c in ALPHABET})
-    table |= {ord(k): v[0] for k, v in (LOOKS_LIKE | CONFUSABLE).items()}
-    return Table({k: "i" if v == "l" else v for k, v in table.items()})
+SKELETON = _skeleton_letters()
 
 
-SKELETON = _skeleton_letters()
-REPEATED = re.compile(r"(.)\1+")
+def _with_places(text: str) -> tuple[str, np.ndarray]:
+    """The bare letters of a lower-case text, repeated ones once, and where each of them begins in the text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letters = SKELETON[np.minimum(codes, len(SKELETON) - 1)]
+    places = np.flatnonzero(letters)
+    letters = letters[places]
+    first = np.ones(len(letters), bool)
+    first[1:] = letters[1:] != letters[:-1]
+    return letters[first].tobytes().decode("ascii"), places[first]
 
 
 def skeleton(text: str) -> str:
     """The bare letters of a lower-case text, repeated ones once."""
-    return REPEATED.sub(r"\1", text.translate(SKELETON))
-
-
-def _with_places(text: str) -> tuple[str, list[int]]:
-    """The skeleton, and where each of its letters begins in the text."""
-    letters, places = [], []
-    for place, c in enumerate(text):
-        letter = SKELETON[ord(c)]
-        if letter and (not letters or letters[-1] != letter):
-            letters.append(letter), places.append(place)
-    return "".join(letters), places
+    return _with_places(text)[0]
 
 
 class Finder:
@@ -125,14 +122,11 @@ class Finder:
         """Pairs (stretch of the text, word that may be hidden in it)."""
         if not len(self.automaton):
             return set()
-        bare = skeleton(low)
-        if next(self.automaton.iter(bare), None) is None:
-            return set()
         bare, places = _with_places(low)
         out = set()
         for end, (length, words) in self.automaton.iter(bare):
-            start = places[end - length + 1]
-            stop = places[end + 1] if end + 1 < len(places) else len(low)
+            start = int(places[end - length + 1])
+            stop = int(places[end + 1]) if end + 1 < len(places) else len(low)
             inside = low[start:stop].rstrip()
             plain = inside.isascii() and inside.isalpha()
             for word, masked in words:
@@ -255,7 +249,11 @@ class Reader:
         if DISGUISED.search(low):
             for m in APART.finditer(low):
                 words |= self.split("".join(SINGLE.findall(m[0])))
-            for token in set(WORD.findall(INSIDE.sub("", low))):
+            joined = INSIDE.sub("", low)
+            tokens = set(WORD.findall(joined))
+            if not TRIPLE.search(joined):  # then nothing about a word of mere letters is a disguise
+                tokens = {token for token in tokens if not token.isalpha()}
+            for token in tokens:
                 bare = token.strip(EDGE)
                 if DISGUISED.search(token) and len(bare) > 2:
                     words.add(self.read(bare))

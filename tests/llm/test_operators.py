@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import random
+import sys
 import zipfile
 import zlib
 
@@ -378,6 +379,24 @@ def test_the_lattice_finds_the_cheapest_of_all_readings():
         assert min(cost(said) + price for said, price in paths if said == read) == pytest.approx(best)
 
 
+def test_toxicity_finds_the_places_of_letters_without_a_step_for_each():
+    finder = toxicity.Finder(["idiot"])
+    low = "der abend war schön und lang, " * 2_000 + "you i-d-1ot so on"
+    steps = []
+    sys.setprofile(lambda frame, event, what: steps.append(event))
+    try:
+        found = finder.stretches(low)
+    finally:
+        sys.setprofile(None)
+    assert found == {("i-d-1ot", "idiot")}
+    assert len(steps) < 1_000  # several for each of 50,000 letters before
+
+
+def test_toxicity_places_of_letters():
+    bare, places = toxicity._with_places("ll 1l\U0001f600 о0Ｏ ａb")
+    assert (bare, places.tolist()) == ("ioab", [0, 7, 11, 12])
+
+
 def test_toxicity_of_long_texts_and_of_one_class(spark):
     rows = [(i, ("you stupid fool " if i % 2 else "a fine day ") + f"w{i}") for i in range(60)]
     rows += [(100, "fine " * 60_000 + "st.up.id"), (101, "fine " * 60_000), (102, None), (103, "")]
