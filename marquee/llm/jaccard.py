@@ -17,7 +17,8 @@ other of its blocks, the one with which it shares most. Then each class takes pa
 bounded size: there pairs are verified with the sets in the tile, a union-find leaves out those that would join nothing, and only links
 leave it. After that few groups are apart that should not be. All blocks that still hold several groups are compared by their sketches, and in
 a tile of more than FEW_CLASSES again only as many pairs are named as could join two groups. A tile says which classes were in a pair that it
-left out; where such classes of a block are in several groups after all, they are compared once more with the sets in the tile. So members
+left out; where such classes of a block are in several groups after all, they are compared once more with the sets in the tile, of which
+only those are sent that the sketches leave in question, and of a pair only to the smallest block that it shares. So members
 of a family that are only partly close to each other cost a few tests each, and no link is lost.
 
 Empty texts have no shingles and are linked with nothing. Repeated rows are equal texts. A row whose id is NULL
@@ -557,6 +558,47 @@ def forest(dealt: DataFrame, members: DataFrame) -> DataFrame:
     return placed.groupBy("part").applyInArrow(compare, f"a {CLASS}, b {CLASS}, block bigint")
 
 
+def in_question(dealt: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of the tiles (block, u, t, side, c, root) that stand in a pair to be compared there, judged by the sketches.
+
+    A pair that shares several of the blocks counts in the smallest of them alone, so that a set is not sent to all of them.
+    """
+    mine = dealt.groupBy("c").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    rows = dealt.join(mine, "c").join(members.select("c", "size", "bits"), "c").withColumn("root", F.xxhash64("root"))
+    rows = rows.withColumn("before", F.filter("blocks", lambda b: b < F.col("block"))).drop("blocks")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = _by_tile(table)
+        before = table.column("before").combine_chunks()
+        lengths, flat = before.value_lengths().to_numpy(), before.flatten().to_numpy()
+        begin = np.cumsum(lengths) - lengths
+        wanted = np.zeros(len(table), bool)
+        for x, y, _ in _candidates(table):
+            fresh = ~(wanted[x] & wanted[y])
+            x, y = x[fresh], y[fresh]
+            for some in np.array_split(np.arange(len(x)), max(1, len(x) * 2 * BLOCKS // WORDS_AT_ONCE)):
+                first = ~_share(flat, begin, lengths, x[some], y[some])
+                wanted[x[some][first]] = wanted[y[some][first]] = True
+        return table.select(["block", "u", "t", "side", "c", "root"]).filter(pa.array(wanted))
+
+    parts = BUCKETS_PER_PARTITION * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn("part", F.pmod(F.xxhash64("block", "u", "t"), F.lit(parts)))
+    return placed.groupBy("part").applyInArrow(compare, f"block bigint, u int, t int, side int, c {CLASS}, root bigint")
+
+
+def _share(flat: np.ndarray, begin: np.ndarray, lengths: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the lists of x and y, each without repeats, have a value in common, for each pair (x, y)."""
+    owner = np.repeat(np.tile(np.arange(len(x)), 2), lengths[np.concatenate([x, y])])
+    each = lengths[np.concatenate([x, y])]
+    at = np.arange(int(each.sum())) + np.repeat(begin[np.concatenate([x, y])] - (np.cumsum(each) - each), each)
+    order = np.lexsort((flat[at], owner))
+    owner, value = owner[order], flat[at][order]
+    twice = (owner[1:] == owner[:-1]) & (value[1:] == value[:-1])
+    out = np.zeros(len(x), bool)
+    out[owner[1:][twice]] = True
+    return out
+
+
 def linked_across(dealt: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) that join all that is linked within each tile, verified in the tile on the sets (c, shingles)."""
     rows = dealt.join(members.select("c", "size", "bits"), "c").join(sets, "c").withColumn("root", F.xxhash64("root"))
@@ -655,7 +697,7 @@ def _grouped(rows: DataFrame, key: str, text: str, buckets: int | None):
     rest = found.where("block is not null").select("block", F.col("a").alias("c")).distinct()
     blocks = apart(blocks.join(rest, ["block", "c"], "left_semi"), links)
     if not blocks.isEmpty():
-        links = links.unionByName(linked_across(tiles(blocks, by_bytes=True), members, sets))
+        links = links.unionByName(linked_across(stored(in_question(tiles(blocks, by_bytes=True), members)), members, sets))
     roots = connected(links)
 
     named = texts.join(roots, F.col("c") == F.col("node"), "left")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, decontam, jaccard, langid, licences, packing, quality, substring, toxicity, warc
+from marquee.llm import chat, decontam, jaccard, langid, licences, packing, quality, substring, toxicity, warc, wordhash as wh
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -506,3 +506,20 @@ def test_empty_tables(spark, docs):
     assert quality.measure(none).count() == 0
     assert packing.pack(none, TOKENIZER).count() == 0
     assert langid.train(docs.withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang").languages == []
+
+
+def test_near_duplicates_send_only_the_sets_in_question_and_a_pair_to_one_block(spark):
+    words = prose(3, 80, 10**6)
+    said = [words, words.rsplit(" ", 1)[0] + " other", prose(4, 80, 10**6), prose(5, 80, 10**6)]  # 0 and 1 are close
+    data, offsets = wh.text_bytes(pa.array(said))
+    values, first = jaccard.shingle_sets(data, offsets)
+    kind = "struct<c1:bigint,c2:bigint>"
+    known = [((i, -i), int(n), bits) for i, (n, bits) in enumerate(zip(np.diff(first), jaccard.bit_sketches(values, first)))]
+    members = spark.createDataFrame(known, f"c {kind}, size int, bits binary")
+    places = [(7, 0, 2), (7, 1, 2), (7, 2, 2), (5, 0, 2), (5, 1, 2), (5, 3, 2), (3, 0, 2), (3, 2, 2), (9, 0, 0), (9, 1, 1)]
+    rows = [(block, 0, 0, side, (i, -i), (i, -i)) for block, i, side in places]
+    dealt = spark.createDataFrame(rows, f"block bigint, u int, t int, side int, c {kind}, root {kind}")
+    found = sorted((r["block"], r["c"]["c1"]) for r in jaccard.in_question(dealt, members).collect())
+    assert found == [(5, 0), (5, 1)]  # not 7 and 9 again; nothing of 3
+    joined = dealt.withColumn("root", F.lit(1))  # classes of one group are in no pair
+    assert jaccard.in_question(joined, members).count() == 0
