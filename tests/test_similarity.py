@@ -277,3 +277,62 @@ def test_rows_travel_by_the_width_of_the_grid(spark, monkeypatch):
     similarity = unit @ unit.T
     np.fill_diagonal(similarity, -2)
     assert found["sim"].to_numpy().reshape(-1, 3) == pytest.approx(-np.sort(-similarity, axis=1)[:, :3], abs=1e-12)
+
+
+@pytest.mark.parametrize("pieces", [4_096, 8])
+def test_rounds_spare_most_pairs_of_titles_and_lose_nothing(spark, monkeypatch, pieces):
+    monkeypatch.setattr(sim, "FEW_PAIRS", 0)
+    monkeypatch.setattr(sim, "KEY_COST", 0)
+    monkeypatch.setattr(sim, "PIECE_ROWS", pieces)
+    rng = np.random.default_rng(6)
+    titles, families = 700, [f"f{i}" for i in range(9)]
+    settings = FeatureSettings(weights={"f3": 2})
+    # Families with and without missing labels, one with a frequent label, one that tells nothing apart; copies; titles without labels.
+    codes = rng.integers(1, 7, (titles, 9))
+    codes[:, :3][rng.random((titles, 3)) < 0.4] = 0
+    codes[rng.random(titles) < 0.8, 4] = 1
+    codes[:, 8] = 1
+    codes[100:400] = codes[rng.integers(0, 100, 300)]
+    flips = rng.integers(3, 8, 300)
+    codes[np.arange(100, 400), flips] = rng.integers(1, 7, 300)
+    codes[400:420], codes[420:423] = codes[0], 0
+    ids = rng.permutation(titles).tolist()
+    rows = [(i, *(f"l{c}" if c else None for c in row)) for i, row in zip(ids, codes.tolist())]
+    labels = spark.createDataFrame(rows, "id long, " + ", ".join(f"{f} string" for f in families))
+    rounds, left = [], []
+    met_in, compared = sim.met_in, sim.compared
+    monkeypatch.setattr(sim, "met_in", lambda here, *rest: rounds.append(here) or met_in(here, *rest))
+    monkeypatch.setattr(sim, "compared", lambda asking, *rest: left.append(asking.count()) or compared(asking, *rest))
+    found = sim.neighbours(labels, 4, settings).toPandas().sort_values(["id", "rank"])
+
+    weights = np.array([settings.weight(f) for f in families], float)
+    present = codes != 0
+    size = present @ weights
+    shared = ((codes[:, None, :] == codes[None]) & present[:, None, :]) @ weights
+    similarity = shared / np.sqrt(np.maximum(size[:, None] * size[None], 1e-300))
+    np.fill_diagonal(similarity, -1)
+    expected = {i: np.lexsort((ids, -similarity[at]))[:4] for at, i in enumerate(ids)}
+    got = found.groupby("id")["other"].apply(list)
+    assert got.to_dict() == {i: [ids[x] for x in best] for i, best in expected.items()}
+    assert found["sim"].to_numpy() == pytest.approx(np.concatenate([similarity[ids.index(i)][expected[i]] for i in sorted(ids)]))
+    # Rows that differ in `radius` families meet; of all pairs few do, and few titles are left for the others.
+    looks = np.unique(codes, axis=0)
+    pairs = [sum(n * n for n in pd.DataFrame(looks).groupby(key).size()) for key in rounds[0].keys]
+    assert sum(pairs) < 0.2 * len(looks) ** 2 and sum(left) < 0.3 * len(looks)
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_no_row_beyond_the_radius_is_more_similar(missing):
+    rng = np.random.default_rng(2)
+    weights = np.array([1, 2, 1, 3, 1, 1], float)
+    codes = rng.integers(0 if missing else 1, 4, (300, 6))
+    codes = codes[(codes != 0).any(axis=1)]
+    none = (codes == 0).any(axis=0)
+    families = sim.Families(weights, np.full(6, 0.3), none)
+    present = codes != 0
+    size = present @ weights
+    for a in range(0, len(codes), 5):
+        cosines = ((codes[a] == codes) & present[a]) @ weights / np.sqrt(np.maximum(size * size[a], 1e-300))
+        differ = (codes[a] != codes).sum(axis=1)
+        for misses in range(1, 7):
+            assert (cosines[differ >= misses] <= families.most_with(misses, present[a]) + 1e-12).all()
