@@ -158,6 +158,36 @@ def test_a_user_who_liked_most_of_the_catalogue(spark, monkeypatch):
     assert rec.recommend_for_users(none, frame(spark, table), 5, SETTINGS).count() == 0
 
 
+@pytest.mark.parametrize("listed", [1_000, 40, 8])
+def test_users_are_answered_from_lists_of_profiles(spark, monkeypatch, listed):
+    for module, name, value in ((rec, "FEW_ASKS", 0), (rec, "MOST_LISTED", listed), (sim, "FEW_PAIRS", 0), (sim, "KEY_COST", 0), (rec, "BLOCK_PROFILES", 7)):
+        monkeypatch.setattr(module, name, value, raising=False)
+    table = catalogue(90, seed=7)
+    table.loc[:20, FAMILIES] = table.loc[0, FAMILIES].values
+    ids = [int(i) for i in table["id"]]
+    chosen = {"one": ids[30:31], "copies": ids[:12], "some": ids[10:18], "most": [int(i) for i in np.random.default_rng(1).permutation(ids)[:70]], "all": ids}
+    rows = [(u, t, p) for u, titles in chosen.items() for p, t in enumerate(titles)] + [("one", -1, 99), (None, ids[0], 0), ("one", None, 3)]
+    likes = spark.createDataFrame(rows, "user_id string, id long, pos int")
+    found = rec.recommend_for_users(likes, frame(spark, table), 5, SETTINGS)
+    if listed == 1_000:  # no ask travels to every block
+        assert "sequence(0" not in found._jdf.queryExecution().optimizedPlan().toString()
+    found = found.toPandas()
+    assert set(found["user_id"]) == set(chosen) - {"all"}
+    for user, group in found.groupby("user_id"):
+        expected = liked_brute(table, chosen[user], 5)
+        group = group.sort_values("rank")
+        assert list(group["id"]) == [o for o, _ in expected]
+        assert list(group["relevance"]) == pytest.approx([s for _, s in expected])
+
+
+def test_likes_without_a_user_are_nobodys(spark):
+    table = catalogue(30, seed=3)
+    ids = [int(i) for i in table["id"]]
+    likes = spark.createDataFrame([(None, ids[0], 0), (None, ids[1], 1), (7, ids[2], 0), (7, ids[3], None)], "user_id long, id long, pos int")
+    found = rec.recommend_for_users(likes, frame(spark, table), 5, SETTINGS).toPandas()
+    assert set(found["user_id"]) == {7} and len(found) == 5 and not {ids[2], ids[3]} & set(found["id"])
+
+
 def clustered(n, clusters, width, spread, seed=1):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(clusters, width))
