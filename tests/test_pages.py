@@ -1,5 +1,8 @@
 """Page rules on hand-written and malformed pages."""
 
+import random
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from marquee.functions import markup
@@ -146,3 +149,58 @@ def test_tags_that_pages_repeat_are_understood_once(monkeypatch):
     assert [reader.read(REVIEWS) for _ in range(5)] == [first] * 5 and len(parsed) == times
     monkeypatch.setattr(page_ops, "MOST_TAGS", 2)
     assert page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE).read(REVIEWS) == first
+
+
+def test_steps_that_pages_repeat_are_worked_out_once(monkeypatch):
+    worked_out = []
+    step = page_ops.PageReader._step
+    monkeypatch.setattr(page_ops.PageReader, "_step", lambda *a: worked_out.append(1) or step(*a))
+    reader = page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE)
+    first = reader.read(REVIEWS)
+    times = len(worked_out)
+    assert len(first) == 2 and times
+    # Other authors, texts and entities, but the same tags at the same places.
+    other = REVIEWS.replace("ur1", "ur2").replace("Long", "a &lt; b ").replace(" Fine", "Bad")
+    found = [reader.read(other) for _ in range(3)]
+    assert len(worked_out) == times and found == [found[0]] * 3
+    assert found[0][0] == first[0] | {"author": ["/user/ur2/?ref_=x"], "text": ["a < b text"], "title": ["Bad\n"]}
+    monkeypatch.setattr(page_ops, "MOST_STEPS", 3)
+    assert page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE).read(REVIEWS) == first
+
+
+def test_tags_are_the_same_by_turns_and_by_pattern():
+    block = '<div class="review-container"><a class="title"{0}>T{1}</a><span>1</span><span>8</span>{2}</div>'
+    reader = page_ops.PageReader(page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE)
+    plain = reader.read(block.format("", "", ""))
+    assert plain == [{"title": ["T"], "spans": ["1", "8"]}]
+    # A > in a value, a comment and a script with tags, an end that is missing: only a pattern tells them apart.
+    assert reader.read(block.format(' id="a > b"', "", "")) == plain
+    assert reader.read(block.format("", "<!-- <b> -->", "<script>var x = '<span>9</span>'</script>")) == plain
+    assert reader.read(block.format("", "<!--x-->", "") + "<p") == plain
+    assert reader.read(block.format("", " > 1 < 2", "")) == [{"title": ["T > 1 < 2"], "spans": ["1", "8"]}]
+    assert reader.read(block.format("", "", "<span>x>b<3</span>"))[0]["spans"] == ["1", "8", "x>b<3"]
+
+
+def test_many_pages_are_read_as_one_by_one(spark, monkeypatch):
+    rng = random.Random(4)
+    pieces = [
+        '<div class="review-container">', "<div>", "</div>", "</div>", "<p>", "<br>", "</p>", "<span>", '<span class="review-date">', "</span>", "</a>",
+        '<a class="title" href="/r/">', '<span class="display-name-link">', "<a href='/user/ur1/'>", "<a>", '<div class="text show-more__control">',
+        '<div class="actions text-muted">', "text", "8", "a &lt; b", "&am", "p;", "\n", "é",
+    ]
+    pages = ["".join(rng.choices(pieces, k=rng.choice([0, 5, 40]))) for _ in range(400)]
+    odd = [None, "", "text", pages[5] + "<!-- <p> -->", pages[7] + "<script>a < b</script>", '<div class="review-container" id="a > b"><span>1</span>', "<p"]
+    for i, page in enumerate(odd):
+        pages.insert(50 * i, page)
+    for rules, scope in ((page_ops.REVIEW_RULES, page_ops.REVIEW_SCOPE), (page_ops.TITLE_RULES + page_ops.REVIEW_RULES[1:3], None)):
+        names = [rule.name for rule in rules]
+        reader = page_ops.PageReader(rules, scope)
+        expected = {(i, at): [r.get(n) for n in names] for i, p in enumerate(pages) for at, r in enumerate(reader.read(p or ""))}
+        read, *_ = page_ops.read_many(page_ops.PageReader(rules, scope), names, pa.array(pages))
+        # All but NULL, those on which signs do not stand by turns, and the few longest.
+        assert len(pages) - 5 - page_ops.FEW_PAGES < read.sum() <= len(pages) - 5
+        for name, value in (("BYTES_AT_ONCE", 1 << 24), ("BYTES_AT_ONCE", 3_000), ("MOST_STEPS", 20), ("MOST_CELLS", 1 << 12)):
+            with monkeypatch.context() as patch:
+                patch.setattr(page_ops, name, value)
+                rows = page_ops.extract_pages(frame(spark, *pages), rules, scope).collect()
+            assert {(r["id"], r["position"]): [r[n] for n in names] for r in rows} == expected and len(rows) == len(expected)
